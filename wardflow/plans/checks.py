@@ -1,0 +1,543 @@
+"""SQL that computes each named query on the same tables in a relational engine.
+
+Written independently of the DataFrame code, from the meaning of each report; used to check
+results, never to compute them.
+"""
+
+from __future__ import annotations
+
+# --- shared tables -----------------------------------------------------------------------
+
+PATIENTS = """patients AS (
+  SELECT c_custkey AS subject_id, c_mktsegment AS gender,
+         CAST(CAST(floor(abs(c_acctbal)) AS BIGINT) % 100 AS INTEGER) AS anchor_age,
+         CASE WHEN c_acctbal < 0 THEN DATE '2005-01-01' END AS dod
+  FROM customer)"""
+
+STAYS = """lines AS (
+  SELECT l_orderkey, max(l_shipdate) AS outtime, min(l_partkey) AS dx
+  FROM lineitem GROUP BY l_orderkey),
+stays AS (
+  SELECT o_orderkey AS stay_id, o_custkey AS subject_id, o_orderkey AS hadm_id,
+         o_orderpriority AS first_careunit, o_orderstatus AS last_careunit,
+         CAST(o_orderdate AS TIMESTAMP) AS intime, CAST(outtime AS TIMESTAMP) AS outtime,
+         dx AS diagnoses_icd_key,
+         CAST(date_diff('day', CAST(o_orderdate AS DATE), CAST(outtime AS DATE)) AS DOUBLE) AS los,
+         CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS intime_date,
+         CAST(hour(o_orderdate) * 3600 + minute(o_orderdate) * 60 + second(o_orderdate)
+              AS INTEGER) AS intime_time,
+         CAST(strftime(outtime, '%Y%m%d') AS INTEGER) AS outtime_date,
+         CAST(hour(outtime) * 3600 + minute(outtime) * 60 + second(outtime)
+              AS INTEGER) AS outtime_time
+  FROM orders LEFT JOIN lines ON o_orderkey = l_orderkey)"""
+
+STATUS = """flagged AS (
+  SELECT s.*, CASE WHEN lower(p_name) LIKE '%widget%' THEN 'Sepsis' ELSE 'Non-Sepsis' END
+         AS sepsis_status
+  FROM stays s LEFT JOIN part ON p_partkey = s.diagnoses_icd_key)"""
+
+TRIAGE = """triage AS (
+  SELECT l_orderkey AS stay_id,
+         CAST(35 + max(l_quantity) / 10 AS DECIMAL(10,4)) AS temperature,
+         CAST(50 + max(l_quantity) AS DECIMAL(10,4)) AS heartrate,
+         CAST(10 + min(l_quantity) / 2 AS DECIMAL(10,4)) AS resprate,
+         CAST(100 - max(l_discount) * 100 AS DECIMAL(10,4)) AS o2sat,
+         CAST(80 + min(l_quantity) AS DECIMAL(10,4)) AS sbp,
+         CAST(50 + min(l_quantity) AS DECIMAL(10,4)) AS dbp,
+         CAST(max(l_linenumber) AS DECIMAL(10,4)) AS acuity,
+         min(l_returnflag) AS chiefcomplaint
+  FROM lineitem GROUP BY l_orderkey)"""
+
+STATUS_VITALS = f"{STAYS}, {STATUS}, {TRIAGE}, " + """sv AS (
+  SELECT sepsis_status, subject_id, t.* FROM flagged f JOIN triage t ON f.stay_id = t.stay_id)"""
+
+MICRO = """micro AS (
+  SELECT l_orderkey * 10 + l_linenumber AS microevent_id, l_orderkey AS hadm_id,
+         l_suppkey AS spec_itemid, l_returnflag AS spec_type_desc, l_linenumber AS test_seq,
+         CASE WHEN l_returnflag <> 'N' THEN l_linestatus END AS org_name,
+         l_quantity AS quantity, l_extendedprice AS dilution_value, l_shipdate AS charttime,
+         o_custkey AS subject_id
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey)"""
+
+ITEMS = """items AS (
+  SELECT event_type AS itemid, upper(event_type) AS label,
+         CASE WHEN event_type IN ('click', 'view') THEN 'browse'
+              WHEN event_type = 'error' THEN NULL ELSE 'account' END AS category,
+         'unit' AS unitname,
+         CASE WHEN event_type <> 'signup' THEN CAST(floor(avg(value) / 2) AS DOUBLE) END
+           AS lownormalvalue,
+         CASE WHEN event_type <> 'signup' THEN CAST(floor(avg(value) * 2) AS DOUBLE) END
+           AS highnormalvalue
+  FROM events GROUP BY event_type)"""
+
+SERIES = """series AS (
+  SELECT user_id AS stay_id, CAST(ts AS DATE) AS chart_date,
+         CAST(hour(ts) AS INTEGER) AS hour_of_day, event_type, value FROM events)"""
+
+BALANCE = f"{STAYS}, " + """ins AS (
+  SELECT l_orderkey, sum(l_quantity) AS total_input_ml FROM lineitem
+  WHERE l_returnflag <> 'N' GROUP BY 1),
+outs AS (
+  SELECT l_orderkey, sum(l_quantity) AS total_output_ml FROM lineitem
+  WHERE l_returnflag = 'N' GROUP BY 1),
+balance AS (
+  SELECT stay_id, subject_id, intime, outtime, total_input_ml, total_output_ml,
+         coalesce(total_input_ml, 0) - coalesce(total_output_ml, 0) AS fluid_balance_ml
+  FROM stays LEFT JOIN ins ON ins.l_orderkey = stay_id
+       LEFT JOIN outs ON outs.l_orderkey = stay_id)"""
+
+LAST = f"{BALANCE}, {PATIENTS}, " + """latest AS (
+  SELECT * FROM balance
+  QUALIFY row_number() OVER (PARTITION BY subject_id ORDER BY intime DESC, stay_id DESC) = 1),
+last_stay AS (
+  SELECT latest.*, dod, anchor_age,
+         CASE WHEN fluid_balance_ml > 0 THEN 'Positive' ELSE 'Negative' END AS fluid_balance_group,
+         CASE WHEN dod IS NULL THEN 'Alive' ELSE 'Dead' END AS mortality
+  FROM latest LEFT JOIN patients USING (subject_id))"""
+
+DIAGNOSES = """dxe AS (
+  SELECT o_custkey AS subject_id, o_orderkey AS hadm_id, l_linenumber AS seq_num,
+         p_brand AS icd_code, p_size AS icd_version, p_name AS long_title
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey)"""
+
+
+# --- 32-bit hash used by the samples -----------------------------------------------------
+
+
+def _rotl(x: str, r: int) -> str:
+    return f"((({x} << {r}) | ({x} >> {32 - r})) & 4294967295::UBIGINT)"
+
+
+def hash_steps(words: list[str], length: int, start: str, tag: str) -> tuple[list[str], str]:
+    """Select-list steps of the 32-bit Murmur3 hash of the given 32-bit words."""
+    steps, h = [], start
+
+    def step(name: str, expr: str) -> str:
+        steps.append(f"{expr} AS {tag}{name}")
+        return f"{tag}{name}"
+
+    for i, word in enumerate(words):
+        k = step(f"a{i}", f"({word} * 3432918353::UBIGINT) % 4294967296::UBIGINT")
+        k = step(f"b{i}", _rotl(k, 15))
+        k = step(f"c{i}", f"({k} * 461845907::UBIGINT) % 4294967296::UBIGINT")
+        h = step(f"d{i}", f"xor({h}, {k})")
+        h = step(f"e{i}", _rotl(h, 13))
+        h = step(f"f{i}", f"({h} * 5::UBIGINT + 3864292196::UBIGINT) % 4294967296::UBIGINT")
+    h = step("g", f"xor({h}, {length}::UBIGINT)")
+    h = step("h", f"xor({h}, {h} >> 16)")
+    h = step("i", f"({h} * 2246822507::UBIGINT) % 4294967296::UBIGINT")
+    h = step("j", f"xor({h}, {h} >> 13)")
+    h = step("k", f"({h} * 3266489909::UBIGINT) % 4294967296::UBIGINT")
+    h = step("l", f"xor({h}, {h} >> 16)")
+    return steps, h
+
+
+def _long_words(col: str) -> list[str]:
+    return [f"({col}::UBIGINT & 4294967295::UBIGINT)", f"({col}::UBIGINT >> 32)"]
+
+
+def _hashed(source: str, keys: list[tuple[str, str]]) -> str:
+    """``source`` rows with their unsigned hash ``u`` over ``(kind, column)`` keys, seed 42."""
+    steps, h = [], "42::UBIGINT"
+    for i, (kind, col) in enumerate(keys):
+        words = [f"({col})::UBIGINT"] if kind == "int" else _long_words(col)
+        more, h = hash_steps(words, 4 * len(words), h, f"h{i}")
+        steps += more
+    return f"SELECT *, {', '.join(steps)}, {h} AS u FROM {source}"
+
+
+def _draw(rate: float) -> str:
+    return f"((u + 2147483648::UBIGINT) % 4294967296::UBIGINT) < {int(rate * (1 << 32))}::UBIGINT"
+
+
+EVENT_COLUMNS = (
+    "event_id, user_id AS stay_id, ts AS charttime, event_type AS itemid, value AS valuenum"
+)
+
+
+def _sample(keys: list[tuple[str, str]], rate: float) -> str:
+    return f"SELECT {EVENT_COLUMNS} FROM ({_hashed('events', keys)}) WHERE {_draw(rate)}"
+
+
+CRITICAL = f"""WITH {ITEMS}, flagged AS (
+  SELECT event_id, e.event_type AS itemid, value AS valuenum,
+         (value < lownormalvalue OR value > highnormalvalue) AS is_critical
+  FROM events e LEFT JOIN items i ON i.itemid = e.event_type)
+SELECT event_id, itemid, valuenum, is_critical
+FROM ({_hashed('flagged', [('int', '42'), ('long', 'event_id')])})
+WHERE coalesce(is_critical, false) OR {_draw(0.1)}"""
+
+
+# --- features ----------------------------------------------------------------------------
+
+_VITALS = {"heart_rate": "click", "sbp": "view", "spo2": "purchase", "resp_rate": "error",
+           "temperature": "signup"}
+_WORDS = {"has_sepsis": "widget", "has_heart_failure": "gizmo", "has_pneumonia": "bolt",
+          "has_resp_failure": "ring"}
+
+
+def _vital_columns() -> str:
+    out = []
+    for name, fn in (("mean", "avg"), ("min", "min"), ("max", "max")):
+        for vital, kind in _VITALS.items():
+            out.append(f"{fn}(CASE WHEN event_type = '{kind}' THEN value END) AS {name}_{vital}")
+    return ", ".join(out)
+
+
+_FLAGS = ", ".join(
+    f"max(CASE WHEN lower(long_title) LIKE '%{w}%' THEN 1 ELSE 0 END) AS {n}"
+    for n, w in _WORDS.items()
+)
+
+FEATURES = f"""{PATIENTS}, {DIAGNOSES}, spans AS (
+  SELECT user_id AS stay_id, min(ts) AS intime FROM events GROUP BY 1),
+vitals AS (
+  SELECT stay_id, {_vital_columns()} FROM events JOIN spans ON user_id = stay_id
+  WHERE ts < intime + INTERVAL 24 HOUR GROUP BY stay_id),
+dx AS (SELECT subject_id, count(*) AS dx_count, {_FLAGS} FROM dxe GROUP BY subject_id),
+features AS (
+  SELECT s.stay_id, s.stay_id AS subject_id, anchor_age AS age,
+         CASE WHEN gender = 'BUILDING' THEN 1 ELSE 0 END AS is_male,
+         CASE WHEN lower(gender) LIKE '%machinery%' THEN 1 ELSE 0 END AS is_emergency,
+         v.* EXCLUDE (stay_id), coalesce(dx_count, 0) AS dx_count,
+         {', '.join(f'coalesce({n}, 0) AS {n}' for n in _WORDS)},
+         CASE WHEN mean_sbp > 0 THEN mean_heart_rate / mean_sbp ELSE 0.0 END AS shock_index
+  FROM spans s LEFT JOIN patients p ON p.subject_id = s.stay_id
+       LEFT JOIN vitals v ON v.stay_id = s.stay_id LEFT JOIN dx ON dx.subject_id = s.stay_id),
+reasons AS (
+  SELECT stay_id, list_filter([
+           CASE WHEN dx_count > 10 THEN 'multimorbidity' END,
+           CASE WHEN has_sepsis = 1 THEN 'sepsis' END,
+           CASE WHEN shock_index > 0.9 THEN 'hemodynamic_instability' END,
+           CASE WHEN is_emergency = 1 THEN 'emergency_admission' END],
+           lambda x: x IS NOT NULL) AS found FROM features),
+named AS (
+  SELECT stay_id, CASE WHEN len(found) > 0 THEN found ELSE ['stable'] END AS reasons
+  FROM reasons),
+logits AS (
+  SELECT *, -4.0 + coalesce(age, 0) * 0.03 + has_sepsis * 0.8 + coalesce(shock_index, 0) * 0.5
+              + dx_count * 0.005 AS zm,
+         -1.0 + coalesce(age, 0) * 0.01 + dx_count * 0.01 + is_emergency * 0.4 AS zr,
+         0.2 + has_sepsis * 0.4 + coalesce(mean_resp_rate, 0) * 0.002 AS z0,
+         0.4 + has_pneumonia * 0.2 AS z1,
+         0.6 + is_male * 0.1 + coalesce(age, 0) * -0.004 AS z2 FROM features),
+scored AS (
+  SELECT *, 1 / (1 + exp(-zm)) AS mp, 1 / (1 + exp(-zr)) AS rp,
+         CASE WHEN z0 >= greatest(z1, z2) THEN 0 WHEN z1 >= z2 THEN 1 ELSE 2 END AS stay_class,
+         exp(greatest(z0, z1, z2)) / (exp(z0) + exp(z1) + exp(z2)) AS conf FROM logits)"""
+
+_ROUNDED = [f"{n}_{v}" for n in ("mean", "min", "max") for v in _VITALS] + ["shock_index"]
+_PLAIN = ["stay_id", "subject_id", "age", "is_male", "is_emergency", *_WORDS]
+
+CLEANED = """SELECT user_id AS subject_id, user_id AS stay_id, event_type AS itemid,
+  ts AS charttime, CASE WHEN event_type = 'signup' THEN NULL ELSE props END AS value,
+  value AS valuenum, CASE WHEN event_type = 'signup' THEN NULL ELSE 'unit' END AS valueuom,
+  CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS warning
+FROM events WHERE value >= 1"""
+
+_STAT_VITALS = ("temperature", "heartrate", "resprate", "o2sat")
+
+
+def _pct(rule: str, name: str) -> str:
+    hits = f"count(CASE WHEN {rule} THEN 1 END)"
+    return (
+        f"{hits} AS {name}_count, "
+        f"CAST(round(CAST(100.0 * {hits} / count(*) AS DOUBLE), 1) AS DOUBLE) AS {name}_pct"
+    )
+
+
+_COMPARE = f"""WITH {STATUS_VITALS}, compared AS (
+  SELECT sepsis_status, count(DISTINCT subject_id) AS patient_count,
+    round(avg(temperature), 1) AS avg_temperature, round(avg(heartrate), 0) AS avg_heartrate,
+    round(avg(resprate), 0) AS avg_resprate, round(avg(o2sat), 1) AS avg_o2sat,
+    round(avg(sbp), 0) AS avg_sbp, round(avg(dbp), 0) AS avg_dbp,
+    round(avg(acuity), 1) AS avg_acuity,
+    round(stddev_samp(CAST(temperature AS DOUBLE)), 2) AS std_temperature,
+    round(stddev_samp(CAST(heartrate AS DOUBLE)), 1) AS std_heartrate,
+    round(stddev_samp(CAST(resprate AS DOUBLE)), 1) AS std_resprate,
+    round(stddev_samp(CAST(o2sat AS DOUBLE)), 2) AS std_o2sat
+  FROM sv GROUP BY sepsis_status)"""
+
+_METRICS = {"Temperature (°C)": "avg_temperature", "Heart Rate (bpm)": "avg_heartrate",
+            "Resp Rate (breaths/min)": "avg_resprate", "O2 Sat (%)": "avg_o2sat",
+            "Systolic BP (mmHg)": "avg_sbp", "Diastolic BP (mmHg)": "avg_dbp"}
+
+
+def _aligned(keys: str) -> str:
+    return f"""WITH {SERIES}, a AS (
+  SELECT {keys}, avg(value) AS x FROM series WHERE event_type = 'click' GROUP BY ALL),
+b AS (SELECT {keys}, avg(value) AS y FROM series WHERE event_type = 'view' GROUP BY ALL)
+SELECT {keys}, round(x, 6) AS hr_avg, round(y, 6) AS spo2_avg FROM a JOIN b USING ({keys})"""
+
+
+CHECKS: dict[str, str] = {
+    "stays_calendar": f"""WITH {STAYS} SELECT stay_id, subject_id, hadm_id, first_careunit,
+        last_careunit, los, diagnoses_icd_key, intime_date, intime_time, outtime_date,
+        outtime_time, intime_date AS date_key, CAST(intime AS DATE) AS full_date,
+        CAST(extract(day FROM intime) AS INTEGER) AS day,
+        CAST(extract(week FROM intime) AS INTEGER) AS week,
+        CAST(extract(month FROM intime) AS INTEGER) AS month,
+        CAST(extract(quarter FROM intime) AS INTEGER) AS quarter,
+        CAST(extract(year FROM intime) AS INTEGER) AS year FROM stays""",
+    "stays_by_year": f"""WITH {STAYS} SELECT CAST(extract(year FROM intime) AS INTEGER) AS year,
+        count(DISTINCT stay_id) AS stay_count FROM stays GROUP BY 1""",
+    "stays_by_unit": """SELECT o_orderpriority AS first_careunit,
+        count(DISTINCT o_orderkey) AS stay_count FROM orders
+        WHERE o_orderpriority IS NOT NULL GROUP BY 1""",
+    "stays_by_segment": """SELECT c_mktsegment AS gender, count(DISTINCT o_orderkey) AS stay_count
+        FROM orders JOIN customer ON o_custkey = c_custkey
+        WHERE c_mktsegment IS NOT NULL GROUP BY 1""",
+    "top10_codes": f"""WITH {STAYS} SELECT p_brand AS icd_code, p_name AS long_title,
+        count(DISTINCT stay_id) AS stay_count FROM stays JOIN part
+        ON diagnoses_icd_key = p_partkey GROUP BY 1, 2
+        ORDER BY stay_count DESC, icd_code, long_title LIMIT 10""",
+    "aligned_hourly": _aligned("stay_id, chart_date, hour_of_day"),
+    "aligned_daily": _aligned("stay_id, chart_date"),
+    "hourly_vitals": f"""WITH {SERIES} SELECT stay_id, chart_date, hour_of_day,
+        round(avg(value), 6) AS avg_value, max(value) AS max_value, min(value) AS min_value,
+        count(*) AS n_obs FROM series WHERE event_type = 'click' GROUP BY 1, 2, 3""",
+    "ed_triage_left": f"""WITH {TRIAGE} SELECT o_orderkey AS stay_id, o_custkey AS subject_id,
+        o_orderstatus AS gender, o_orderpriority AS race, o_orderpriority AS arrival_transport,
+        o_orderstatus AS disposition, temperature, heartrate, resprate, o2sat, sbp, dbp, acuity
+        FROM orders LEFT JOIN triage ON stay_id = o_orderkey""",
+    "stay_duration": f"""WITH {STAYS} SELECT stay_id,
+        CAST(epoch(outtime) - epoch(intime) AS BIGINT) AS stay_duration_seconds FROM stays""",
+    "monitored_duration": """SELECT user_id AS stay_id,
+        CAST(epoch(date_trunc('second', max(ts))) - epoch(date_trunc('second', min(ts)))
+             AS BIGINT) AS stay_duration_seconds FROM events GROUP BY 1""",
+    "sepsis_flag": f"""WITH {STAYS}, {STATUS} SELECT stay_id, subject_id, los, first_careunit,
+        last_careunit, CASE sepsis_status WHEN 'Sepsis' THEN 1 ELSE 0 END AS sepsis_flag
+        FROM flagged""",
+    "sepsis_micro_flag": f"""WITH {STAYS}, {STATUS}, {MICRO} SELECT stay_id, subject_id, los,
+        first_careunit, last_careunit,
+        CASE sepsis_status WHEN 'Sepsis' THEN 1 ELSE 0 END AS sepsis_flag,
+        CASE WHEN subject_id IN (SELECT subject_id FROM micro) THEN 1 ELSE 0 END
+          AS has_micro_event FROM flagged""",
+    "sepsis_count": f"""WITH {STAYS}, {STATUS} SELECT sepsis_status,
+        count(DISTINCT subject_id) AS patient_count FROM flagged GROUP BY 1""",
+    "vitals_stats": f"""WITH {STATUS_VITALS} SELECT sepsis_status,
+        count(DISTINCT subject_id) AS patient_count, """
+    + ", ".join(
+        f"round(avg({v}), 6) AS avg_{v}, CAST(min({v}) AS DOUBLE) AS min_{v}, "
+        f"CAST(max({v}) AS DOUBLE) AS max_{v}"
+        for v in _STAT_VITALS
+    )
+    + """, round(avg(sbp), 6) AS avg_sbp, round(avg(dbp), 6) AS avg_dbp,
+        round(avg(acuity), 6) AS avg_acuity
+        FROM sv WHERE temperature IS NOT NULL GROUP BY 1""",
+    "vitals_compare": f"{_COMPARE} SELECT * FROM compared",
+    "vitals_transposed": f"{_COMPARE} "
+    + " UNION ALL ".join(
+        f"SELECT '{label}' AS metric, "
+        f"max(CASE WHEN sepsis_status = 'Non-Sepsis' THEN {c} END) AS non_sepsis, "
+        f"max(CASE WHEN sepsis_status = 'Sepsis' THEN {c} END) AS sepsis FROM compared"
+        for label, c in _METRICS.items()
+    ),
+    "complaints_by_status": f"""WITH {STATUS_VITALS} SELECT sepsis_status, chiefcomplaint,
+        count(*) AS complaint_count FROM sv WHERE chiefcomplaint IS NOT NULL GROUP BY 1, 2""",
+    "abnormal_vitals": f"""WITH {STATUS_VITALS} SELECT sepsis_status,
+        count(*) AS total_patients, {_pct('temperature > 38.0 OR temperature < 36.0',
+        'abnormal_temp')}, {_pct('heartrate > 100', 'tachycardia')},
+        {_pct('resprate > 20', 'tachypnea')}, {_pct('o2sat < 95', 'low_o2')},
+        {_pct('sbp < 90', 'hypotension')} FROM sv GROUP BY 1""",
+    "demographics": f"""WITH {PATIENTS} SELECT gender, count(*) AS patient_count,
+        round(avg(anchor_age), 6) AS avg_age, min(anchor_age) AS min_age,
+        max(anchor_age) AS max_age FROM patients GROUP BY 1""",
+    "los_median": f"""WITH {STAYS} SELECT last_careunit, count(*) AS admission_count,
+        round(avg(los), 6) AS avg_los, min(los) AS min_los, max(los) AS max_los,
+        quantile_cont(los, 0.5) AS median_los FROM stays GROUP BY 1""",
+    "micro_with_stays": f"""WITH {STAYS}, {MICRO} SELECT m.*, stay_id, first_careunit, los
+        FROM micro m LEFT JOIN stays s ON m.subject_id = s.subject_id AND m.hadm_id = s.hadm_id
+        WHERE org_name IS NOT NULL""",
+    "micro_complete": f"""WITH {STAYS}, {MICRO} SELECT m.*, stay_id, first_careunit, los
+        FROM micro m LEFT JOIN stays s ON m.subject_id = s.subject_id AND m.hadm_id = s.hadm_id
+        WHERE microevent_id IS NOT NULL AND m.hadm_id IS NOT NULL AND spec_itemid IS NOT NULL
+        AND spec_type_desc IS NOT NULL AND test_seq IS NOT NULL AND org_name IS NOT NULL
+        AND quantity IS NOT NULL AND dilution_value IS NOT NULL AND charttime IS NOT NULL
+        AND m.subject_id IS NOT NULL""",
+    "items_listing": f"WITH {ITEMS} SELECT * FROM items",
+    "items_in_category": f"WITH {ITEMS} SELECT * FROM items WHERE category = 'account'",
+    "item_categories": f"""WITH {ITEMS} SELECT DISTINCT category FROM items
+        WHERE category IS NOT NULL""",
+    "fluid_balance": f"WITH {BALANCE} SELECT * FROM balance",
+    "fluid_balance_strict": f"""WITH {BALANCE} SELECT * REPLACE
+        (total_input_ml - total_output_ml AS fluid_balance_ml) FROM balance""",
+    "last_stay": f"""WITH {LAST} SELECT stay_id, subject_id, intime, outtime, total_input_ml,
+        total_output_ml, fluid_balance_ml, dod FROM last_stay""",
+    "mortality_by_balance": f"""WITH {LAST} SELECT fluid_balance_group, mortality,
+        count(subject_id) AS subject_count FROM last_stay GROUP BY 1, 2""",
+    "mortality_by_age": f"""WITH {LAST} SELECT CASE WHEN anchor_age < 18 THEN 'Under 18'
+        WHEN anchor_age < 40 THEN '18–39' WHEN anchor_age < 65 THEN '40–64'
+        WHEN anchor_age < 90 THEN '65–89' ELSE '90+' END AS age_group, fluid_balance_group,
+        mortality, count(DISTINCT subject_id) AS subject_count FROM last_stay GROUP BY 1, 2, 3""",
+    "ols_pair": f"""SELECT round(regr_slope(spo2_avg, hr_avg), 6) AS slope,
+        round(regr_intercept(spo2_avg, hr_avg), 6) AS intercept,
+        round(regr_r2(spo2_avg, hr_avg), 6) AS r2, count(*) AS n
+        FROM ({_aligned('stay_id, chart_date, hour_of_day')})""",
+    "ols_triage": f"""WITH {TRIAGE}, pairs AS (
+        SELECT CAST(heartrate AS DOUBLE) AS y, CAST(acuity AS DOUBLE) AS x FROM orders
+        JOIN triage ON stay_id = o_orderkey WHERE heartrate IS NOT NULL AND acuity IS NOT NULL)
+        SELECT round(regr_slope(y, x), 6) AS slope, round(regr_intercept(y, x), 6) AS intercept,
+        round(regr_r2(y, x), 6) AS r2, count(*) AS n FROM pairs""",
+    "date_dim_span": f"""WITH {STAYS}, span AS (
+        SELECT CAST(least(min(intime), min(outtime)) AS DATE) AS lo,
+               CAST(greatest(max(intime), max(outtime)) AS DATE) AS hi FROM stays),
+        days AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS d
+                 FROM span)
+        SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS full_date,
+        CAST(extract(day FROM d) AS INTEGER) AS day, CAST(extract(week FROM d) AS INTEGER) AS week,
+        CAST(extract(month FROM d) AS INTEGER) AS month,
+        CAST(extract(quarter FROM d) AS INTEGER) AS quarter,
+        CAST(extract(year FROM d) AS INTEGER) AS year FROM days""",
+    "date_attributes": """SELECT CAST(extract(year FROM o_orderdate) AS INTEGER) AS year,
+        CAST(extract(quarter FROM o_orderdate) AS INTEGER) AS quarter,
+        CAST(extract(month FROM o_orderdate) AS INTEGER) AS month,
+        CAST(extract(week FROM o_orderdate) AS INTEGER) AS week,
+        count(*) AS admissions FROM orders GROUP BY 1, 2, 3, 4""",
+    "time_dim_hits": """SELECT count(*) AS events,
+        CAST(hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS INTEGER) AS time_key,
+        strftime(date_trunc('second', ts), '%H:%M:%S') AS time_value,
+        CAST(hour(ts) AS INTEGER) AS hour, CAST(minute(ts) AS INTEGER) AS minute,
+        CAST(second(ts) AS INTEGER) AS second FROM events GROUP BY ALL""",
+    "calendar_keys": """SELECT event_id,
+        CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS charttime_date,
+        CAST(hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS INTEGER) AS charttime_time
+        FROM events""",
+    "keys_roundtrip": """SELECT event_id, CAST(date_trunc('second', ts) AS TIMESTAMP)
+        AS charttime_second FROM events""",
+    "admission_dim": f"""WITH {STAYS} SELECT hadm_id, subject_id, first_careunit, intime_date,
+        intime_time, outtime_date, outtime_time FROM stays""",
+    "diagnosis_dim": f"""WITH {DIAGNOSES} SELECT CAST(min(seq_num) AS INTEGER) AS seq_num,
+        p_brand AS icd_code, p_size AS icd_version, p_name AS long_title
+        FROM dxe JOIN part ON p_brand = icd_code AND p_size = icd_version
+        GROUP BY p_brand, p_size, p_name""",
+    "diagnosis_key": f"""WITH {DIAGNOSES}, first_dx AS (
+        SELECT hadm_id, icd_code, icd_version FROM dxe QUALIFY row_number() OVER
+        (PARTITION BY hadm_id ORDER BY seq_num, icd_code, icd_version) = 1),
+        titles AS (SELECT p_brand, p_size, min(p_name) AS long_title FROM part GROUP BY 1, 2)
+        SELECT o_orderkey AS stay_id, icd_code, icd_version, long_title,
+        icd_code IS NOT NULL AS resolved FROM orders LEFT JOIN first_dx ON hadm_id = o_orderkey
+        LEFT JOIN titles ON p_brand = icd_code AND p_size = icd_version""",
+    "clean_events": CLEANED,
+    "dedup_micro": f"""WITH {MICRO} SELECT microevent_id, subject_id, charttime, spec_itemid,
+        quantity, dilution_value FROM micro QUALIFY row_number() OVER (PARTITION BY microevent_id
+        ORDER BY charttime, spec_itemid, quantity, dilution_value) = 1""",
+    "json_roundtrip": """SELECT event_id, user_id AS stay_id,
+        strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS charttime, event_type AS itemid,
+        value AS valuenum, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""",
+    "json_bad_rows": """SELECT CASE event_type WHEN 'error' THEN 'malformed' ELSE event_type END
+        AS itemid, count(*) AS n FROM events GROUP BY 1""",
+    "message_keys": """SELECT CAST(user_id AS VARCHAR) AS key, count(*) AS messages
+        FROM events GROUP BY 1""",
+    "delivery_counters": """SELECT count(*) FILTER (lang = 'en') AS messages_sent,
+        count(*) FILTER (lang <> 'en') AS messages_failed,
+        CAST(sum(CASE WHEN lang = 'en' THEN strlen(text) END) AS BIGINT) AS bytes_sent
+        FROM documents""",
+    "normalise_rows": """SELECT event_id, CAST(user_id AS INTEGER) AS stay_id,
+        CASE WHEN event_type <> 'signup' THEN value END AS valuenum,
+        CASE WHEN event_type <> 'error' THEN upper(event_type) END AS label,
+        CASE WHEN event_type = 'view' THEN 'not a time'
+             ELSE strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S') END AS charttime,
+        CAST(NULL AS VARCHAR) AS note FROM events""",
+    "iso_times": """SELECT event_id, CASE WHEN date_trunc('second', ts) = ts
+        THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END
+        AS iso FROM events""",
+    "validation_split": f"""WITH {STAYS} SELECT stay_id, los FROM stays
+        WHERE los IS NULL OR los < 0""",
+    "out_of_range": f"""WITH {ITEMS} SELECT event_id, event_type AS itemid, label,
+        value AS valuenum, (value < lownormalvalue OR value > highnormalvalue) AS is_critical
+        FROM events LEFT JOIN items ON itemid = event_type""",
+    "not_null_gate": f"""WITH {STAYS} SELECT stay_id, concat_ws(',',
+        CASE WHEN subject_id IS NULL THEN 'subject_id' END,
+        CASE WHEN outtime_date IS NULL THEN 'outtime_date' END,
+        CASE WHEN diagnoses_icd_key IS NULL THEN 'diagnoses_icd_key' END) AS missing FROM stays
+        WHERE subject_id IS NULL OR outtime_date IS NULL OR diagnoses_icd_key IS NULL""",
+    "pk_violations": f"""WITH {MICRO} SELECT microevent_id, count(*) AS row_count FROM micro
+        GROUP BY 1 HAVING count(*) > 1 OR microevent_id IS NULL""",
+    "fk_violations": f"""WITH {PATIENTS} SELECT o_custkey AS subject_id, o_orderkey AS stay_id
+        FROM orders WHERE o_custkey IS NOT NULL
+        AND o_custkey NOT IN (SELECT subject_id FROM patients WHERE dod IS NULL)""",
+    "fk_violation_counts": f"""WITH {PATIENTS} SELECT o_custkey AS subject_id,
+        count(*) AS row_count FROM orders WHERE o_custkey NOT IN
+        (SELECT subject_id FROM patients WHERE dod IS NULL) GROUP BY 1""",
+    "fk_valid": f"""WITH {PATIENTS} SELECT o_custkey AS subject_id, o_orderkey AS stay_id
+        FROM orders WHERE o_custkey IN (SELECT subject_id FROM patients WHERE dod IS NULL)""",
+    "insert_absent": """SELECT o_orderkey AS stay_id, o_custkey AS subject_id,
+        CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS intime_date
+        FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'""",
+    "load_report": f"""WITH {MICRO}, counted AS (
+        SELECT 'micro' AS table_name, count(*) AS r, count(DISTINCT microevent_id) AS k FROM micro
+        UNION ALL SELECT 'stays', count(*), count(DISTINCT o_orderkey) FROM orders)
+        SELECT table_name, r AS rows_read, k AS rows_kept, r - k AS duplicates,
+        CAST(0 AS BIGINT) AS incomplete_keys,
+        CAST(round(CAST(100.0 * k / r AS DOUBLE), 2) AS DOUBLE) AS kept_pct FROM counted""",
+    "dim_counts": """SELECT 'patients' AS table_name, count(*) AS record_count FROM customer
+        UNION ALL SELECT 'diagnoses', count(*) FROM part
+        UNION ALL SELECT 'stays', count(*) FROM orders
+        UNION ALL SELECT 'items', count(DISTINCT event_type) FROM events""",
+    "dim_samples": f"WITH {PATIENTS} SELECT * FROM patients ORDER BY subject_id LIMIT 5",
+    "table_inventory": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, CAST({n} AS BIGINT) AS column_count, "
+        f"count(*) AS row_count FROM {t}"
+        for t, n in (("customer", 5), ("events", 6), ("lineitem", 11), ("orders", 6), ("part", 6),
+                     ("supplier", 4))
+    ),
+    "table_profile": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{t}' AS data_type, count({c}) AS non_null, "
+        f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value "
+        "FROM events"
+        for c, t in (("event_id", "bigint"), ("user_id", "bigint"), ("event_type", "string"))
+    ),
+    "sql_on_views": f"""WITH {STAYS} SELECT last_careunit, count(*) AS long_stays FROM stays
+        WHERE los > 30 GROUP BY 1""",
+    "incremental_window": """SELECT event_id, ts AS charttime FROM events
+        WHERE ts > TIMESTAMP '2024-01-10' AND ts <= TIMESTAMP '2024-01-20'""",
+    "incremental_load": """SELECT user_id AS subject_id, user_id AS hadm_id, user_id AS stay_id,
+        CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS charttime_date,
+        CAST(hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS INTEGER) AS charttime_time,
+        event_type AS itemid, props AS value, value AS valuenum,
+        CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS warning FROM events""",
+    "sample_uniform": _sample([("int", "42"), ("long", "event_id")], 0.1),
+    "sample_critical": CRITICAL,
+    "sample_hash": f"""SELECT {EVENT_COLUMNS} FROM ({_hashed('events', [('long', 'user_id')])})
+        WHERE CASE WHEN u >= 2147483648 THEN 4294967296 - u ELSE u END % 10 = 0""",
+    "sample_stratified": _sample(
+        [
+            ("int", "42"),
+            ("int", "date_diff('day', DATE '1970-01-01', CAST(ts AS DATE))"),
+            ("long", "event_id"),
+        ],
+        0.1,
+    ),
+    "sample_random": _sample([("int", "7"), ("long", "event_id")], 0.25),
+    "sample_systematic": f"""SELECT {EVENT_COLUMNS} FROM events
+        QUALIFY row_number() OVER (ORDER BY ts, event_id) % 10 = 0""",
+    "stay_features": f"""WITH {FEATURES} SELECT {', '.join(_PLAIN)}, dx_count,
+        {', '.join(f'round({c}, 6) AS {c}' for c in _ROUNDED)} FROM features""",
+    "aligned_features": f"""WITH {FEATURES} SELECT stay_id,
+        round(CAST(coalesce(age, 0) AS DOUBLE), 6) AS age,
+        round(coalesce(mean_heart_rate, 0), 6) AS mean_heart_rate,
+        round(coalesce(shock_index, 0), 6) AS shock_index, CAST(0 AS DOUBLE) AS age_group
+        FROM features""",
+    "risk_report": f"""WITH {FEATURES} SELECT stay_id, round(mp, 6) AS mortality_prob,
+        CASE WHEN mp > 0.5 THEN 'high' WHEN mp > 0.2 THEN 'medium' ELSE 'low' END
+          AS mortality_tier,
+        round(rp, 6) AS readmission_prob,
+        CASE WHEN rp > 0.5 THEN 'high' ELSE 'low' END AS readmission_tier,
+        CAST(stay_class AS INTEGER) AS stay_class,
+        CASE stay_class WHEN 0 THEN 'LONG STAY (>7 days)' WHEN 1 THEN 'MEDIUM (3-7 days)'
+          ELSE 'SHORT (<3 days)' END AS stay_label,
+        round(conf, 6) AS stay_confidence, array_to_string(reasons, ',') AS reasons
+        FROM scored JOIN named USING (stay_id)""",
+    "reason_counts": f"""WITH {FEATURES}, each AS (SELECT unnest(reasons) AS reason FROM named)
+        SELECT reason, count(*) AS stays FROM each GROUP BY 1""",
+    "stream_bronze_silver": """SELECT event_id, user_id AS stay_id, ts AS charttime,
+        event_type AS itemid, value AS valuenum, 'unit' AS valueuom,
+        CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS warning FROM events""",
+    "stream_quarantine": """SELECT 'bronze' AS table_name,
+        2 * count(*) FILTER (event_type <> 'error') AS record_count FROM events
+        UNION ALL SELECT 'quarantine', 2 * count(*) FILTER (event_type = 'error') FROM events""",
+    "stream_enrich": CRITICAL,
+    "stream_monitor": """SELECT count(*) AS total_rows, count(*) AS row_count,
+        strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS newest_time FROM events""",
+}
