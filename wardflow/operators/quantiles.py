@@ -5,15 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality on several keys."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
 def exact_percentile(
     df: DataFrame,
     keys: Sequence[str],
@@ -29,10 +24,8 @@ def exact_percentile(
     ranges by a bounded sketch, and only the ranges that hold the wanted positions are ordered.
     """
     keys = list(keys)
-    counts = (
-        df.groupBy(*keys, F.col(value).cast("double").alias("_v"))
-        .agg(F.count("_v").alias("_n"))
-    )
+    values = df.select(*keys, F.col(value).cast("double").alias("_v")).dropna(subset=["_v"])
+    counts = values.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
     fractions = [i / splits for i in range(1, splits)]
     sketch = counts.groupBy(*keys).agg(
         F.sum("_n").alias("_total"),
@@ -43,8 +36,7 @@ def exact_percentile(
         lambda a, b: a & b, [counts[k].eqNullSafe(side[f"_k_{k}"]) for k in keys]
     )
     placed = (
-        counts.filter(F.col("_v").isNotNull())
-        .join(side, matched)
+        counts.join(side, matched)
         .select(
             *[counts[k] for k in keys],
             "_v",

@@ -20,6 +20,11 @@ def _double(col: Column, digits: int = ROUND) -> Column:
     return F.round(col, digits).cast("double")
 
 
+def _mean(name: str, digits: int = ROUND) -> Column:
+    """Mean of a decimal column, rounded once."""
+    return F.round(F.avg(F.col(name).cast("double")), digits)
+
+
 # --- stays -------------------------------------------------------------------------------
 
 
@@ -174,11 +179,11 @@ def vitals_stats(
     measures = [F.count_distinct("subject_id").alias("patient_count")]
     for vital in ("temperature", "heartrate", "resprate", "o2sat"):
         measures += [
-            _double(F.avg(vital)).alias(f"avg_{vital}"),
+            _mean(vital).alias(f"avg_{vital}"),
             F.min(vital).cast("double").alias(f"min_{vital}"),
             F.max(vital).cast("double").alias(f"max_{vital}"),
         ]
-    measures += [_double(F.avg(v)).alias(f"avg_{v}") for v in ("sbp", "dbp", "acuity")]
+    measures += [_mean(v).alias(f"avg_{v}") for v in ("sbp", "dbp", "acuity")]
     measured = rows.filter(F.col("temperature").isNotNull())
     return measured.groupBy("sepsis_status").agg(*measures).orderBy("sepsis_status")
 
@@ -194,7 +199,7 @@ def vitals_compare(
 ) -> DataFrame:
     """Rounded means and sample standard deviations by status."""
     rows = _status_vitals(stays, diagnoses, triage, keyword, link)
-    means = [_double(F.avg(v), d).alias(f"avg_{v}") for v, d in MEAN_DIGITS.items()]
+    means = [_mean(v, d).alias(f"avg_{v}") for v, d in MEAN_DIGITS.items()]
     stds = [_double(F.stddev_samp(v), d).alias(f"std_{v}") for v, d in STD_DIGITS.items()]
     counted = F.count_distinct("subject_id").alias("patient_count")
     return rows.groupBy("sepsis_status").agg(counted, *means, *stds).orderBy("sepsis_status")

@@ -20,6 +20,7 @@ from ..operators.dedup import dedup
 from ..operators.enrich import enrich_items, flag_out_of_range, with_date
 from ..operators.incremental import read_since
 from ..operators.star import diagnosis_dim, resolve_diagnosis_key
+from ..sinks.streams import write_stream
 from ..sinks.tables import insert_absent, table_inventory, write_table
 from ..session import work_path
 from ..sources import generators, messages
@@ -575,11 +576,16 @@ def trained_risk(spark: SparkSession, path: str) -> DataFrame:
 # --- streams -----------------------------------------------------------------------------
 
 
+def _event_stream(spark: SparkSession, path: str) -> DataFrame:
+    """The event table as a stream; the glob matches it as one file and as a folder of files."""
+    folder = path.rstrip("/")
+    schema = spark.read.parquet(f"{folder}/events.parquet").schema
+    return read_stream(spark, f"{folder}/events.parque[t]", schema, max_files=10)
+
+
 def _stream_messages(spark: SparkSession, path: str) -> DataFrame:
     """The event table as a stream of JSON messages, every message delivered twice."""
-    source = f"{path.rstrip('/')}/events.parquet"
-    events = read_stream(spark, source, spark.read.parquet(source).schema, max_files=10)
-    rows = events.select(
+    rows = _event_stream(spark, path).select(
         "event_id",
         F.col("user_id").alias("subject_id"),
         F.col("user_id").alias("hadm_id"),
@@ -637,11 +643,8 @@ def stream_quarantine(spark: SparkSession, path: str) -> DataFrame:
 @register_query("stream_enrich")
 def stream_enrich(spark: SparkSession, path: str) -> DataFrame:
     """Stream joined to the item dictionary, thinned out, with all critical events kept."""
-    from ..sinks.streams import write_stream
-
     root = work_path(spark, "enrich")
-    source = f"{path.rstrip('/')}/events.parquet"
-    events = read_stream(spark, source, spark.read.parquet(source).schema, max_files=10).select(
+    events = _event_stream(spark, path).select(
         "event_id", F.col("event_type").alias("itemid"), F.col("value").alias("valuenum")
     )
     items = Views(spark, path).items
@@ -655,10 +658,8 @@ def stream_enrich(spark: SparkSession, path: str) -> DataFrame:
 def stream_monitor(spark: SparkSession, path: str) -> DataFrame:
     """Rows seen by the monitor over all batches, and the newest event time."""
     root = work_path(spark, "monitor")
-    source = f"{path.rstrip('/')}/events.parquet"
-    events = read_stream(spark, source, spark.read.parquet(source).schema, max_files=10)
     query = monitor.monitor(
-        events, f"{root}/metrics", f"{root}/ck", time_col="ts", available_now=True
+        _event_stream(spark, path), f"{root}/metrics", f"{root}/ck", time_col="ts", available_now=True
     )
     jobs.drain([query])
     return monitor.read_metrics(spark, f"{root}/metrics").agg(

@@ -143,7 +143,10 @@ def _hashed(source: str, keys: list[tuple[str, str]]) -> str:
         words = [f"({col})::UBIGINT"] if kind == "int" else _long_words(col)
         more, h = hash_steps(words, 4 * len(words), h, f"h{i}")
         steps += more
-    return f"SELECT *, {', '.join(steps)}, {h} AS u FROM {source}"
+    for step in steps:
+        source = f"(SELECT *, {step} FROM {source})"
+    return f"SELECT *, {h} AS u FROM {source}"
+
 
 
 def _draw(rate: float) -> str:
