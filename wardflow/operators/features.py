@@ -16,6 +16,7 @@ from ..functions.clinical import (
     stay_class_label,
 )
 from ..functions.text import contains_keyword
+from .joins import spread_join
 
 # Vital signs and diagnosis groups that make up the feature vector.
 VITALS = ("heart_rate", "sbp", "spo2", "resp_rate", "temperature")
@@ -40,17 +41,15 @@ def vital_features(
 ) -> DataFrame:
     """Mean, min and max of each vital sign in the first hours of a stay, one row per stay.
 
-    The item filter runs before the join and the aggregation is conditional in one pass, so the
-    events are read once and only (stay, partial aggregates) are shuffled after the join.
+    The item filter runs before the join, the join spreads a hot stay over several tasks, and
+    the aggregation is conditional in one pass, so only partial aggregates move after the join.
     """
     wanted = events.filter(F.col("itemid").isin(*items.values()))
-    admitted = stays.select("stay_id", "intime")
     length = F.expr(f"INTERVAL {int(hours)} HOURS")
-    early = (
-        wanted.select("stay_id", "itemid", "charttime", "valuenum")
-        .join(admitted, "stay_id")
-        .filter((F.col("charttime") >= F.col("intime")))
-        .filter(F.col("charttime") < F.col("intime") + length)
+    slim = wanted.select("stay_id", "itemid", "charttime", "valuenum")
+    early = spread_join(slim, stays.select("stay_id", "intime"), ["stay_id"]).filter(
+        (F.col("charttime") >= F.col("intime"))
+        & (F.col("charttime") < F.col("intime") + length)
     )
     measures = []
     for agg_name, agg in (("mean", F.avg), ("min", F.min), ("max", F.max)):

@@ -8,78 +8,74 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialise
+from .joins import spread_join
+
+
+def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Distinct values per key with their row count; equal values merge map-side."""
+    rows = df.select(*keys, F.col(value).cast("double").alias("_v"))
+    return rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+
 
 def exact_percentile(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    p: float,
-    alias: str,
-    splits: int = 64,
+    df: DataFrame, keys: Sequence[str], value: str, p: float, alias: str, splits: int = 64
+) -> DataFrame:
+    """``percentile_cont(p)`` of ``value`` per key, exact, one row per key that has a value."""
+    counts = materialise(value_counts(df, keys, value), "value-counts")
+    return percentile_of_counts(counts, keys, p, alias, splits)
+
+
+def percentile_of_counts(
+    counts: DataFrame, keys: Sequence[str], p: float, alias: str, splits: int = 64
 ) -> DataFrame:
-    """``percentile_cont(p)`` of ``value`` per key, exact, one row per key.
+    """Exact percentile from the output of :func:`value_counts`, which is read several times.
 
-    The built-in ``percentile`` keeps every distinct value of a group in one buffer.  Here equal
-    values are first merged into counts (map-side), each group's values are cut into ``splits``
-    ranges by a bounded sketch, and only the ranges that hold the wanted positions are ordered.
+    The built-in ``percentile`` keeps every distinct value of a group in one buffer.  Here each
+    group's values are cut into ``splits`` ranges by a bounded sketch, and only the ranges that
+    hold the wanted positions are ordered.
     """
     keys = list(keys)
-    values = df.select(*keys, F.col(value).cast("double").alias("_v")).dropna(subset=["_v"])
-    counts = values.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.dropna(subset=["_v"])
     fractions = [i / splits for i in range(1, splits)]
     sketch = counts.groupBy(*keys).agg(
         F.sum("_n").alias("_total"),
         F.percentile_approx("_v", fractions, 100 * splits).alias("_cuts"),
     )
-    side = sketch.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_total", "_cuts")
-    matched = reduce(
-        lambda a, b: a & b, [counts[k].eqNullSafe(side[f"_k_{k}"]) for k in keys]
-    )
-    placed = (
-        counts.join(side, matched)
-        .select(
-            *[counts[k] for k in keys],
-            "_v",
-            "_n",
-            "_total",
-            F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_range"),
-        )
-    )
+    at = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
+    placed = spread_join(counts, sketch, keys).select(*keys, "_v", "_n", "_total", at.alias("_range"))
+
     # At most ``splits`` rows per key reach the running sum.
     ranges = placed.groupBy(*keys, "_range").agg(
         F.sum("_n").alias("_size"), F.first("_total").alias("_all")
     )
     upto = Window.partitionBy(*keys).orderBy("_range")
-    position = F.lit(p) * (F.col("_all") - 1)
     located = ranges.select(
         *[F.col(k).alias(f"_k_{k}") for k in keys],
         F.col("_range").alias("_r"),
+        "_size",
         (F.sum("_size").over(upto) - F.col("_size")).alias("_before"),
-        F.col("_size"),
-        position.alias("_pos"),
+        (F.lit(p) * (F.col("_all") - 1)).alias("_pos"),
     ).filter(
         (F.floor("_pos") < F.col("_before") + F.col("_size"))
         & (F.ceil("_pos") >= F.col("_before"))
     )
-    hit = reduce(
-        lambda a, b: a & b,
-        [placed[k].eqNullSafe(located[f"_k_{k}"]) for k in keys]
-        + [placed["_range"] == located["_r"]],
-    )
+    hit = [placed[k].eqNullSafe(located[f"_k_{k}"]) for k in keys]
+    hit.append(placed["_range"] == located["_r"])
     within = Window.partitionBy(*keys, "_range").orderBy("_v")
-    ordered = placed.join(located, hit).select(
-        *[placed[k] for k in keys],
-        "_v",
-        "_n",
-        "_pos",
-        (F.col("_before") + F.sum("_n").over(within)).alias("_end"),
+    ordered = placed.join(located, reduce(lambda a, b: a & b, hit)).select(
+        *keys, "_v", "_n", "_pos", (F.col("_before") + F.sum("_n").over(within)).alias("_end")
     )
-    start = F.col("_end") - F.col("_n")
-    low_at, high_at = F.floor("_pos"), F.ceil("_pos")
-    low = F.max(F.when((start <= low_at) & (low_at < F.col("_end")), F.col("_v")))
-    high = F.max(F.when((start <= high_at) & (high_at < F.col("_end")), F.col("_v")))
-    weight = F.max(F.col("_pos") - low_at)
-    found = ordered.groupBy(*keys).agg(low.alias("_lo"), high.alias("_hi"), weight.alias("_w"))
-    return found.select(
-        *keys, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_w")).alias(alias)
+
+    def value_at(position):
+        inside = (F.col("_end") - F.col("_n") <= position) & (position < F.col("_end"))
+        return F.max(F.when(inside, F.col("_v")))
+
+    low, high = F.floor("_pos"), F.ceil("_pos")
+    found = ordered.groupBy(*keys).agg(
+        value_at(low).alias("_lo"),
+        value_at(high).alias("_hi"),
+        F.max(F.col("_pos") - low).alias("_w"),
     )
+    between = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_w")
+    return found.select(*keys, between.alias(alias))

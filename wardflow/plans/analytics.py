@@ -11,7 +11,8 @@ from ..functions.calendar import interval_seconds
 from ..functions.clinical import age_band, balance_group, mortality_label, net_balance
 from ..operators.dedup import top_per_key
 from ..operators.enrich import with_calendar, with_date, with_status
-from ..operators.quantiles import exact_percentile
+from ..operators.quantiles import percentile_of_counts, value_counts
+from ..session import materialise
 
 ROUND = 6
 
@@ -61,14 +62,20 @@ def top_codes(stays: DataFrame, diagnoses: DataFrame, k: int = 10) -> DataFrame:
 
 
 def los_stats(stays: DataFrame, unit: str = "last_careunit") -> DataFrame:
-    """Length of stay per unit: count, mean, range and exact median."""
-    basic = stays.groupBy(unit).agg(
-        F.count(F.lit(1)).alias("admission_count"),
-        _double(F.avg("los")).alias("avg_los"),
-        F.min("los").alias("min_los"),
-        F.max("los").alias("max_los"),
+    """Length of stay per unit: count, mean, range and exact median.
+
+    The stays are read once, into the row count of each (unit, length); every figure comes from
+    that small table.
+    """
+    counts = materialise(value_counts(stays, [unit], "los"), "los-counts")
+    known = F.when(F.col("_v").isNotNull(), F.col("_n"))
+    basic = counts.groupBy(unit).agg(
+        F.sum("_n").alias("admission_count"),
+        _double(F.sum(F.col("_v") * F.col("_n")) / F.sum(known)).alias("avg_los"),
+        F.min("_v").alias("min_los"),
+        F.max("_v").alias("max_los"),
     )
-    median = exact_percentile(stays, [unit], "los", 0.5, "median_los")
+    median = percentile_of_counts(counts, [unit], 0.5, "median_los")
     median = median.withColumnRenamed(unit, "_unit")
     joined = basic.join(median, basic[unit].eqNullSafe(median["_unit"]), "left").drop("_unit")
     return joined.orderBy(F.desc("admission_count"), F.col(unit).asc_nulls_last())

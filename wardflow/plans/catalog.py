@@ -22,7 +22,7 @@ from ..operators.incremental import read_since
 from ..operators.star import diagnosis_dim, resolve_diagnosis_key
 from ..sinks.streams import write_stream
 from ..sinks.tables import insert_absent, table_inventory, write_table
-from ..session import work_path
+from ..session import materialise, work_path
 from ..sources import generators, messages
 from ..sources.readers import profile, read_query, read_stream
 from ..specs import FactSpec, register_query
@@ -326,7 +326,7 @@ def validation_split(spark: SparkSession, path: str) -> DataFrame:
 @register_query("out_of_range")
 def out_of_range(spark: SparkSession, path: str) -> DataFrame:
     v = Views(spark, path)
-    flagged = flag_out_of_range(enrich_items(v.chart_events, v.items))
+    flagged = flag_out_of_range(enrich_items(v.chart_events, materialise(v.items, "items")))
     return flagged.select("event_id", "itemid", "label", "valuenum", "is_critical")
 
 
@@ -460,7 +460,7 @@ def sample_uniform(spark: SparkSession, path: str) -> DataFrame:
 @register_query("sample_critical")
 def sample_critical(spark: SparkSession, path: str) -> DataFrame:
     v = Views(spark, path)
-    flagged = flag_out_of_range(enrich_items(v.chart_events, v.items))
+    flagged = flag_out_of_range(enrich_items(v.chart_events, materialise(v.items, "items")))
     kept = sampling.critical_sample(flagged, F.col("is_critical"), 0.1, ["event_id"])
     return kept.select("event_id", "itemid", "valuenum", "is_critical")
 
@@ -569,6 +569,7 @@ def trained_risk(spark: SparkSession, path: str) -> DataFrame:
         "died", F.col("dod").isNotNull().cast("double")
     )
     names = ["age", "dx_count", "mean_heart_rate", "mean_sbp", "shock_index"]
+    features = materialise(features, "features")
     model = feat.train_classifier(features, names, "died", maxIter=5)
     return feat.apply_classifier(model, features, names, ["stay_id"])
 
@@ -647,7 +648,7 @@ def stream_enrich(spark: SparkSession, path: str) -> DataFrame:
     events = _event_stream(spark, path).select(
         "event_id", F.col("event_type").alias("itemid"), F.col("value").alias("valuenum")
     )
-    items = Views(spark, path).items
+    items = materialise(Views(spark, path).items, "items")
     kept = jobs.enrich_stream(events, items, 0.1, ["event_id"])
     kept = kept.select("event_id", "itemid", "valuenum", "is_critical")
     jobs.drain([write_stream(kept, f"{root}/out", f"{root}/ck", available_now=True)])

@@ -126,7 +126,10 @@ class ClinicalViews:
         orders = self.table("orders").select(
             F.col("o_orderkey").alias("hadm_id"), F.col("o_custkey").alias("subject_id")
         )
-        return lines.join(self.diagnoses, "diagnoses_icd_key").join(orders, "hadm_id").select(
+        # The join by diagnosis comes last: grouping by admission then shuffles partial results
+        # and leaves AQE free to split a hot admission in the first join.
+        coded = lines.join(orders, "hadm_id").join(self.diagnoses, "diagnoses_icd_key")
+        return coded.select(
             "subject_id", "hadm_id", "seq_num", "icd_code", "icd_version", "long_title"
         )
 

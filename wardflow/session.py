@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a job submitter passes at session start.  AQE splits skewed join partitions and picks
 # broadcast joins from measured sizes; RocksDB keeps unbounded dedup state off the JVM heap.
@@ -38,3 +38,15 @@ def shared_root(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh path below :func:`shared_root` for one run of one job."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """Write a derived frame to the shared folder once and read it back.
+
+    For lookups and features that several jobs or micro-batches use: they are computed once,
+    survive the loss of an executor, and their size on disk is known, so Spark broadcasts them
+    only if they are below its threshold.
+    """
+    path = work_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
