@@ -315,15 +315,18 @@ def fluid_balance(
 ) -> DataFrame:
     """Total input, total output and balance per stay.
 
-    Each side is summed at its own grain before the join, so nothing fans out; the sums share
-    the partitioning of the join.
+    Both sides are stacked and summed per stay in one aggregation before the join, so nothing
+    fans out and the stays are joined once.
     """
-    total_in = inputs.groupBy("stay_id").agg(F.sum("amount").alias("total_input_ml"))
-    total_out = outputs.groupBy("stay_id").agg(
-        F.sum("value").cast("double").alias("total_output_ml")
+    amounts = inputs.select("stay_id", F.col("amount").cast("double").alias("_in")).unionByName(
+        outputs.select("stay_id", F.col("value").cast("double").alias("_out")),
+        allowMissingColumns=True,
+    )
+    totals = amounts.groupBy("stay_id").agg(
+        F.sum("_in").alias("total_input_ml"), F.sum("_out").alias("total_output_ml")
     )
     joined = stays.select("stay_id", "subject_id", "intime", "outtime")
-    joined = joined.join(total_in, "stay_id", "left").join(total_out, "stay_id", "left")
+    joined = joined.join(totals, "stay_id", "left")
     net = net_balance(F.col("total_input_ml"), F.col("total_output_ml"), null_as_zero)
     return joined.withColumn("fluid_balance_ml", net)
 

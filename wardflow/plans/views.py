@@ -6,7 +6,7 @@ the Parquet scans through the views.  Timestamps stay ``timestamp_ntz`` from end
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +36,12 @@ FEATURE_ITEMS = {
 }
 
 
+@lru_cache(maxsize=256)
+def _stored_schema(spark: SparkSession, path: str):
+    """Schema of a stored table, read from a file footer once per session and path."""
+    return read_table(spark, path).schema
+
+
 class ClinicalViews:
     """Lazy clinical frames over one folder of Parquet tables."""
 
@@ -44,7 +50,8 @@ class ClinicalViews:
         self.path = path.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, f"{self.path}/{name}.parquet")
+        file = f"{self.path}/{name}.parquet"
+        return read_table(self.spark, file, schema=_stored_schema(self.spark, file))
 
     @cached_property
     def dates(self) -> DataFrame:
