@@ -52,7 +52,7 @@ def load_fact(
     # taken apart from the write.
     sampled = sample(window.rows.observe(read, count), method, rate, **sampling)
     rows = fact_rows(sampled.observe(drawn, count), spec).observe(kept, count)
-    rows.write.mode("overwrite").parquet(f"{target}/load_id={lo:%Y%m%d%H%M%S%f}")
+    rows.write.mode("overwrite").parquet(f"{target}/load_id=since-{lo:%Y%m%dT%H%M%S.%f}")
     save_mark(spark, marks, spec.name, window.hi)
     n_drawn, n_kept = drawn.get["n"], kept.get["n"]
     report = (spec.table, "loaded", read.get["n"], n_drawn, n_kept, n_drawn - n_kept, None)
