@@ -140,7 +140,8 @@ def number_rows(
         "_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset")
     )
     inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
-    numbered = placed.withColumn("_inside", inside).join(F.broadcast(offsets), "_bucket")
+    # A left join, because an inner one would test the bucket for NULL by computing it again.
+    numbered = placed.withColumn("_inside", inside).join(F.broadcast(offsets), "_bucket", "left")
     return numbered.withColumn(name, F.col("_inside") + F.col("_offset")).drop(
         "_bucket", "_inside", "_offset"
     )

@@ -129,10 +129,27 @@ def hourly_vitals(events: DataFrame, dates: DataFrame, times: DataFrame, item) -
 
 
 def ed_triage(ed_stays: DataFrame, triage: DataFrame) -> DataFrame:
+    """Emergency stays with their triage vitals; stays without triage keep NULLs."""
     ed = ed_stays.select(
-        "stay_id", "subject_id", "gender", "race", "arrival_transport", "disposition"
+        "stay_id",
+        F.col("subject_id").alias("ed_subject_id"),
+        "gender",
+        "race",
+        "arrival_transport",
+        "disposition",
     )
-    return ed.join(triage.drop("chiefcomplaint", "pain", "subject_id"), "stay_id", "left")
+    vitals = triage.select(
+        "stay_id",
+        F.col("subject_id").alias("triage_subject_id"),
+        "temperature",
+        "heartrate",
+        "resprate",
+        "o2sat",
+        "sbp",
+        "dbp",
+        "acuity",
+    )
+    return ed.join(vitals, "stay_id", "left")
 
 
 def stay_duration(stays: DataFrame) -> DataFrame:

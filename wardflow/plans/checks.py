@@ -45,7 +45,7 @@ TRIAGE = """triage AS (
          CAST(80 + min(l_quantity) AS DECIMAL(10,4)) AS sbp,
          CAST(50 + min(l_quantity) AS DECIMAL(10,4)) AS dbp,
          CAST(max(l_linenumber) AS DECIMAL(10,4)) AS acuity,
-         min(l_returnflag) AS chiefcomplaint
+         min(l_returnflag) AS chiefcomplaint, min(l_suppkey) AS triage_subject_id
   FROM lineitem GROUP BY l_orderkey)"""
 
 STATUS_VITALS = f"{STAYS}, {STATUS}, {TRIAGE}, " + """sv AS (
@@ -299,9 +299,9 @@ CHECKS: dict[str, str] = {
     "hourly_vitals": f"""WITH {SERIES} SELECT stay_id, chart_date, hour_of_day,
         round(avg(value), 6) AS avg_value, max(value) AS max_value, min(value) AS min_value,
         count(*) AS n_obs FROM series WHERE event_type = 'click' GROUP BY 1, 2, 3""",
-    "ed_triage_left": f"""WITH {TRIAGE} SELECT o_orderkey AS stay_id, o_custkey AS subject_id,
+    "ed_triage_left": f"""WITH {TRIAGE} SELECT o_orderkey AS stay_id, o_custkey AS ed_subject_id,
         o_orderstatus AS gender, o_orderpriority AS race, o_orderpriority AS arrival_transport,
-        o_orderstatus AS disposition, temperature, heartrate, resprate, o2sat, sbp, dbp, acuity
+        o_orderstatus AS disposition, triage_subject_id, temperature, heartrate, resprate, o2sat, sbp, dbp, acuity
         FROM orders LEFT JOIN triage ON stay_id = o_orderkey""",
     "stay_duration": f"""WITH {STAYS} SELECT stay_id,
         CAST(epoch(outtime) - epoch(intime) AS BIGINT) AS stay_duration_seconds FROM stays""",

@@ -162,6 +162,7 @@ class ClinicalViews:
                 vital(F.lit(50) + low).alias("dbp"),
                 vital(F.max("l_linenumber")).alias("acuity"),
                 F.min("l_returnflag").alias("chiefcomplaint"),
+                F.min("l_suppkey").alias("subject_id"),
             )
         )
 

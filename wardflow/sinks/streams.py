@@ -82,3 +82,11 @@ def publish_json(
         messages.write.format("kafka").options(**options).save()
     else:
         messages.write.mode("append").parquet(target)
+
+
+def publish_stream(
+    df: DataFrame, key_col: str, topic: str, brokers: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Publish a stream of rows as keyed JSON messages to a topic."""
+    writer = _writer(encode_json(df, key_col), checkpoint, every, False).format("kafka")
+    return writer.option("kafka.bootstrap.servers", brokers).option("topic", topic).start()

@@ -25,18 +25,16 @@ def decode_json(df: DataFrame, ddl: str, value_col: str = "value") -> Split:
 
     ``good`` has the flat columns of ``ddl``; ``bad`` keeps the raw text under ``raw``.
     """
-    parsed = df.select(
-        F.col(value_col).cast("string").alias("raw"),
-        F.from_json(
-            F.col(value_col).cast("string"),
-            f"{ddl}, {CORRUPT} STRING",
-            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
-        ).alias("data"),
+    text = F.col(value_col).cast("string")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = F.from_json(text, f"{ddl}, {CORRUPT} STRING", options)
+    # As the input of a generator the text is parsed once per row; as a plain column the parse
+    # would be copied into the filters below.
+    rows = df.select(text.alias("raw"), F.inline(F.array(parsed)))
+    broken = F.col(CORRUPT).isNotNull() | F.col("raw").isNull()
+    return Split(
+        rows.filter(~broken).select(*column_names(ddl)), rows.filter(broken).select("raw")
     )
-    broken = F.col(f"data.{CORRUPT}").isNotNull() | F.col("data").isNull()
-    good = parsed.filter(~broken).select(*[f"data.{c}" for c in column_names(ddl)])
-    bad = parsed.filter(broken).select("raw")
-    return Split(good, bad)
 
 
 def encode_json(df: DataFrame, key_col: str, keep_nulls: bool = True) -> DataFrame:

@@ -40,10 +40,10 @@ def monitor(
         spark = batch.sparkSession
         seen = Observation(f"batch_{batch_id}")
         counted = batch.observe(seen, F.count(F.lit(1)).alias("n"))
-        top = counted.select(
+        top = counted.orderBy(F.col(time_col).desc_nulls_last()).limit(newest)
+        rows = top.select(
             F.col(time_col).cast("string").alias("t"), F.to_json(F.struct("*")).alias("row")
-        )
-        rows = top.orderBy(F.col("t").desc_nulls_last()).limit(newest).collect()
+        ).collect()
         n = seen.get["n"]
         total = _total_before(spark, metrics, batch_id) + n
         newest_time = rows[0]["t"] if rows else None
