@@ -75,12 +75,12 @@ def test_strata_with_named_shares_and_null_stratum(spark):
 
 
 @settings(max_examples=4, deadline=None)
-@given(st.integers(1, 400), st.integers(1, 25), st.integers(5, 80))
-def test_systematic_equals_global_order(spark, n, step, bucket):
+@given(st.integers(1, 400), st.integers(1, 25), st.integers(1, 9))
+def test_systematic_equals_global_order(spark, n, step, partitions):
     df = spark.range(n).select(
         "id", F.pmod(F.hash("id"), F.lit(9)).alias("t"), F.lit("x").alias("payload")
     )
-    got = ids(sampling.systematic_sample(df, 1 / step, ["t", "id"], bucket))
+    got = ids(sampling.systematic_sample(df, 1 / step, ["t", "id"], partitions))
     rn = F.row_number().over(Window.orderBy("t", "id"))
     actual_step = int(1 / (1 / step))
     want = ids(df.withColumn("rn", rn).filter(F.col("rn") % actual_step == 0))
@@ -91,12 +91,9 @@ def test_systematic_with_one_timestamp_for_most_rows(spark, events):
     """A time stamp shared by most rows is split by the second order column."""
     skewed = events.withColumn("ts", F.when(F.col("id") < 15000, F.lit("2024-01-01")).otherwise(
         F.lit("2024-01-02")).cast("timestamp_ntz"))
-    numbered = sampling.number_rows(skewed, ["ts", "id"], "n", rows_per_bucket=1000)
+    numbered = sampling.number_rows(skewed, ["ts", "id"], "n", partitions=8)
     assert {r["id"] + 1 == r["n"] for r in numbered.collect()} == {True}
-    bounds, options = sampling._bucket_bounds(skewed, ["ts", "id"], 1000, 16384)
-    bucket = sampling.order_bucket(skewed, ["ts", "id"], bounds, options)
-    sizes = [r["count"] for r in skewed.groupBy(bucket.alias("b")).count().collect()]
-    assert len(sizes) > 10 and max(sizes) < 5000
+    assert numbered.rdd.getNumPartitions() > 1
 
 
 def test_systematic_empty_and_bad_rate(spark, events):

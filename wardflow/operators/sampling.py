@@ -7,13 +7,13 @@ after an executor loss yields the same rows.
 
 from __future__ import annotations
 
-import json
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 METHODS = ("uniform", "critical", "hash", "stratified", "random", "systematic", "none")
 
 
@@ -78,83 +78,41 @@ def random_sample(
     return uniform_sample(df, rate, keys, seed)
 
 
-def _bucket_bounds(df: DataFrame, order: Sequence[str], rows_per_bucket: int, max_buckets: int):
-    """Ordered cut points over the order columns as one JSON text, from a bounded sample."""
-    keys = df.select(*order)
-    total = keys.count()
-    buckets = min(max_buckets, math.ceil(total / rows_per_bucket))
-    if buckets <= 1:
-        return None
-    oversample = 8
-    drawn = keys.filter(keyed_draw(order, min(1.0, oversample * buckets / total), 7))
-    points = F.sort_array(F.collect_set(F.struct(*order)))
-    stamp = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-    options = {"timestampFormat": stamp, "timestampNTZFormat": stamp}
-    cuts = drawn.agg(points.alias("p")).select(
-        F.to_json(F.filter("p", lambda _, i: i % oversample == oversample - 1), options).alias("j")
-    )
-    text = cuts.first()["j"]
-    return json.loads(text), options
-
-
-def order_bucket(df: DataFrame, order: Sequence[str], bounds, options) -> Column:
-    """Number of the ordered bucket a row falls in; two short searches over literal cut points."""
-    key = F.struct(*order)
-    element = df.select(key.alias("k")).schema["k"].dataType.simpleString()
-    width = max(1, math.isqrt(len(bounds)))
-    pages = [bounds[i : i + width] for i in range(0, len(bounds), width)]
-    literal = {
-        "heads": F.from_json(
-            F.lit(json.dumps([p[0] for p in pages])), f"array<{element}>", options
-        ),
-        "pages": F.from_json(F.lit(json.dumps(pages)), f"array<array<{element}>>", options),
-    }
-    page = F.size(F.filter(literal["heads"], lambda b: b <= key))
-    inside = F.size(F.filter(F.get(literal["pages"], page - 1), lambda b: b <= key))
-    return F.when(page == 0, F.lit(0)).otherwise((page - 1) * width + inside)
-
-
 def number_rows(
-    df: DataFrame,
-    order: Sequence[str],
-    name: str = "row_num",
-    rows_per_bucket: int = 5000,
-    max_buckets: int = 16384,
+    df: DataFrame, order: Sequence[str], name: str = "row_num", partitions: int | None = None
 ) -> DataFrame:
     """Global row number 1..N in the given total order, without a single-task window.
 
-    Rows fall into ordered buckets by fixed cut points, rows are numbered inside their bucket,
-    and the count of all earlier buckets is added.  Cut points are literals, so a recomputed
-    task assigns the same buckets.  The order columns must identify a row (dedup first), which
-    also keeps one bucket from growing beyond its share.
+    Rows are range-partitioned over all order columns and sorted, which gives each row its place
+    inside its partition; the place in the table adds the sizes of the earlier partitions.  The
+    partitioned rows are written to the shared folder in between, so both steps see the same
+    partitions whatever is recomputed.  The order columns must identify a row (dedup first);
+    then no value of the first one, however frequent, ends up in one task.
     """
-    found = _bucket_bounds(df, order, rows_per_bucket, max_buckets)
-    if found is None:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)))
-    bounds, options = found
-    placed = df.withColumn("_bucket", order_bucket(df, order, bounds, options))
-    # At most max_buckets rows: one small ordered window, and a broadcast of bounded size.
-    sizes = placed.groupBy("_bucket").count()
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset")
-    )
-    inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
-    # A left join, because an inner one would test the bucket for NULL by computing it again.
-    numbered = placed.withColumn("_inside", inside).join(F.broadcast(offsets), "_bucket", "left")
-    return numbered.withColumn(name, F.col("_inside") + F.col("_offset")).drop(
-        "_bucket", "_inside", "_offset"
+    spread = (
+        df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     )
+    placed = spread.sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    stored = materialise(placed, "numbered")
+    # The id holds the partition number above bit 33 and the row's place below it.
+    part = F.shiftright("_at", 33)
+    inside = F.col("_at").bitwiseAND((1 << 33) - 1)
+    # One row per partition: one small ordered window, and a broadcast of bounded size.
+    sizes = stored.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_skip"))
+    numbered = stored.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    return numbered.select(*df.columns, (inside + F.col("_skip") + 1).alias(name))
 
 
 def systematic_sample(
-    df: DataFrame, rate: float, order: Sequence[str], rows_per_bucket: int = 5000
+    df: DataFrame, rate: float, order: Sequence[str], partitions: int | None = None
 ) -> DataFrame:
     """Every n-th row in a total order, n = int(1 / rate)."""
     if not 0 < rate <= 1:
         raise ValueError("rate must be in (0, 1]")
     step = int(1 / rate)
-    numbered = number_rows(df, order, "_n", rows_per_bucket)
+    numbered = number_rows(df, order, "_n", partitions)
     return numbered.filter(F.col("_n") % step == 0).drop("_n")
 
 
@@ -175,5 +133,5 @@ def sample(df: DataFrame, method: str = "none", rate: float = 0.1, seed: int = 4
     if method == "random":
         return random_sample(df, rate, keys, seed)
     if method == "systematic":
-        return systematic_sample(df, rate, kw["order"], kw.get("rows_per_bucket", 5000))
+        return systematic_sample(df, rate, kw["order"], kw.get("partitions"))
     return df

@@ -484,9 +484,7 @@ def sample_random(spark: SparkSession, path: str) -> DataFrame:
 
 @register_query("sample_systematic")
 def sample_systematic(spark: SparkSession, path: str) -> DataFrame:
-    return sampling.systematic_sample(
-        _events(spark, path), 0.1, ["charttime", "event_id"], rows_per_bucket=1000
-    )
+    return sampling.systematic_sample(_events(spark, path), 0.1, ["charttime", "event_id"])
 
 
 # --- features and risk -------------------------------------------------------------------

@@ -48,14 +48,17 @@ def load_fact(
     sampling.setdefault("keys", list(spec.keys))
     sampling.setdefault("time_col", spec.event_time)
     sampling.setdefault("order", ["processed_timestamp", *spec.keys])
-    # A systematic sample reads its input more than once; only then is a counter on the input
-    # taken apart from the write.
-    sampled = sample(window.rows.observe(read, count), method, rate, **sampling)
+    # A systematic sample reads its input twice (to find range bounds, then to sort), which an
+    # observed counter would add up; its input is counted by itself.
+    recounted = method == "systematic"
+    source = window.rows if recounted else window.rows.observe(read, count)
+    sampled = sample(source, method, rate, **sampling)
     rows = fact_rows(sampled.observe(drawn, count), spec).observe(kept, count)
     rows.write.mode("overwrite").parquet(f"{target}/load_id=since-{lo:%Y%m%dT%H%M%S.%f}")
     save_mark(spark, marks, spec.name, window.hi)
+    n_read = window.rows.count() if recounted else read.get["n"]
     n_drawn, n_kept = drawn.get["n"], kept.get["n"]
-    report = (spec.table, "loaded", read.get["n"], n_drawn, n_kept, n_drawn - n_kept, None)
+    report = (spec.table, "loaded", n_read, n_drawn, n_kept, n_drawn - n_kept, None)
     return spark.createDataFrame([report], REPORT_DDL)
 
 
