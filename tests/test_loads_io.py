@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from wardflow import session
 from wardflow.operators import incremental
+from wardflow.operators.star import key_clean
 from wardflow.plans import loads
 from wardflow.schemas import SOURCE_DDL, WAREHOUSE_DDL, column_names
 from wardflow.sinks import streams, tables
@@ -162,6 +163,23 @@ def test_fact_load_gate_and_sampling(spark, tmp_path):
             assert r["rows_sampled"] == 50
 
 
+def test_fact_load_by_month_prunes(spark, tmp_path, plan_of):
+    silver, target, marks = (str(tmp_path / n) for n in ("silver", "fact", "marks"))
+    rows = SPEC.clean(chart_rows(spark, 60, minutes=1440), stamp=F.lit("2024-01-01").cast("timestamp"))
+    tables.write_table(rows, silver)
+    report = loads.load_fact(spark, SPEC, silver, target, marks, month_of="charttime_date").first()
+    assert report["rows_written"] == 60
+    facts = spark.read.parquet(target)
+    january = facts.filter("month = 215001")
+    assert january.count() == 31 and facts.count() == 60
+    assert "PartitionFilters: [isnotnull(month" in plan_of(january)
+
+
+def test_key_clean_is_deterministic(spark, rows):
+    df = spark.createDataFrame([(1, "b"), (1, "a"), (1, None), (None, "x")], "k INT, v STRING")
+    assert rows(key_clean(df, ["k"])) == [(1, "a")]
+
+
 def test_dimension_loads_isolate_failures(spark, tmp_path):
     def csv(name, text):
         path = tmp_path / f"{name}.csv"

@@ -32,7 +32,7 @@ VITAL_ITEMS = {
     "sbp": 220179,
     "spo2": 220277,
     "resp_rate": 220210,
-    "temperature": 223762,
+    "temperature": 223761,
 }
 
 

@@ -21,9 +21,13 @@ def project(df: DataFrame, ddl: str) -> DataFrame:
     return df.select(*[F.col(c).try_cast(t).alias(c) for c, t in split_ddl(ddl)])
 
 
-def key_clean(df: DataFrame, pk: Sequence[str], order_by: Sequence[Column] | None = None) -> DataFrame:
-    """One row per primary key, rows without a complete key dropped first."""
-    return dedup(df.dropna(subset=list(pk)), pk, order_by)
+def key_clean(df: DataFrame, pk: Sequence[str]) -> DataFrame:
+    """One row per complete primary key; of several, the smallest by its other columns.
+
+    A fixed choice, so that a repeated or recomputed load yields the same dimension.
+    """
+    rest = [F.col(c).asc_nulls_last() for c in df.columns if c not in pk]
+    return dedup(df.dropna(subset=list(pk)), pk, rest or None)
 
 
 def diagnosis_dim(diagnoses: DataFrame, dictionary: DataFrame) -> DataFrame:

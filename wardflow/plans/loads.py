@@ -29,13 +29,22 @@ def fact_rows(df: DataFrame, spec: FactSpec) -> DataFrame:
 
 
 def load_fact(
-    spark: SparkSession, spec: FactSpec, silver: str, target: str, marks: str, **sampling
+    spark: SparkSession,
+    spec: FactSpec,
+    silver: str,
+    target: str,
+    marks: str,
+    month_of: str | None = None,
+    **sampling,
 ) -> DataFrame:
     """Load the silver rows that arrived since the last mark; returns a one-row report.
 
     One pass writes and counts.  The output folder is named after the window's lower end, which
     stays the same until the mark is saved: a run repeated after a crash replaces the folder it
     left behind, so nothing is loaded twice.
+
+    ``month_of`` names a date-key column by whose month the folder is partitioned, for pruning by
+    later queries; rows are rebalanced first, which splits a heavy month and merges light ones.
     """
     lo, _ = load_mark(spark, marks, spec.name)
     window = read_since(spark.read.parquet(silver), "processed_timestamp", lo)
@@ -54,7 +63,13 @@ def load_fact(
     source = window.rows if recounted else window.rows.observe(read, count)
     sampled = sample(source, method, rate, **sampling)
     rows = fact_rows(sampled.observe(drawn, count), spec).observe(kept, count)
-    rows.write.mode("overwrite").parquet(f"{target}/load_id=since-{lo:%Y%m%dT%H%M%S.%f}")
+    folder = f"{target}/load_id=since-{lo:%Y%m%dT%H%M%S.%f}"
+    if month_of:
+        month = (F.col(month_of) / 100).cast("int")
+        by_month = rows.withColumn("month", month).hint("rebalance", "month")
+        by_month.write.mode("overwrite").partitionBy("month").parquet(folder)
+    else:
+        rows.write.mode("overwrite").parquet(folder)
     save_mark(spark, marks, spec.name, window.hi)
     n_read = window.rows.count() if recounted else read.get["n"]
     n_drawn, n_kept = drawn.get["n"], kept.get["n"]

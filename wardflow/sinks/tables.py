@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import dedup
@@ -48,12 +48,18 @@ def write_relational(df: DataFrame, options: dict[str, str], mode: str = "append
     df.write.format("jdbc").options(**options).mode(mode).save()
 
 
-def insert_absent(new: DataFrame, existing: DataFrame, pk: Sequence[str]) -> DataFrame:
-    """Rows of ``new`` whose key is not in ``existing`` yet, one per key (first write wins).
+def insert_absent(
+    new: DataFrame,
+    existing: DataFrame,
+    pk: Sequence[str],
+    order_by: Sequence[Column] | None = None,
+) -> DataFrame:
+    """Rows of ``new`` whose key is not in ``existing`` yet; stored rows are never replaced.
 
-    Both sides are reduced to one row per key before the join, so a hot key joins 1:1.
+    Of several new rows with one key the first by ``order_by`` is kept.  Both sides are reduced
+    to one row per key before the join, so a hot key joins 1:1.
     """
-    fresh = dedup(new.dropna(subset=list(pk)), pk)
+    fresh = dedup(new.dropna(subset=list(pk)), pk, order_by)
     return fresh.join(existing.select(*pk).distinct(), list(pk), "left_anti")
 
 
