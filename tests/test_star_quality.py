@@ -121,3 +121,9 @@ def test_insert_absent_first_write_wins(spark, rows):
 def test_row_counts(spark, rows):
     a = spark.range(3)
     assert rows(quality.row_counts({"a": a, "b": a.limit(0)})) == [("a", 3), ("b", 0)]
+
+
+def test_adapt_columns(spark):
+    df = spark.createDataFrame([(1, 2)], "chartdate INT, charttime INT")
+    assert star.adapt_columns(df, "fact_chartevents").columns == ["charttime_date", "charttime_time"]
+    assert star.adapt_columns(df, "dim_time").columns == df.columns

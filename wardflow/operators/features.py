@@ -16,6 +16,7 @@ from ..functions.clinical import (
     stay_class_label,
 )
 from ..functions.text import contains_keyword
+from ..session import work_path
 from .joins import spread_join
 
 # Vital signs and diagnosis groups that make up the feature vector.
@@ -172,9 +173,14 @@ def risk_report(
     )
 
 
-def train_classifier(features: DataFrame, names: Sequence[str], label: str, **params):
-    """Fit a logistic regression pipeline on the aligned feature vector."""
-    from pyspark.ml import Pipeline
+def train_classifier(features: DataFrame, names: Sequence[str], label: str, path=None, **params):
+    """Fit a logistic regression pipeline on the aligned feature vector and store it.
+
+    The stored model is returned rather than the fitted object: that one holds its training
+    summary and with it the session, which cannot be sent to tasks once a load has counted rows
+    with observations.
+    """
+    from pyspark.ml import Pipeline, PipelineModel
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
 
@@ -184,7 +190,10 @@ def train_classifier(features: DataFrame, names: Sequence[str], label: str, **pa
             featuresCol="_features", labelCol=label, probabilityCol="_probability", **params
         ),
     ]
-    return Pipeline(stages=stages).fit(align_features(features, names, keep=[label]))
+    fitted = Pipeline(stages=stages).fit(align_features(features, names, keep=[label]))
+    path = path or work_path(features.sparkSession, "model")
+    fitted.write().overwrite().save(path)
+    return PipelineModel.load(path)
 
 
 def apply_classifier(model, features: DataFrame, names: Sequence[str], keep: Sequence[str]):

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import split_ddl
+from ..schemas import COLUMN_VARIANTS, split_ddl
 from .dedup import dedup
 
 
@@ -21,6 +21,11 @@ def project(df: DataFrame, ddl: str) -> DataFrame:
     return df.select(*[F.col(c).try_cast(t).alias(c) for c, t in split_ddl(ddl)])
 
 
+def adapt_columns(df: DataFrame, table: str) -> DataFrame:
+    """Rename the columns of an older layout of a table; other columns stay as they are."""
+    return df.withColumnsRenamed(COLUMN_VARIANTS.get(table, {}))
+
+
 def key_clean(df: DataFrame, pk: Sequence[str]) -> DataFrame:
     """One row per complete primary key; of several, the smallest by its other columns.
 

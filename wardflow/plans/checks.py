@@ -544,3 +544,25 @@ CHECKS: dict[str, str] = {
     "stream_monitor": """SELECT count(*) AS total_rows, count(*) AS row_count,
         strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS newest_time FROM events""",
 }
+
+# Result types that compare alike in every engine.
+_PORTABLE = {
+    "stays_calendar": {"full_date": "VARCHAR"},
+    "aligned_hourly": {"chart_date": "VARCHAR"},
+    "aligned_daily": {"chart_date": "VARCHAR"},
+    "hourly_vitals": {"chart_date": "VARCHAR"},
+    "date_dim_span": {"full_date": "VARCHAR"},
+    "last_stay": {"dod": "VARCHAR"},
+    "dim_samples": {"dod": "VARCHAR"},
+    "diagnosis_key": {"resolved": "INTEGER"},
+    "out_of_range": {"is_critical": "INTEGER"},
+    "sample_critical": {"is_critical": "INTEGER"},
+    "stream_enrich": {"is_critical": "INTEGER"},
+    "ed_triage_left": {
+        v: "DOUBLE"
+        for v in ("temperature", "heartrate", "resprate", "o2sat", "sbp", "dbp", "acuity")
+    },
+}
+for _name, _casts in _PORTABLE.items():
+    _list = ", ".join(f"CAST({c} AS {t}) AS {c}" for c, t in _casts.items())
+    CHECKS[_name] = f"SELECT * REPLACE ({_list}) FROM ({CHECKS[_name]})"

@@ -129,6 +129,18 @@ WAREHOUSE_DDL: dict[str, str] = {
 }
 
 
+# Column names of older table layouts and what they are called here.
+COLUMN_VARIANTS: dict[str, dict[str, str]] = {
+    "fact_chartevents": {"chartdate": "charttime_date", "charttime": "charttime_time"},
+    "fact_microbiologyevents": {"chartdate": "charttime_date", "charttime": "charttime_time"},
+    "dim_d_items": {
+        "low_normal_value": "lownormalvalue",
+        "high_normal_value": "highnormalvalue",
+    },
+    "fact_edstays": {"intime": "intime_date", "outtime": "outtime_date"},
+}
+
+
 def split_ddl(ddl: str) -> list[tuple[str, str]]:
     """``"a INT, b DECIMAL(10,4)"`` -> ``[("a", "INT"), ("b", "DECIMAL(10,4)")]``."""
     fields = ddl.replace("(10,4)", "(10;4)").split(", ")

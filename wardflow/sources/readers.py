@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -131,3 +133,12 @@ def preview(spark: SparkSession, path: str, n: int = 1000, sampling: float = 0.0
     """First ``n`` rows of a CSV file; types are inferred from a fraction of the lines."""
     options = {"header": True, "inferSchema": True, "samplingRatio": sampling}
     return spark.read.options(**options).csv(path).limit(n)
+
+
+def open_warehouse(spark: SparkSession, root: str, tables: Sequence[str]) -> dict[str, DataFrame]:
+    """Stored tables below a folder as frames, also registered as views for SQL users."""
+    frames = {}
+    for name in tables:
+        frames[name] = spark.read.parquet(f"{root.rstrip('/')}/{name}")
+        frames[name].createOrReplaceTempView(name)
+    return frames
