@@ -90,7 +90,7 @@ def test_table_registry(spark):
         found = {r["table_name"]: r["column_count"] for r in
                  tables.catalog_inventory(spark, "ward_test").collect()}
         assert found == {"dim_time": 5, "fact_icustays": 10}
-        spark.sql("INSERT INTO dim_time VALUES (0, '00:00:00', 0, 0, 0)")
+        spark.sql("INSERT INTO ward_test.dim_time VALUES (0, '00:00:00', 0, 0, 0)")
         sizes = {r["table_name"]: r["size_bytes"] for r in
                  tables.catalog_inventory(spark, "ward_test").collect()}
         assert sizes["dim_time"] > 0 and sizes["fact_icustays"] == 0

@@ -67,13 +67,18 @@ def create_tables(spark: SparkSession, tables: dict[str, str], fmt: str = "parqu
     """``CREATE TABLE IF NOT EXISTS`` for every ``name -> DDL``."""
     for name, ddl in tables.items():
         columns = ", ".join(f"`{c}` {t}" for c, t in split_ddl(ddl))
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt}")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {_stored(spark, name)} ({columns}) USING {fmt}")
 
 
 def drop_tables(spark: SparkSession, names: Sequence[str]) -> None:
     """Drop facts before dimensions."""
     for name in sorted(names, key=lambda n: (not n.startswith("fact"), n)):
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"DROP TABLE IF EXISTS {_stored(spark, name)}")
+
+
+def _stored(spark: SparkSession, name: str) -> str:
+    """Name with its database, so that a session view of the same name is left alone."""
+    return name if "." in name else f"{spark.catalog.currentDatabase()}.{name}"
 
 
 def table_inventory(tables: dict[str, DataFrame]) -> DataFrame:
