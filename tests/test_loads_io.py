@@ -264,6 +264,10 @@ def test_stream_equals_batch_across_restart(spark, tmp_path, rows):
     run()
     got = spark.read.parquet(silver)
     assert got.count() == 40
+    with open(f"{ck}/s/offsets/0") as f:
+        assert "RocksDB" in f.read()
+    assert "RocksDB" not in (spark.conf.get(
+        "spark.sql.streaming.stateStore.providerClass", None) or "")
     batch = SPEC.clean(chart_rows(spark, 40))
     columns = column_names(CHART)
     assert rows(got.select(columns)) == rows(batch.select(columns))

@@ -579,7 +579,7 @@ def _event_stream(spark: SparkSession, path: str) -> DataFrame:
     """The event table as a stream; the glob matches it as one file and as a folder of files."""
     folder = path.rstrip("/")
     schema = spark.read.parquet(f"{folder}/events.parquet").schema
-    return read_stream(spark, f"{folder}/events.parque[t]", schema, max_files=10)
+    return read_stream(spark, f"{folder}/events.parque[t]", schema, max_files=1000)
 
 
 def _stream_messages(spark: SparkSession, path: str) -> DataFrame:
@@ -611,7 +611,7 @@ def stream_bronze_silver(spark: SparkSession, path: str) -> DataFrame:
     )
     jobs.drain(landed)
     cleaned = jobs.bronze_to_silver(
-        spark, EVENT_SPEC, bronze, silver, f"{root}/ck/silver", available_now=True
+        spark, EVENT_SPEC, bronze, silver, f"{root}/ck/silver", max_files=1000, available_now=True
     )
     jobs.drain([cleaned])
     return spark.read.parquet(silver).select(

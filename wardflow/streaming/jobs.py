@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.enrich import enrich_items, flag_out_of_range
 from ..operators.sampling import critical_sample
 from ..schemas import column_names
+from ..session import STATE_STORE_CONF, scoped_conf
 from ..sinks.streams import write_stream
 from ..sources.messages import decode_json
 from ..sources.readers import read_stream
@@ -54,16 +55,17 @@ def bronze_to_silver(
     lanes: int = DEDUP_LANES,
     horizon: tuple[str, str] | None = None,
 ) -> StreamingQuery:
-    """Clean, dedup and type bronze rows into silver, each bronze file once."""
+    """Clean, dedup and type bronze rows into silver, each bronze file once.
+
+    The query starts with its dedup state in RocksDB, whatever the session's default is.
+    """
     rows = read_stream(spark, bronze, spec.source_ddl, max_files=max_files)
     cleaned = spec.clean(rows, spread=lanes, horizon=horizon)
-    return write_stream(
-        cleaned.select(*column_names(spec.source_ddl), "processed_timestamp"),
-        silver,
-        checkpoint,
-        every=every,
-        available_now=available_now,
-    )
+    silver_rows = cleaned.select(*column_names(spec.source_ddl), "processed_timestamp")
+    with scoped_conf(spark, STATE_STORE_CONF):
+        return write_stream(
+            silver_rows, silver, checkpoint, every=every, available_now=available_now
+        )
 
 
 def enrich_stream(
