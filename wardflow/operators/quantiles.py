@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from ..session import materialise
 from .joins import spread_join
 
+# Distinct (group, value) pairs that one task may hold at most.
+SMALL = 1_000_000
+
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Distinct values per key with their row count; equal values merge map-side."""
@@ -19,24 +22,38 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 
 def exact_percentile(
-    df: DataFrame, keys: Sequence[str], value: str, p: float, alias: str, splits: int = 64
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    p: float,
+    alias: str,
+    splits: int = 64,
+    small: int = SMALL,
 ) -> DataFrame:
     """``percentile_cont(p)`` of ``value`` per key, exact, one row per key that has a value."""
     counts = materialise(value_counts(df, keys, value), "value-counts")
-    return percentile_of_counts(counts, keys, p, alias, splits)
+    return percentile_of_counts(counts, keys, p, alias, splits, small)
 
 
 def percentile_of_counts(
-    counts: DataFrame, keys: Sequence[str], p: float, alias: str, splits: int = 64
+    counts: DataFrame,
+    keys: Sequence[str],
+    p: float,
+    alias: str,
+    splits: int = 64,
+    small: int = SMALL,
 ) -> DataFrame:
-    """Exact percentile from the output of :func:`value_counts`, which is read several times.
+    """Exact percentile from the stored output of :func:`value_counts`.
 
-    The built-in ``percentile`` keeps every distinct value of a group in one buffer.  Here each
-    group's values are cut into ``splits`` ranges by a bounded sketch, and only the ranges that
-    hold the wanted positions are ordered.
+    The built-in ``percentile`` keeps the distinct values of a group in one buffer, which is fine
+    up to ``small`` counted values in the whole table (their number is known from the stored
+    files).  Beyond that each group's values are cut into ``splits`` ranges by a bounded sketch,
+    and only the ranges that hold the wanted positions are ordered.
     """
     keys = list(keys)
     counts = counts.dropna(subset=["_v"])
+    if counts.count() <= small:
+        return counts.groupBy(*keys).agg(F.percentile("_v", p, F.col("_n")).alias(alias))
     fractions = [i / splits for i in range(1, splits)]
     sketch = counts.groupBy(*keys).agg(
         F.sum("_n").alias("_total"),

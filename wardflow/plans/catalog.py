@@ -184,14 +184,14 @@ def admission_dim(spark: SparkSession, path: str) -> DataFrame:
 @register_query("diagnosis_dim")
 def diagnosis_dim_query(spark: SparkSession, path: str) -> DataFrame:
     v = Views(spark, path)
-    return diagnosis_dim(v.diagnosis_events, v.diagnosis_dictionary).drop("diagnoses_icd_key")
+    return diagnosis_dim(v.diagnosis_codes, v.diagnosis_dictionary).drop("diagnoses_icd_key")
 
 
 @register_query("diagnosis_key")
 def diagnosis_key(spark: SparkSession, path: str) -> DataFrame:
     """Primary diagnosis of every stay, resolved through the dimension."""
     v = Views(spark, path)
-    dim = diagnosis_dim(v.diagnosis_events, v.diagnosis_dictionary)
+    dim = diagnosis_dim(v.diagnosis_codes, v.diagnosis_dictionary)
     stays = v.stays.select("stay_id", "subject_id", "hadm_id")
     resolved = resolve_diagnosis_key(stays, v.diagnosis_events, dim)
     return resolved.select(

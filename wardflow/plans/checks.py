@@ -410,9 +410,12 @@ CHECKS: dict[str, str] = {
         AS charttime_second FROM events""",
     "admission_dim": f"""WITH {STAYS} SELECT hadm_id, subject_id, first_careunit, intime_date,
         intime_time, outtime_date, outtime_time FROM stays""",
-    "diagnosis_dim": f"""WITH {DIAGNOSES} SELECT CAST(min(seq_num) AS INTEGER) AS seq_num,
+    "diagnosis_dim": """WITH coded AS (
+        SELECT l_linenumber AS seq_num, p_brand AS icd_code, p_size AS icd_version
+        FROM lineitem JOIN part ON p_partkey = l_partkey)
+        SELECT CAST(min(seq_num) AS INTEGER) AS seq_num,
         p_brand AS icd_code, p_size AS icd_version, p_name AS long_title
-        FROM dxe JOIN part ON p_brand = icd_code AND p_size = icd_version
+        FROM coded JOIN part ON p_brand = icd_code AND p_size = icd_version
         GROUP BY p_brand, p_size, p_name""",
     "diagnosis_key": f"""WITH {DIAGNOSES}, first_dx AS (
         SELECT hadm_id, icd_code, icd_version FROM dxe QUALIFY row_number() OVER

@@ -123,19 +123,29 @@ class ClinicalViews:
         )
 
     @cached_property
-    def diagnosis_events(self) -> DataFrame:
-        """Coded diagnoses per admission: one per order line, numbered by the line."""
-        lines = self.table("lineitem").select(
+    def _coded(self) -> DataFrame:
+        return self.table("lineitem").select(
             F.col("l_orderkey").alias("hadm_id"),
             F.col("l_partkey").alias("diagnoses_icd_key"),
             F.col("l_linenumber").alias("seq_num"),
         )
+
+    @cached_property
+    def diagnosis_codes(self) -> DataFrame:
+        """Coded diagnoses per admission, one per order line, without the subject."""
+        return self._coded.join(self.diagnoses, "diagnoses_icd_key").drop("diagnoses_icd_key")
+
+    @cached_property
+    def diagnosis_events(self) -> DataFrame:
+        """Coded diagnoses with subject and admission.
+
+        The join by diagnosis comes last: grouping by admission then shuffles partial results and
+        leaves AQE free to split a hot admission in the first join.
+        """
         orders = self.table("orders").select(
             F.col("o_orderkey").alias("hadm_id"), F.col("o_custkey").alias("subject_id")
         )
-        # The join by diagnosis comes last: grouping by admission then shuffles partial results
-        # and leaves AQE free to split a hot admission in the first join.
-        coded = lines.join(orders, "hadm_id").join(self.diagnoses, "diagnoses_icd_key")
+        coded = self._coded.join(orders, "hadm_id").join(self.diagnoses, "diagnoses_icd_key")
         return coded.select(
             "subject_id", "hadm_id", "seq_num", "icd_code", "icd_version", "long_title"
         )
