@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, tokens, winnowing
+from . import html_text, mixing, packing, quality, tokens, warc, winnowing
 from .common import table
 
 #: Folder of public vocabularies; their files are only read.
@@ -35,6 +35,27 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.compare_with_successor(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uses of every document in a mixture as even as repetition of at most 1.5 allows."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    words = F.coalesce(F.regexp_count("text", F.lit(r"\S+")), F.lit(0))
+    mixed = mixing.mix_sources(docs, words, max_repeats=1.5)
+    return mixed.select("doc_id", "source", "mix_epoch", "mix_order.block", "mix_order.row")
+
+
+@_query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back."""
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+@_query
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 @_query
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every document in sequences of 2048 tokens."""
