@@ -63,3 +63,55 @@ def batch(schema: pa.Schema, columns: Iterable) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
     )
+
+
+def groups(batches: Iterable[pa.RecordBatch], keys: int) -> Iterable[pa.RecordBatch]:
+    """Batches of whole groups, for rows sorted by their first ``keys`` integer columns."""
+    held: list[pa.RecordBatch] = []
+    last: tuple | None = None
+    for rows in batches:
+        if not rows.num_rows:
+            continue
+        columns = [rows[i].to_numpy(zero_copy_only=False) for i in range(keys)]
+        change = np.zeros(rows.num_rows, bool)
+        for c in columns:
+            change[1:] |= c[1:] != c[:-1]
+        first = tuple(int(c[0]) for c in columns)
+        starts = np.flatnonzero(change).tolist()
+        if held and first != last:
+            yield _joined(held)
+            held = []
+        begin = 0
+        for end in starts:
+            held.append(rows.slice(begin, end - begin))
+            yield _joined(held)
+            held, begin = [], end
+        held.append(rows.slice(begin))
+        last = tuple(int(c[-1]) for c in columns)
+    if held:
+        yield _joined(held)
+
+
+def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return parts[0] if len(parts) == 1 else pa.concat_batches(parts)
+
+
+class Forest:
+    """Union-find over small consecutive integers."""
+
+    def __init__(self, n: int):
+        self.parent = list(range(n))
+
+    def find(self, x: int) -> int:
+        parent = self.parent
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    def union(self, x: int, y: int) -> bool:
+        x, y = self.find(x), self.find(y)
+        if x == y:
+            return False
+        self.parent[max(x, y)] = min(x, y)
+        return True
