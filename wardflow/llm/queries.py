@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, mixing, packing, quality, tokens, warc, winnowing
+from . import html_text, mixing, packing, permutation_index, quality, setsketch, tokens, warc
+from . import suffix_dedup, winnowing
 from .common import table
 
 #: Folder of public vocabularies; their files are only read.
@@ -44,6 +45,21 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "mix_epoch", "mix_order.block", "mix_order.row")
 
 
+@_query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that strings of 50 bytes share with an earlier one."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = suffix_dedup.remove_repeats(docs, min_bytes=50)
+    n_bytes = F.coalesce(F.octet_length("row.text"), F.lit(0)).cast("long")
+    return found.select(
+        "doc_id",
+        n_bytes.alias("n_bytes"),
+        (n_bytes - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @_query
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives and read back."""
@@ -63,6 +79,19 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
+@_query
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents by two-word shingles at a similarity of 0.8."""
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
+@_query
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest vectors of every vector whose id is divisible by 100."""
+    rows = table(spark, sf_dir, "embeddings")
+    return permutation_index.nearest_neighbours(rows, rows.filter(F.col("vec_id") % 100 == 0))
+
+
 @_query
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learnt from the labels that are not held out."""
