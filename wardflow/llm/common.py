@@ -115,3 +115,14 @@ class Forest:
             return False
         self.parent[max(x, y)] = min(x, y)
         return True
+
+
+def planes(values: np.ndarray, kind: str) -> bytes:
+    """Bytes of equal weight together, so that shuffles compress them."""
+    wide = np.ascontiguousarray(values.astype(kind))
+    return np.ascontiguousarray(wide.view(np.uint8).reshape(len(wide), wide.itemsize).T).tobytes()
+
+
+def from_planes(data: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .common import U64, batch, id_and_text, mix64, partitions, pick, strings
+from .common import U64, batch, id_and_text, mix64, pick, strings
 
 #: Size of the hashed feature space: bounds the model, its counts and what is broadcast.
 SPACE = 1 << 18
@@ -170,13 +170,14 @@ def train_quality(
         counts = np.zeros((2, space + 1), np.int64)
         for rows in batches:
             label = rows[0].to_numpy(zero_copy_only=False)
-            found = [np.frombuffer(x, "<u4") for x in rows[1].to_pylist()]
+            packed = rows[1].to_pylist()
+            found = [np.frombuffer(x, "<u4") for x in packed]
             for y in (0, 1):
                 own = [x for x, z in zip(found, label, strict=True) if z == y]
                 if own:
                     counts[y, :space] += np.bincount(np.concatenate(own), minlength=space)
                     counts[y, space] += len(own)
-            fit = [(int(y), x.tobytes()) for y, x, f in zip(label, found, rows[2].to_pylist(), strict=True) if f]
+            fit = [(int(y), x) for y, x, f in zip(label, packed, rows[2].to_pylist(), strict=True) if f]
             none = [None] * len(fit)
             yield batch(arrow, ([y for y, _ in fit], none, none, [x for _, x in fit]))
         for y in (0, 1):
@@ -249,3 +250,25 @@ def score_quality(
     return id_and_text(docs, id_col, text_col).mapInArrow(
         run, "doc_id long, score double, predicted int"
     )
+
+
+def keep_quality(
+    docs: DataFrame,
+    model: QualityModel,
+    text_col: str = "text",
+    space: int = SPACE,
+) -> DataFrame:
+    """The rows of ``docs``, all columns, that the model predicts as class 1; nothing is shuffled."""
+    names = docs.columns
+    flat = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    parts = (model.weights, model.scale, model.bias)
+    shared = docs.sparkSession.sparkContext.broadcast(parts)
+
+    @F.pandas_udf("double")
+    def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        extract, judge = Features(space), QualityModel(*shared.value)
+        for part in texts:
+            yield pd.Series([judge.score(extract(t)) for t in part])
+
+    text = F.coalesce(F.col(f"c{names.index(text_col)}").cast("string"), F.lit(""))
+    return flat.filter(scored(text) >= 0.5).toDF(*names)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import U64, batch, mix64, partitions
+from .common import U64, batch, from_planes, mix64, partitions, planes
 
 #: Bytes of the substrings that minimizers are chosen among, for long enough strings.
 WORD = 24
@@ -187,17 +187,6 @@ def _from_five(data: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def _planes(values: np.ndarray, kind: str) -> bytes:
-    """Bytes of equal weight together, so that shuffles compress them."""
-    wide = np.ascontiguousarray(values.astype(kind))
-    return np.ascontiguousarray(wide.view(np.uint8).reshape(len(wide), -1).T).tobytes()
-
-
-def _from_planes(data: bytes, kind: str) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
-
-
 class _Rows:
     """Output rows of packed columns."""
 
@@ -231,8 +220,8 @@ def _add_by_doc(rows: _Rows, kind: int, part, docs, homes, hashes) -> None:
         first = np.flatnonzero(np.append(True, d[1:] != d[:-1]))
         counts = np.diff(np.append(first, len(d)))
         rows.add(
-            p, kind, _planes(d[first], "<i8"), _planes(homes[at][first], "<u4"),
-            _planes(counts, "<u4"), _five(hashes[at]),
+            p, kind, planes(d[first], "<i8"), planes(homes[at][first], "<u4"),
+            planes(counts, "<u4"), _five(hashes[at]),
         )
 
 
@@ -291,9 +280,9 @@ def _tell_shared():
                 elif row["kind"] == 1:
                     seen.append(_from_five(row["d"]))
                 else:
-                    n = _from_planes(row["c"], "<u4")
-                    docs.append(np.repeat(_from_planes(row["a"], "<i8"), n))
-                    homes.append(np.repeat(_from_planes(row["b"], "<u4"), n))
+                    n = from_planes(row["c"], "<u4")
+                    docs.append(np.repeat(from_planes(row["a"], "<i8"), n))
+                    homes.append(np.repeat(from_planes(row["b"], "<u4"), n))
                     hashes.append(_from_five(row["d"]))
             if len(out.columns[0]) >= 1024:
                 yield out.take()
@@ -338,16 +327,16 @@ def _cut_stretches(depth: int, blocks: int):
                     own = [send[i] for i in order[at]]
                     out.add(
                         p, 0,
-                        _planes(np.array([s[0] for s in own], U64), "<u8"),
-                        _planes(np.array([s[1] for s in own], np.int64), "<i8"),
-                        _planes(np.array([s[2] for s in own], np.int64), "<u4"),
-                        _planes(np.array([s[3] for s in own], np.int64), "<u4"),
-                        _planes(np.array([len(s[4]) for s in own], np.int64), "<u4") + np.uint32(home).tobytes(),
+                        planes(np.array([s[0] for s in own], U64), "<u8"),
+                        planes(np.array([s[1] for s in own], np.int64), "<i8"),
+                        planes(np.array([s[2] for s in own], np.int64), "<u4"),
+                        planes(np.array([s[3] for s in own], np.int64), "<u4"),
+                        planes(np.array([len(s[4]) for s in own], np.int64), "<u4") + np.uint32(home).tobytes(),
                         b"".join(s[4] for s in own),
                     )
             if marks:
                 m = np.array(marks, np.int64)
-                out.add(home % blocks, 1, *[_planes(m[:, i], k) for i, k in enumerate(("<i8", "<u4", "<u4", "<u4"))], str(home).encode())
+                out.add(home % blocks, 1, *[planes(m[:, i], k) for i, k in enumerate(("<i8", "<u4", "<u4", "<u4"))], str(home).encode())
             send.clear()
             marks.clear()
             return out.take()
@@ -356,7 +345,7 @@ def _cut_stretches(depth: int, blocks: int):
             for row in rows.to_pylist():
                 home = row["part"]
                 if row["kind"] == 0:
-                    ids.append(np.repeat(_from_planes(row["a"], "<i8"), _from_planes(row["c"], "<u4")))
+                    ids.append(np.repeat(from_planes(row["a"], "<i8"), from_planes(row["c"], "<u4")))
                     hashes.append(_from_five(row["d"]))
                     continue
                 if row["kind"] == 1:
@@ -408,7 +397,7 @@ def _find_repeats(depth: int):
             m = np.array(marks, np.int64)
             m = m[np.argsort(m[:, 0], kind="stable")]
             for home, at in _sliced(m[:, 0]):
-                out.add(home, 0, *[_planes(m[at, i + 1], k) for i, k in enumerate(("<i8", "<u4", "<u4", "<u4"))])
+                out.add(home, 0, *[planes(m[at, i + 1], k) for i, k in enumerate(("<i8", "<u4", "<u4", "<u4"))])
             marks.clear()
 
         for rows in batches:
@@ -417,9 +406,9 @@ def _find_repeats(depth: int):
                     out.add(int(row["e"]), 0, row["a"], row["b"], row["c"], row["d"])
                     continue
                 home = int.from_bytes(row["e"][-4:], "little")
-                lengths = _from_planes(row["e"][:-4], "<u4")
+                lengths = from_planes(row["e"][:-4], "<u4")
                 ends = np.cumsum(lengths).tolist()
-                columns = [_from_planes(row[n], k).tolist() for n, k in zip("abcd", ("<u8", "<i8", "<u4", "<u4"), strict=True)]
+                columns = [from_planes(row[n], k).tolist() for n, k in zip("abcd", ("<u8", "<i8", "<u4", "<u4"), strict=True)]
                 text, begin = row["f"], 0
                 for h, doc, tag, at, end in zip(*columns, ends, strict=True):
                     place = found.setdefault(h, {}).setdefault(text[begin:end], [])
@@ -468,7 +457,7 @@ def _find_repeats(depth: int):
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def _remove(depth: int, row_type: pa.DataType):
+def _remove(depth: int, row_type: pa.DataType, whole_characters: bool):
     """Spans of each text and what is left of it."""
     schema = pa.schema([("row", row_type), ("spans", _SPANS), ("kept", pa.binary())])
 
@@ -481,7 +470,7 @@ def _remove(depth: int, row_type: pa.DataType):
             kinds = rows["kind"].to_numpy()
             for row in rows.select(["kind", "doc_id", "text", *_PACKED]).filter(pa.array(kinds < 2)).to_pylist():
                 if row["kind"] == 0:
-                    columns = [_from_planes(row[n], k).astype(np.int64) for n, k in zip("abcd", ("<i8", "<u4", "<u4", "<u4"), strict=True)]
+                    columns = [from_planes(row[n], k).astype(np.int64) for n, k in zip("abcd", ("<i8", "<u4", "<u4", "<u4"), strict=True)]
                     parts.append(np.stack(columns, axis=1))
                 else:
                     copies.add((row["doc_id"], row["text"]))
@@ -497,6 +486,8 @@ def _remove(depth: int, row_type: pa.DataType):
             spans, kept = [], []
             for doc, text in zip(texts["doc_id"].to_pylist(), texts["text"].to_pylist(), strict=True):
                 begins, ends = _spans_of(doc, text, marks, copies, depth)
+                if whole_characters and begins:
+                    begins, ends = _to_characters(text, begins, ends)
                 spans.append([{"start": b, "end": e} for b, e in zip(begins, ends, strict=True)])
                 if begins:
                     stops, starts = [*begins, len(text)], [0, *ends]
@@ -524,14 +515,32 @@ def _spans_of(doc, text: bytes, marks: np.ndarray, copies: set, depth: int) -> t
     return begins.tolist(), ends.tolist()
 
 
+def _to_characters(text: bytes, begins: list, ends: list) -> tuple[list, list]:
+    """Spans shrunk to whole characters of UTF-8; what then is empty is left out."""
+    out = []
+    for b, e in zip(begins, ends, strict=True):
+        while b < e and text[b] & 0xC0 == 0x80:
+            b += 1
+        while b < e < len(text) and text[e] & 0xC0 == 0x80:
+            e -= 1
+        if b < e:
+            out.append((b, e))
+    return [b for b, _ in out], [e for _, e in out]
+
+
 def remove_repeats(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 50
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    min_bytes: int = 50,
+    whole_characters: bool = False,
 ) -> DataFrame:
     """All rows and columns of ``df`` (as struct ``row``), with ``spans`` and ``kept``.
 
     ``spans`` are the maximal runs of bytes (UTF-8, ``start`` and ``end``) covered by a string of
     ``min_bytes`` bytes that also starts in a document with a smaller id; ``kept`` is the rest of
-    the text as bytes.  Matches never cross documents and are judged on the input.
+    the text as bytes.  Matches never cross documents and are judged on the input.  With
+    ``whole_characters`` spans are shrunk until no character is cut in two.
 
     A null text is empty.  Texts shorter than ``min_bytes`` are left alone.  Rows with a null id
     neither lose nor take anything.  Rows of equal ids do not take from each other, whether their
@@ -586,6 +595,6 @@ def remove_repeats(
     )
     row_type = to_arrow_type(rows.schema["row"].dataType)
     ddl = f"row {rows.schema['row'].dataType.simpleString()}, spans array<struct<start:bigint,end:bigint>>, kept binary"
-    out = final.mapInArrow(_remove(min_bytes, row_type), ddl)
+    out = final.mapInArrow(_remove(min_bytes, row_type, whole_characters), ddl)
     renamed = F.struct(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(names)])
     return out.select(renamed.alias("row"), F.col("row.c" + str(names.index(id_col))).cast("long").alias("doc_id"), "spans", "kept")
