@@ -12,16 +12,19 @@ have that minimizer goes to the block of the minimizer.  A stretch that a task h
 earlier document is marked there and not sent on, so a passage that very many documents hold
 reaches its block once per task.  Documents with equal texts are told apart from repeats first.
 
-Arrays of numbers travel as packed binary columns; text is shuffled twice, by document.
+Arrays of numbers travel as packed binary columns; text is shuffled twice, by document.  Documents
+of one home (a hash of the id) are packed together for the first of these shuffles.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -29,7 +32,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from .common import U64, batch, from_planes, mix64, partitions, planes
 
 #: Bytes of the substrings that minimizers are chosen among, for long enough strings.
-WORD = 24
+WORD = 20
 #: Longest part of a text that is hashed at once; parts overlap.
 PART = 1 << 22
 #: Bytes of stretches a task holds before it sends them, and of text in one sorted block.
@@ -176,15 +179,34 @@ _ARROW = pa.schema(
 _SCHEMA = "part int, kind int, doc_id long, text binary, " + ", ".join(f"{n} binary" for n in _PACKED)
 
 
-def _five(hashes: np.ndarray) -> bytes:
-    """The upper 40 bits of hashes; a block's number stands for some of the rest."""
-    return np.ascontiguousarray((hashes >> U64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+def _four(hashes: np.ndarray) -> bytes:
+    """The upper half of hashes.  A block's number stands for some of the rest; two minimizers of a
+    block that are taken for one only make the block compare more."""
+    return (hashes >> U64(32)).astype("<u4").tobytes()
 
 
-def _from_five(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 5, 8), np.uint8)
-    out[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
-    return out.view("<u8").ravel()
+def _from_four(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, "<u4")
+
+
+def _packed_marks(marks: np.ndarray) -> list[bytes]:
+    """Marks (doc, tag, start, end): each document once, with its count; starts and lengths."""
+    marks = marks[np.lexsort((marks[:, 2], marks[:, 1], marks[:, 0]))]
+    new = np.any(marks[1:, :2] != marks[:-1, :2], axis=1)
+    first = np.flatnonzero(np.append(True, new))
+    counts = np.diff(np.append(first, len(marks)))
+    columns = (marks[first, 0], marks[first, 1], counts, marks[:, 2], marks[:, 3] - marks[:, 2])
+    return [planes(c, k) for c, k in zip(columns, _MARKS, strict=True)]
+
+
+_MARKS = ("<i8", "<u4", "<u4", "<u4", "<u4")
+
+
+def _from_marks(row: dict) -> np.ndarray:
+    doc, tag, counts, start, length = (
+        from_planes(row[n], k).astype(np.int64) for n, k in zip("abcde", _MARKS, strict=True)
+    )
+    return np.stack([np.repeat(doc, counts), np.repeat(tag, counts), start, start + length], axis=1)
 
 
 class _Rows:
@@ -221,7 +243,7 @@ def _add_by_doc(rows: _Rows, kind: int, part, docs, homes, hashes) -> None:
         counts = np.diff(np.append(first, len(d)))
         rows.add(
             p, kind, planes(d[first], "<i8"), planes(homes[at][first], "<u4"),
-            planes(counts, "<u4"), _five(hashes[at]),
+            planes(counts, "<u4"), _four(hashes[at]),
         )
 
 
@@ -255,7 +277,7 @@ def _list_minimizers(depth: int, blocks: int):
             by_block = np.argsort(block[witness], kind="stable")
             seen, seen_block = hashes[witness][by_block], block[witness][by_block]
             for p, at in _sliced(seen_block):
-                out.add(p, 1, b"", b"", b"", _five(seen[at]))
+                out.add(p, 1, b"", b"", b"", _four(seen[at]))
             told = _Rows()
             _add_by_doc(told, 2, homes[~single], docs[~single], homes[~single], hashes[~single])
             # These only pass through a block; any block will do.
@@ -267,6 +289,34 @@ def _list_minimizers(depth: int, blocks: int):
     return run
 
 
+def _pack_texts():
+    """Documents of each home together, compressed: ids, lengths and texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shrink = zstandard.ZstdCompressor(level=3)
+        for rows in batches:
+            homes = rows[0].to_numpy()
+            docs, texts = rows[1].to_numpy(), rows[2].to_pylist()
+            order = np.argsort(homes, kind="stable")
+            out = _Rows()
+            for home, at in _sliced(homes[order]):
+                own = order[at]
+                lengths = np.array([len(texts[i]) for i in own])
+                text = shrink.compress(b"".join([texts[i] for i in own]))
+                out.add(home, 2, planes(docs[own], "<i8"), planes(lengths, "<u4"), text)
+            yield out.take()
+
+    return run
+
+
+def _unpacked_texts(row: dict) -> Iterator[tuple[int, bytes]]:
+    text, begin = zstandard.ZstdDecompressor().decompress(row["c"]), 0
+    docs, lengths = from_planes(row["a"], "<i8"), from_planes(row["b"], "<u4")
+    for doc, length in zip(docs.tolist(), lengths.tolist(), strict=True):
+        yield doc, text[begin : begin + length]
+        begin += length
+
+
 def _tell_shared():
     """Of each block's minimizers, those of several documents, back to the documents' homes."""
 
@@ -278,12 +328,12 @@ def _tell_shared():
                 if row["kind"] == 2:
                     out.add(int(row["e"]), 0, row["a"], row["b"], row["c"], row["d"])
                 elif row["kind"] == 1:
-                    seen.append(_from_five(row["d"]))
+                    seen.append(_from_four(row["d"]))
                 else:
                     n = from_planes(row["c"], "<u4")
                     docs.append(np.repeat(from_planes(row["a"], "<i8"), n))
                     homes.append(np.repeat(from_planes(row["b"], "<u4"), n))
-                    hashes.append(_from_five(row["d"]))
+                    hashes.append(_from_four(row["d"]))
             if len(out.columns[0]) >= 1024:
                 yield out.take()
         if hashes:
@@ -298,8 +348,7 @@ def _tell_shared():
             if seen:
                 several |= np.isin(h[fresh], np.concatenate(seen))
             keep = several[number]
-            # Hashes were cut to their upper bits; the block's part of them is not needed any more.
-            _add_by_doc(out, 0, place[keep], d[keep], place[keep], h[keep] << U64(24))
+            _add_by_doc(out, 0, place[keep], d[keep], place[keep], h[keep].astype(U64) << U64(32))
         yield out.take()
 
     return run
@@ -312,10 +361,11 @@ def _cut_stretches(depth: int, blocks: int):
         ids, hashes, copies = [], [], set()
         ready = False
         first_in: dict[bytes, int] = {}
-        home = 0
-        send: list[tuple] = []
-        marks: list[tuple] = []
-        held = 0
+        home, held = 0, 0
+        send: list[tuple] = []  # (hash, number of the document, start, stretch)
+        sources: list[tuple[int, int]] = []  # documents of what is held: (doc, tag)
+        marks: list[np.ndarray] = []
+        shrink = zstandard.ZstdCompressor(level=3)
 
         def flush() -> pa.RecordBatch:
             out = _Rows()
@@ -325,20 +375,22 @@ def _cut_stretches(depth: int, blocks: int):
                 order = np.argsort(block, kind="stable")
                 for p, at in _sliced(block[order]):
                     own = [send[i] for i in order[at]]
+                    used, number = np.unique([s[1] for s in own], return_inverse=True)
+                    table = np.array([sources[i] for i in used], np.int64)
                     out.add(
                         p, 0,
-                        planes(np.array([s[0] for s in own], U64), "<u8"),
-                        planes(np.array([s[1] for s in own], np.int64), "<i8"),
-                        planes(np.array([s[2] for s in own], np.int64), "<u4"),
-                        planes(np.array([s[3] for s in own], np.int64), "<u4"),
-                        planes(np.array([len(s[4]) for s in own], np.int64), "<u4") + np.uint32(home).tobytes(),
-                        b"".join(s[4] for s in own),
+                        planes(table[:, 0], "<i8") + planes(table[:, 1], "<u4"),
+                        _four(h[order[at]]),
+                        planes(np.diff(number, prepend=0), "<u4"),
+                        planes(np.array([s[2] for s in own]), "<u4"),
+                        planes(np.array([len(s[3]) for s in own]), "<u4") + np.uint32(home).tobytes(),
+                        shrink.compress(b"".join([s[3] for s in own])),
                     )
             if marks:
-                m = np.array(marks, np.int64)
-                out.add(home % blocks, 1, *[planes(m[:, i], k) for i, k in enumerate(("<i8", "<u4", "<u4", "<u4"))], str(home).encode())
-            send.clear()
-            marks.clear()
+                # These only pass through a block; any block will do.
+                out.add(home % blocks, 1, *_packed_marks(np.concatenate(marks)), str(home).encode())
+            for kept in (send, sources, marks):
+                kept.clear()
             return out.take()
 
         for rows in batches:
@@ -346,7 +398,7 @@ def _cut_stretches(depth: int, blocks: int):
                 home = row["part"]
                 if row["kind"] == 0:
                     ids.append(np.repeat(from_planes(row["a"], "<i8"), from_planes(row["c"], "<u4")))
-                    hashes.append(_from_five(row["d"]))
+                    hashes.append(_from_four(row["d"]))
                     continue
                 if row["kind"] == 1:
                     copies.add((row["doc_id"], row["text"]))
@@ -354,29 +406,41 @@ def _cut_stretches(depth: int, blocks: int):
                 if not ready:
                     ready = True
                     ids = np.concatenate(ids) if ids else np.zeros(0, np.int64)
-                    hashes = np.concatenate(hashes) if hashes else np.zeros(0, U64)
+                    hashes = np.concatenate(hashes) if hashes else np.zeros(0, np.uint32)
                     order = np.argsort(ids, kind="stable")
                     ids, hashes = ids[order], hashes[order]
-                doc, text = row["doc_id"], row["text"]
-                a, b = np.searchsorted(ids, doc), np.searchsorted(ids, doc, side="right")
-                if a == b:
-                    continue
-                tag = zlib.crc32(text)
-                if copies and (doc, tag.to_bytes(4, "big")) in copies:
-                    continue
-                found, first, last = minimizers(text, depth)
-                at = np.flatnonzero(np.isin(found >> U64(24), hashes[a:b]))
-                for h, s, e in zip(found[at].tolist(), first[at].tolist(), (last[at] + depth).tolist(), strict=True):
-                    stretch = text[s:e]
-                    before = first_in.setdefault(stretch, doc)
-                    if before < doc:
-                        marks.append((doc, tag, s, e))
-                    else:
-                        send.append((h, doc, tag, s, stretch))
+                for doc, text in _unpacked_texts(row):
+                    a, b = np.searchsorted(ids, doc), np.searchsorted(ids, doc, side="right")
+                    if a == b:
+                        continue
+                    tag = zlib.crc32(text)
+                    if copies and (doc, tag.to_bytes(4, "big")) in copies:
+                        continue
+                    found, first, last = minimizers(text, depth)
+                    at = np.flatnonzero(np.isin((found >> U64(32)).astype(np.uint32), hashes[a:b]))
+                    if not len(at):
+                        continue
+                    begins, ends = first[at], last[at] + depth
+                    known = []
+                    sources.append((doc, tag))
+                    for h, s, e in zip(found[at].tolist(), begins.tolist(), ends.tolist(), strict=True):
+                        stretch = text[s:e]
+                        before = first_in.get(stretch)
+                        if before is not None and before < doc:
+                            known.append(True)
+                            continue
+                        known.append(False)
+                        first_in[stretch] = doc
+                        send.append((h, len(sources) - 1, s, stretch))
                         held += len(stretch) + 40
-                if held >= FLUSH or len(marks) >= 1 << 18:
-                    held = 0
-                    yield flush()
+                    if any(known):
+                        mine = np.array(known)
+                        runs = merged(begins[mine], ends[mine])
+                        marks.append(np.stack([np.full(len(runs[0]), doc), np.full(len(runs[0]), tag), *runs], axis=1))
+                        held += 32 * len(runs[0])
+                    if held >= FLUSH:
+                        held = 0
+                        yield flush()
         yield flush()
 
     return run
@@ -387,9 +451,10 @@ def _find_repeats(depth: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = _Rows()
-        # By minimizer: stretch -> documents it occurs in, as (doc, tag, position, home).
+        # By minimizer: stretch -> where it occurs, as (doc, tag, position, home).
         found: dict[int, dict[bytes, list[tuple]]] = {}
         marks: list[tuple] = []
+        doc_of = itemgetter(0)
 
         def flush() -> None:
             if not marks:
@@ -397,52 +462,69 @@ def _find_repeats(depth: int):
             m = np.array(marks, np.int64)
             m = m[np.argsort(m[:, 0], kind="stable")]
             for home, at in _sliced(m[:, 0]):
-                out.add(home, 0, *[planes(m[at, i + 1], k) for i, k in enumerate(("<i8", "<u4", "<u4", "<u4"))])
+                out.add(home, 0, *_packed_marks(m[at, 1:]))
             marks.clear()
 
+        grow = zstandard.ZstdDecompressor()
         for rows in batches:
             for row in rows.select(["kind", *_PACKED]).to_pylist():
                 if row["kind"] == 1:
-                    out.add(int(row["e"]), 0, row["a"], row["b"], row["c"], row["d"])
+                    out.add(int(row["f"]), 0, *[row[n] for n in "abcde"])
                     continue
                 home = int.from_bytes(row["e"][-4:], "little")
                 lengths = from_planes(row["e"][:-4], "<u4")
-                ends = np.cumsum(lengths).tolist()
-                columns = [from_planes(row[n], k).tolist() for n, k in zip("abcd", ("<u8", "<i8", "<u4", "<u4"), strict=True)]
-                text, begin = row["f"], 0
-                for h, doc, tag, at, end in zip(*columns, ends, strict=True):
-                    place = found.setdefault(h, {}).setdefault(text[begin:end], [])
-                    place.append((doc, tag, at, home))
+                count = len(row["a"]) // 12
+                docs = from_planes(row["a"][: 8 * count], "<i8").tolist()
+                tags = from_planes(row["a"][8 * count :], "<u4").tolist()
+                numbers = np.cumsum(from_planes(row["c"], "<u4"), dtype=np.uint32).tolist()
+                columns = (_from_four(row["b"]).tolist(), numbers, from_planes(row["d"], "<u4").tolist())
+                text, begin = grow.decompress(row["f"]), 0
+                for h, k, at, end in zip(*columns, np.cumsum(lengths).tolist(), strict=True):
+                    of = found.get(h)
+                    if of is None:
+                        of = found[h] = {}
+                    stretch = text[begin:end]
+                    place = (docs[k], tags[k], at, home)
+                    if stretch in of:
+                        of[stretch].append(place)
+                    else:
+                        of[stretch] = [place]
                     begin = end
             if len(out.columns[0]) >= 1024:
                 yield out.take()
 
         strings: list[bytes] = []
         holders: list[list[tuple]] = []
+        least: list[int] = []
         size = 0
 
         def search() -> None:
-            least = np.array([min(p)[0] for p in holders], np.int64)
-            for starts, places, smallest in zip(shared_starts(strings, least, depth), holders, least, strict=True):
+            smallest = np.array(least, np.int64)
+            for starts, places, low in zip(shared_starts(strings, smallest, depth), holders, least, strict=True):
+                if not len(starts):
+                    continue
                 begins, ends = runs_of(starts, depth)
                 for doc, tag, at, home in places:
-                    if doc == smallest:
-                        marks.extend((home, doc, tag, at + int(b), at + int(e)) for b, e in zip(begins, ends, strict=True))
+                    if doc == low:
+                        marks.extend((home, doc, tag, at + b, at + e) for b, e in zip(begins.tolist(), ends.tolist(), strict=True))
 
         for stretches in found.values():
+            several = len(stretches) > 1
             for stretch, places in stretches.items():
-                smallest = min(places)[0]
-                for doc, tag, at, home in places:
-                    if doc > smallest:  # the whole stretch stands in an earlier document
-                        marks.append((home, doc, tag, at, at + len(stretch)))
-            if len(stretches) > 1:
-                for stretch, places in stretches.items():
+                low = places[0][0]
+                if len(places) > 1:
+                    low = min(map(doc_of, places))
+                    for doc, tag, at, home in places:
+                        if doc > low:  # the whole stretch stands in an earlier document
+                            marks.append((home, doc, tag, at, at + len(stretch)))
+                if several:
                     strings.append(stretch)
                     holders.append(places)
+                    least.append(low)
                     size += len(stretch) + 1
-                if size >= BLOCK:
-                    search()
-                    strings, holders, size = [], [], 0
+            if size >= BLOCK:
+                search()
+                strings, holders, least, size = [], [], [], 0
             if len(marks) >= 1 << 18:
                 flush()
                 yield out.take()
@@ -457,7 +539,7 @@ def _find_repeats(depth: int):
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def _remove(depth: int, row_type: pa.DataType, whole_characters: bool):
+def _remove(depth: int, row_type: pa.DataType, text_at: int, whole_characters: bool):
     """Spans of each text and what is left of it."""
     schema = pa.schema([("row", row_type), ("spans", _SPANS), ("kept", pa.binary())])
 
@@ -470,8 +552,7 @@ def _remove(depth: int, row_type: pa.DataType, whole_characters: bool):
             kinds = rows["kind"].to_numpy()
             for row in rows.select(["kind", "doc_id", "text", *_PACKED]).filter(pa.array(kinds < 2)).to_pylist():
                 if row["kind"] == 0:
-                    columns = [from_planes(row[n], k).astype(np.int64) for n, k in zip("abcd", ("<i8", "<u4", "<u4", "<u4"), strict=True)]
-                    parts.append(np.stack(columns, axis=1))
+                    parts.append(_from_marks(row))
                 else:
                     copies.add((row["doc_id"], row["text"]))
             texts = rows.filter(pa.array(kinds == 2))
@@ -484,7 +565,9 @@ def _remove(depth: int, row_type: pa.DataType, whole_characters: bool):
                     marks = marks[np.argsort(marks[:, 0], kind="stable")]
                     parts = []
             spans, kept = [], []
-            for doc, text in zip(texts["doc_id"].to_pylist(), texts["text"].to_pylist(), strict=True):
+            values = texts["row"].field(text_at).cast(pa.binary()).to_pylist()
+            for doc, text in zip(texts["doc_id"].to_pylist(), values, strict=True):
+                text = text or b""
                 begins, ends = _spans_of(doc, text, marks, copies, depth)
                 if whole_characters and begins:
                     begins, ends = _to_characters(text, begins, ends)
@@ -574,16 +657,16 @@ def remove_repeats(
     shared = listed.repartitionById(n, F.col("part")).mapInArrow(_tell_shared(), _SCHEMA)
     at_home = (
         shared.unionByName(copy_rows)
-        .unionByName(packed(docs, 2))
+        .unionByName(docs.mapInArrow(_pack_texts(), _SCHEMA))
         .repartitionById(n, F.col("part"))
-        .sortWithinPartitions("kind", "doc_id")
+        .sortWithinPartitions("kind")
     )
     stretches = at_home.mapInArrow(_cut_stretches(min_bytes, n), _SCHEMA)
     marked = stretches.repartitionById(n, F.col("part")).mapInArrow(_find_repeats(min_bytes), _SCHEMA)
 
     no_row = F.lit(None).cast(rows.schema["row"].dataType).alias("row")
     texts = rows.select(
-        "part", F.lit(2).alias("kind"), "doc_id", "text",
+        "part", F.lit(2).alias("kind"), "doc_id", F.lit(None).cast("binary").alias("text"),
         *[F.lit(None).cast("binary").alias(c) for c in _PACKED], "row",
     )
     final = (
@@ -595,6 +678,6 @@ def remove_repeats(
     )
     row_type = to_arrow_type(rows.schema["row"].dataType)
     ddl = f"row {rows.schema['row'].dataType.simpleString()}, spans array<struct<start:bigint,end:bigint>>, kept binary"
-    out = final.mapInArrow(_remove(min_bytes, row_type, whole_characters), ddl)
+    out = final.mapInArrow(_remove(min_bytes, row_type, names.index(text_col), whole_characters), ddl)
     renamed = F.struct(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(names)])
     return out.select(renamed.alias("row"), F.col("row.c" + str(names.index(id_col))).cast("long").alias("doc_id"), "spans", "kept")
