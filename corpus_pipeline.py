@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.llm import mixing, packing, quality, setsketch, suffix_dedup
-from wardflow.llm.common import table
+from wardflow.llm.common import pick, table
 from wardflow.llm.queries import TOKENIZERS
 from wardflow.session import materialise
 
@@ -20,8 +20,17 @@ REPEAT_BYTES = 100
 MAX_REPEATS = 1.5
 
 
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _documents(docs: DataFrame) -> DataFrame:
+    """The columns of ``documents``, by exact name, whatever others there are."""
+    return pick(docs, **{c: c for c in COLUMNS})
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted to the labels of ``docs``, does not reject."""
+    docs = _documents(docs)
     model = quality.train_quality(docs, table(spark, sf_dir, "labels"))
     return quality.keep_quality(docs, model)
 
@@ -31,6 +40,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Rows of equal ids count as one document and stay or go together.
     """
+    docs = _documents(docs)
     kept = setsketch.near_duplicates(docs, words=5, percent=80).filter("kept")
     kept = kept.select(F.col("doc_id").alias("kept_doc_id")).distinct()
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_doc_id"]), "left_semi")
@@ -38,6 +48,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages that an earlier document has; a text that loses everything goes."""
+    docs = _documents(docs)
     found = suffix_dedup.remove_repeats(docs, min_bytes=REPEAT_BYTES, whole_characters=True)
     text = F.when(F.size("spans") > 0, F.col("kept").cast("string")).otherwise(F.col("row.text"))
     out = found.withColumn("text", text)
@@ -55,6 +66,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources made more even by repeating the smaller ones; every document is used."""
+    docs = _documents(docs)
     words = F.coalesce(F.regexp_count("text", F.lit(r"\S+")), F.lit(0))
     return mixing.mix_sources(docs, words, max_repeats=MAX_REPEATS).select(*docs.columns)
 

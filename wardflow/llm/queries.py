@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from . import html_text, mixing, packing, permutation_index, quality, setsketch, tokens, warc
 from . import suffix_dedup, winnowing
-from .common import table
+from .common import pick, table
 
 #: Folder of public vocabularies; their files are only read.
 TOKENIZERS = "/opt/tokenizers"
@@ -39,7 +39,7 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Uses of every document in a mixture as even as repetition of at most 1.5 allows."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    docs = pick(table(spark, sf_dir, "documents"), doc_id="doc_id", source="source", text="text")
     words = F.coalesce(F.regexp_count("text", F.lit(r"\S+")), F.lit(0))
     mixed = mixing.mix_sources(docs, words, max_repeats=1.5)
     return mixed.select("doc_id", "source", "mix_epoch", "mix_order.block", "mix_order.row")
@@ -48,7 +48,7 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that strings of 50 bytes share with an earlier one."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text")
     found = suffix_dedup.remove_repeats(docs, min_bytes=50)
     n_bytes = F.coalesce(F.octet_length("row.text"), F.lit(0)).cast("long")
     return found.select(
@@ -88,7 +88,7 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten nearest vectors of every vector whose id is divisible by 100."""
-    rows = table(spark, sf_dir, "embeddings")
+    rows = pick(table(spark, sf_dir, "embeddings"), vec_id="vec_id", embedding="embedding")
     return permutation_index.nearest_neighbours(rows, rows.filter(F.col("vec_id") % 100 == 0))
 
 
