@@ -209,7 +209,7 @@ def test_fluid_and_mortality(spark, stays, patients, rows):
     last = q.last_stay(balance, patients)
     assert {r["subject_id"]: r["stay_id"] for r in last.collect()} == {1001: 2003, 1002: 2004}
     assert rows(q.mortality_by_balance(last)) == [("Negative", "Alive", 1), ("Positive", "Dead", 1)]
-    assert rows(q.mortality_by_age(last, patients)) == [
+    assert rows(q.mortality_by_age(last)) == [
         ("40–64", "Negative", "Alive", 1), ("90+", "Positive", "Dead", 1)]
 
 

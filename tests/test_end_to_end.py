@@ -48,9 +48,11 @@ def warehouse(spark, root):
     source = spark.createDataFrame(rows + rows[:3], spec.source_ddl)
     streams.publish_json(source, spec.partition_key, f"{root}/topic", "charttime", 2)
     messages = readers.read_stream(spark, f"{root}/topic", "key STRING, value STRING")
-    jobs.drain(jobs.ingest_bronze(messages, spec, f"{root}/bronze", f"{root}/ck", available_now=True))
+    jobs.drain(jobs.ingest_bronze(messages, spec, f"{root}/bronze", f"{root}/ck", f"{root}/bad",
+                                  available_now=True))
     jobs.drain([jobs.bronze_to_silver(spark, spec, f"{root}/bronze", f"{root}/silver",
-                                      f"{root}/ck/silver", available_now=True)])
+                                      f"{root}/ck/silver", ("charttime", "1 day"),
+                                      available_now=True)])
     loaded = loads.load_fact(spark, spec, f"{root}/silver", f"{root}/wh/{spec.table}", f"{root}/marks")
     assert loaded.first()["rows_written"] == 6
     tables = readers.open_warehouse(spark, f"{root}/wh", [*DIMS, spec.table])

@@ -254,8 +254,8 @@ def test_stream_equals_batch_across_restart(spark, tmp_path, rows):
     topic, bronze, silver, ck = (str(tmp_path / n) for n in ("topic", "bronze", "silver", "ck"))
 
     def run():
-        jobs.drain(jobs.ingest_bronze(_messages(spark, topic), SPEC, bronze, ck, available_now=True))
-        jobs.drain([jobs.bronze_to_silver(spark, SPEC, bronze, silver, f"{ck}/s", available_now=True)])
+        jobs.drain(jobs.ingest_bronze(_messages(spark, topic), SPEC, bronze, ck, f"{ck}-bad", available_now=True))
+        jobs.drain([jobs.bronze_to_silver(spark, SPEC, bronze, silver, f"{ck}/s", HORIZON, available_now=True)])
 
     _publish(spark, chart_rows(spark, 30), topic)
     run()
@@ -273,16 +273,59 @@ def test_stream_equals_batch_across_restart(spark, tmp_path, rows):
     assert rows(got.select(columns)) == rows(batch.select(columns))
 
 
-def test_stream_dedup_horizon(spark, tmp_path):
+HORIZON = ("charttime", "1 day")
+
+
+def test_stream_dedup_horizon_on_registered_spec(spark, tmp_path):
+    """The event time is text in the source; unreadable times are kept."""
     path = str(tmp_path / "in")
-    stamped = chart_rows(spark, 20).withColumn("charttime", F.to_timestamp("charttime"))
-    ddl = CHART.replace("charttime STRING", "charttime TIMESTAMP")
-    stamped.unionByName(stamped).write.parquet(path)
-    stream = readers.read_stream(spark, path, ddl)
-    out = SPEC.clean(stream, horizon=("charttime", "1 hour"))
-    query = streams.write_memory(out, "horizon_out")
+    unread = chart_rows(spark, 1).withColumn("charttime", F.lit("NaT"))
+    stamped = chart_rows(spark, 20)
+    stamped.unionByName(stamped).unionByName(unread).write.parquet(path)
+    stream = readers.read_stream(spark, path, CHART)
+    query = streams.write_memory(SPEC.clean(stream, horizon=("charttime", "1 hour")), "horizon_out")
     query.awaitTermination()
-    assert spark.table("horizon_out").count() == 20
+    assert spark.table("horizon_out").count() == 21
+
+
+def test_micro_stream(spark, tmp_path):
+    spec = FACTS["hosp_microbiologyevents"]
+    names = column_names(spec.source_ddl)
+    row = {"microevent_id": 1, "subject_id": 2, "charttime": dt.datetime(2150, 1, 1, 10)}
+    rows = [tuple(({**row, "microevent_id": i}).get(n) for n in names) for i in (1, 1, 2, None)]
+    path, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    spark.createDataFrame(rows, spec.source_ddl).write.parquet(path)
+    jobs.drain([jobs.bronze_to_silver(spark, spec, path, silver, str(tmp_path / "ck"), HORIZON, available_now=True)])
+    got = spark.read.parquet(silver)
+    assert sorted(r["microevent_id"] for r in got.collect()) == [1, 2]
+    assert dict(got.dtypes)["charttime"] == "timestamp"
+
+
+def test_marks_are_instants(spark, tmp_path):
+    """Over the hour that autumn repeats, every row is read once."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        base = 1730613000  # 01:50 in summer time, ten minutes before the clock goes back
+        rows = spark.createDataFrame([(i, base + i * 1200) for i in range(5)], "id INT, s BIGINT")
+        df = rows.select("id", F.timestamp_seconds("s").alias("ts"))
+        path, seen = str(tmp_path / "marks"), []
+        for upto in (2, 2, 5):
+            lo, _ = incremental.load_mark(spark, path, "t")
+            window = incremental.read_since(df.filter(F.col("id") < upto), "ts", lo)
+            seen += sorted(r["id"] for r in window.rows.collect())
+            incremental.save_mark(spark, path, "t", window.hi)
+        assert seen == [0, 1, 2, 3, 4]
+        with pytest.raises(ValueError):
+            incremental.save_mark(spark, path, "t", incremental.FIRST_MARK)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_broken_marks_are_no_first_run(spark, tmp_path):
+    (tmp_path / "part-0.parquet").write_text("not parquet")
+    with pytest.raises(Exception):
+        incremental.load_mark(spark, str(tmp_path), "t")
 
 
 def test_stream_quarantine(spark, tmp_path):
@@ -351,13 +394,6 @@ def test_monitor_totals(spark, tmp_path):
     assert last["newest_time"] == "2150-01-01T00:16:00" and last["newest_sample"].count("\n") == 2
 
 
-def test_replay_files_hold_one_trigger_each(spark, tmp_path):
-    path = str(tmp_path / "replay")
-    jobs.cut_for_replay(chart_rows(spark, 100), "charttime", rate=10, path=path, multiplier=2)
-    files = spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()
-    assert max(r["count"] for r in files) <= 20 and sum(r["count"] for r in files) == 100
-
-
 def test_schema_report_and_delivery(spark, tmp_path):
     report = monitor.schema_report(spark.createDataFrame([], CHART))
     assert report.count() == 11

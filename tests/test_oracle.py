@@ -7,6 +7,8 @@ from compare import compare, connect
 from conftest import TESTDATA
 
 import __spark_entry__ as entry
+from wardflow.plans.checks import CHECKS
+from wardflow.specs import QUERIES
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(TESTDATA), reason="no test tables")
 
@@ -23,16 +25,11 @@ def test_entry(spark):
 def test_checks_match_queries():
     missing = set(entry.oracle_sql()) - set(entry.queries())
     assert not missing
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"trained_risk"}
+    assert set(QUERIES) == set(CHECKS)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(CHECKS))
 def test_query_equals_sql(spark, con, name):
     df = entry.queries()[name](spark, TESTDATA)
     assert compare(df, con, entry.oracle_sql()[name]) == []
 
-
-def test_trained_risk_is_a_probability(spark):
-    df = entry.queries()["trained_risk"](spark, TESTDATA)
-    values = [r["positive_prob"] for r in df.collect()]
-    assert values and all(0 <= v <= 1 for v in values)

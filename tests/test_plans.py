@@ -8,12 +8,13 @@ from conftest import TESTDATA
 
 import __spark_entry__ as entry
 from wardflow.plans.views import ClinicalViews
+from wardflow.specs import QUERIES
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(TESTDATA), reason="no test tables")
 
 # These run jobs of their own while they are built; the rest is lazy.
-EAGER = {"incremental_load", "trained_risk", "table_profile", "sample_systematic", "los_median"}
-LAZY = sorted(n for n in entry.queries() if not n.startswith("stream_") and n not in EAGER)
+EAGER = {"incremental_load", "trained_risk", "table_profile", "sample_systematic"}
+LAZY = sorted(n for n in QUERIES if not n.startswith("stream_") and n not in EAGER)
 
 
 @pytest.fixture

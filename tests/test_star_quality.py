@@ -13,7 +13,7 @@ from wardflow.operators.quantiles import exact_percentile
 from wardflow.sinks.tables import insert_absent
 
 
-@pytest.mark.parametrize("small", [0, 1000])
+@pytest.mark.parametrize("cells", [1, 8])
 @settings(max_examples=4, deadline=None)
 @given(
     pairs=st.lists(
@@ -25,9 +25,9 @@ from wardflow.sinks.tables import insert_absent
         max_size=200,
     )
 )
-def test_median_is_exact(spark, small, pairs):
+def test_median_is_exact(spark, cells, pairs):
     df = spark.createDataFrame(pairs, "k STRING, v DOUBLE")
-    got = {r["k"]: r["m"] for r in exact_percentile(df, ["k"], "v", 0.5, "m", 8, small).collect()}
+    got = {r["k"]: r["m"] for r in exact_percentile(df, ["k"], "v", 0.5, "m", cells).collect()}
     want = {}
     for key in {k for k, v in pairs if v is not None}:
         want[key] = statistics.median([v for k, v in pairs if k == key and v is not None])
@@ -40,7 +40,7 @@ def test_percentiles_match_builtin_on_skewed_group(spark, p):
         F.when(F.col("id") < 4000, 0).otherwise(F.col("id") % 7).alias("k"),
         (F.pmod(F.hash("id"), F.lit(1000)) / 8).alias("v"),
     )
-    got = {r["k"]: r["m"] for r in exact_percentile(df, ["k"], "v", p, "m", small=0).collect()}
+    got = {r["k"]: r["m"] for r in exact_percentile(df, ["k"], "v", p, "m", cells=16).collect()}
     want = {r["k"]: r["m"] for r in df.groupBy("k").agg(F.percentile("v", p).alias("m")).collect()}
     assert got.keys() == want.keys()
     assert all(abs(got[k] - want[k]) < 1e-9 for k in want)

@@ -38,7 +38,8 @@ def dedup_stream(
 
     ``horizon=(event_time_column, delay)`` bounds the state: a copy that arrives later than the
     delay after its first may pass again, and rows behind the watermark are dropped, so the
-    delay must exceed the disorder of the input.  Without it state grows with the number of
+    delay must exceed the disorder of the input.  The column may be text; rows whose time cannot
+    be read are compared within a micro-batch.  Without it state grows with the number of
     distinct keys (use the RocksDB state store).
 
     ``spread`` > 0 adds a first stage keyed by (key, input partition modulo ``spread``), so that
@@ -46,7 +47,12 @@ def dedup_stream(
     """
     if horizon is not None:
         column, delay = horizon
-        return df.withWatermark(column, delay).dropDuplicatesWithinWatermark(list(keys))
+        time = F.col(column)
+        if dict(df.dtypes)[column] == "string":
+            time = F.try_to_timestamp(time)
+        # A copy of the column carries the watermark, so its own type stays as it is.
+        timed = df.withColumn("_event_time", time).withWatermark("_event_time", delay)
+        return timed.dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")
     if spread > 0:
         lane = "_lane"
         salted = df.withColumn(lane, F.spark_partition_id() % spread)

@@ -2,26 +2,35 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LANES = 16
+
+def session_lanes(df: DataFrame) -> int:
+    """Fan-out of a hot key: grows with the shuffle partitions of the session, as data does.
+
+    The other side is repeated as often, so the fan-out follows the square root.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(8, math.ceil(2 * math.sqrt(partitions)))
 
 
 def spread_join(
-    many: DataFrame, one: DataFrame, on: Sequence[str], how: str = "inner", lanes: int = LANES
+    many: DataFrame, one: DataFrame, on: Sequence[str], how: str = "inner", lanes: int | None = None
 ) -> DataFrame:
     """Join fact rows to a side with one row per key, NULL keys matching NULL.
 
-    The fact rows of a key are dealt to ``lanes`` by a hash of the row and the other side is
+    The fact rows of a key are dealt to ``lanes`` (see :func:`session_lanes`) by a hash of the row and the other side is
     repeated once per lane, so a hot key is joined by up to ``lanes`` tasks and a following
     aggregation by the same key starts with partial results.  AQE cannot do this by itself when
     that aggregation would reuse the partitioning of the join.  Meant for a ``one`` side far
     smaller than the fact; where it is small enough Spark broadcasts it by its size anyway.
     """
+    lanes = lanes or session_lanes(many)
     lane = F.pmod(F.xxhash64(*many.columns), F.lit(lanes)).cast("int")
     left = many.withColumn("_lane", lane)
     rest = [c for c in one.columns if c not in on]

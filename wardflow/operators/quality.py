@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.messages import Split
+from .joins import spread_join
 
 
 def require_not_null(df: DataFrame, columns: Sequence[str]) -> Split:
@@ -30,12 +31,12 @@ def fk_violations(fact: DataFrame, dim: DataFrame, fk: str, pk: str | None = Non
     """Fact rows whose non-null key has no dimension row.
 
     The anti join runs on the distinct keys of the fact (reduced map-side); only offending keys
-    go back to the fact rows.
+    go back to the fact rows, which are dealt to lanes so that an offender of many rows is spread.
     """
     pk = pk or fk
     keys = fact.select(fk).filter(F.col(fk).isNotNull()).distinct()
     orphans = keys.join(dim.select(F.col(pk).alias(fk)), fk, "left_anti")
-    return fact.join(orphans, fk, "left_semi")
+    return spread_join(fact, orphans, [fk])
 
 
 def fk_violation_counts(fact: DataFrame, dim: DataFrame, fk: str, pk: str | None = None) -> DataFrame:

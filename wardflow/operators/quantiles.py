@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialise
 from .joins import spread_join
 
-# Distinct (group, value) pairs that one task may hold at most.
-SMALL = 1_000_000
+# Cells that the range of a group's values is cut into.
+CELLS = 4096
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -22,54 +21,51 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 
 def exact_percentile(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    p: float,
-    alias: str,
-    splits: int = 64,
-    small: int = SMALL,
+    df: DataFrame, keys: Sequence[str], value: str, p: float, alias: str, cells: int = CELLS
 ) -> DataFrame:
     """``percentile_cont(p)`` of ``value`` per key, exact, one row per key that has a value."""
-    counts = materialise(value_counts(df, keys, value), "value-counts")
-    return percentile_of_counts(counts, keys, p, alias, splits, small)
+    return percentile_of_counts(value_counts(df, keys, value), keys, p, alias, cells)
+
+
+def _cell(cells: int) -> Column:
+    """Number of the cell of ``_v`` between ``_low`` and ``_high``: never falls as ``_v`` rises.
+
+    NaN, which sorts after all numbers, and what infinities leave undefined go to the last cell.
+    """
+    share = (F.col("_v") - F.col("_low")) / F.nullif(F.col("_high") - F.col("_low"), F.lit(0.0))
+    place = F.coalesce(share * cells, F.lit(0.0))
+    return F.when(F.isnan(place), cells).otherwise(F.floor(place)).cast("int")
 
 
 def percentile_of_counts(
-    counts: DataFrame,
-    keys: Sequence[str],
-    p: float,
-    alias: str,
-    splits: int = 64,
-    small: int = SMALL,
+    counts: DataFrame, keys: Sequence[str], p: float, alias: str, cells: int = CELLS
 ) -> DataFrame:
-    """Exact percentile from the stored output of :func:`value_counts`.
+    """Exact percentile from the output of :func:`value_counts`.
 
-    The built-in ``percentile`` keeps the distinct values of a group in one buffer, which is fine
-    up to ``small`` counted values in the whole table (their number is known from the stored
-    files).  Beyond that each group's values are cut into ``splits`` ranges by a bounded sketch,
-    and only the ranges that hold the wanted positions are ordered.
+    The range of each group, from its smallest to its largest value, is cut into ``cells`` equal
+    cells.  A running sum over the cells' sizes finds those that hold the wanted positions, and
+    only their values are ordered, so no task orders a whole group.  The cut depends on minimum
+    and maximum alone: a recomputed task cuts alike.
     """
     keys = list(keys)
     counts = counts.dropna(subset=["_v"])
-    if counts.count() <= small:
-        return counts.groupBy(*keys).agg(F.percentile("_v", p, F.col("_n")).alias(alias))
-    fractions = [i / splits for i in range(1, splits)]
-    sketch = counts.groupBy(*keys).agg(
-        F.sum("_n").alias("_total"),
-        F.percentile_approx("_v", fractions, 100 * splits).alias("_cuts"),
+    bounds = counts.groupBy(*keys).agg(
+        F.sum("_n").alias("_total"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
+    )
+    # One row per group on the other side, so a lane per shuffle partition is cheap.
+    lanes = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = spread_join(counts, bounds, keys, lanes=lanes).select(
+        *keys, "_v", "_n", "_total", _cell(cells).alias("_cell")
     )
-    at = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
-    placed = spread_join(counts, sketch, keys).select(*keys, "_v", "_n", "_total", at.alias("_range"))
 
-    # At most ``splits`` rows per key reach the running sum.
-    ranges = placed.groupBy(*keys, "_range").agg(
+    # At most ``cells + 1`` rows per key reach the running sum.
+    sized = placed.groupBy(*keys, "_cell").agg(
         F.sum("_n").alias("_size"), F.first("_total").alias("_all")
     )
-    upto = Window.partitionBy(*keys).orderBy("_range")
-    located = ranges.select(
+    upto = Window.partitionBy(*keys).orderBy("_cell")
+    located = sized.select(
         *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.col("_range").alias("_r"),
+        F.col("_cell").alias("_c"),
         "_size",
         (F.sum("_size").over(upto) - F.col("_size")).alias("_before"),
         (F.lit(p) * (F.col("_all") - 1)).alias("_pos"),
@@ -78,8 +74,8 @@ def percentile_of_counts(
         & (F.ceil("_pos") >= F.col("_before"))
     )
     hit = [placed[k].eqNullSafe(located[f"_k_{k}"]) for k in keys]
-    hit.append(placed["_range"] == located["_r"])
-    within = Window.partitionBy(*keys, "_range").orderBy("_v")
+    hit.append(placed["_cell"] == located["_c"])
+    within = Window.partitionBy(*keys, "_cell").orderBy("_v")
     ordered = placed.join(located, reduce(lambda a, b: a & b, hit)).select(
         *keys, "_v", "_n", "_pos", (F.col("_before") + F.sum("_n").over(within)).alias("_end")
     )
@@ -95,4 +91,5 @@ def percentile_of_counts(
         F.max(F.col("_pos") - low).alias("_w"),
     )
     between = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_w")
-    return found.select(*keys, between.alias(alias))
+    exact = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(between)
+    return found.select(*keys, exact.alias(alias))

@@ -54,6 +54,13 @@ def diagnosis_dim(diagnoses: DataFrame, dictionary: DataFrame) -> DataFrame:
     )
 
 
+def keyed_dictionary(dictionary: DataFrame) -> DataFrame:
+    """Distinct titles with the key that :func:`diagnosis_dim` gives them."""
+    titles = dictionary.select("icd_code", "icd_version", "long_title").distinct()
+    key = surrogate_key("icd_code", "icd_version", "long_title")
+    return titles.withColumn("diagnoses_icd_key", key)
+
+
 def primary_diagnosis(diagnoses: DataFrame, by: Sequence[str]) -> DataFrame:
     """Diagnosis with the smallest sequence number per admission; ties go to the smaller code.
 

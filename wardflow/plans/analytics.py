@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from ..functions.calendar import interval_seconds
 from ..functions.clinical import age_band, balance_group, mortality_label, net_balance
 from ..operators.dedup import top_per_key
+from ..operators.joins import spread_join
 from ..operators.enrich import with_calendar, with_date, with_status
 from ..operators.quantiles import percentile_of_counts, value_counts
-from ..session import materialise
 
 ROUND = 6
 
@@ -48,7 +48,7 @@ def stays_by_unit(stays: DataFrame) -> DataFrame:
 
 def stays_by_gender(stays: DataFrame, patients: DataFrame) -> DataFrame:
     known = patients.filter(F.col("gender").isNotNull()).select("subject_id", "gender")
-    joined = stays.select("subject_id", "stay_id").join(known, "subject_id")
+    joined = spread_join(stays.select("subject_id", "stay_id").dropna(), known, ["subject_id"])
     return joined.groupBy("gender").agg(F.count_distinct("stay_id").alias("stay_count"))
 
 
@@ -67,7 +67,7 @@ def los_stats(stays: DataFrame, unit: str = "last_careunit") -> DataFrame:
     The stays are read once, into the row count of each (unit, length); every figure comes from
     that small table.
     """
-    counts = materialise(value_counts(stays, [unit], "los"), "los-counts")
+    counts = value_counts(stays, [unit], "los")
     known = F.when(F.col("_v").isNotNull(), F.col("_n"))
     basic = counts.groupBy(unit).agg(
         F.sum("_n").alias("admission_count"),
@@ -175,7 +175,8 @@ def status_micro_flag(
 ) -> DataFrame:
     """Condition flag per stay, and whether its subject has any microbiology event."""
     seen = micro.select("subject_id").distinct().withColumn("has_micro_event", F.lit(1))
-    joined = status_flag(stays, diagnoses, keyword).join(seen, "subject_id", "left")
+    known = seen.filter(F.col("subject_id").isNotNull())
+    joined = spread_join(status_flag(stays, diagnoses, keyword), known, ["subject_id"], "left")
     return joined.fillna(0, subset=["has_micro_event"])
 
 
@@ -348,11 +349,23 @@ def fluid_balance(
     return joined.withColumn("fluid_balance_ml", net)
 
 
-def last_stay(balance: DataFrame, patients: DataFrame) -> DataFrame:
-    """The latest stay of each subject with its balance and the subject's date of death."""
+def latest_stays(stays: DataFrame) -> DataFrame:
+    """The latest stay of each subject; of equal admission times the larger id."""
     order = [F.col("intime").desc(), F.col("stay_id").desc()]
-    latest = top_per_key(balance, ["subject_id"], order, 1)
-    return latest.join(patients.select("subject_id", "dod"), "subject_id", "left")
+    return top_per_key(stays, ["subject_id"], order, 1)
+
+
+def with_patient(stays: DataFrame, patients: DataFrame) -> DataFrame:
+    """One row per subject with the subject's age and date of death."""
+    return stays.join(patients.select("subject_id", "dod", "anchor_age"), "subject_id", "left")
+
+
+def last_stay(balance: DataFrame, patients: DataFrame) -> DataFrame:
+    """The latest stay of each subject with its balance, and the subject's age and date of death.
+
+    Where totals are not there yet, take :func:`latest_stays` first and join them to those only.
+    """
+    return with_patient(latest_stays(balance), patients)
 
 
 def mortality_by_balance(last: DataFrame) -> DataFrame:
@@ -365,9 +378,8 @@ def mortality_by_balance(last: DataFrame) -> DataFrame:
     return labelled.groupBy(*keys).agg(F.count("subject_id").alias("subject_count")).orderBy(*keys)
 
 
-def mortality_by_age(last: DataFrame, patients: DataFrame) -> DataFrame:
-    aged = last.join(patients.select("subject_id", "anchor_age"), "subject_id", "left")
-    labelled = aged.select(
+def mortality_by_age(last: DataFrame) -> DataFrame:
+    labelled = last.select(
         "subject_id",
         age_band(F.col("anchor_age")).alias("age_group"),
         balance_group(F.col("fluid_balance_ml")).alias("fluid_balance_group"),

@@ -19,7 +19,7 @@ from ..operators.clean import clean_chart_events
 from ..operators.dedup import dedup
 from ..operators.enrich import enrich_items, flag_out_of_range, with_date
 from ..operators.incremental import read_since
-from ..operators.star import diagnosis_dim, resolve_diagnosis_key
+from ..operators.star import diagnosis_dim, keyed_dictionary, resolve_diagnosis_key
 from ..sinks.streams import write_stream
 from ..sinks.tables import insert_absent, table_inventory, write_table
 from ..session import materialise, work_path
@@ -61,20 +61,20 @@ def _register(name, build):
     register_query(name, lambda spark, path: build(Views(spark, path)))
 
 
-_register("stays_calendar", lambda v: q.stays_calendar(v.stays, v.dates).drop("intime", "outtime"))
-_register("stays_by_year", lambda v: q.stays_by_year(v.stays, v.dates))
+_register("stays_calendar", lambda v: q.stays_calendar(v.stays, v.admission_dates).drop("intime", "outtime"))
+_register("stays_by_year", lambda v: q.stays_by_year(v.stays, v.admission_dates))
 _register("stays_by_unit", lambda v: q.stays_by_unit(v.stays))
 _register("stays_by_segment", lambda v: q.stays_by_gender(v.stays, v.patients))
 _register("top10_codes", lambda v: q.top_codes(v.stays, v.diagnoses, 10))
 _register(
     "aligned_hourly",
-    lambda v: q.aligned_series(v.chart_events, v.dates, v.times, "click", "view"),
+    lambda v: q.aligned_series(v.chart_events, v.event_dates, v.times, "click", "view"),
 )
 _register(
     "aligned_daily",
-    lambda v: q.aligned_series(v.chart_events, v.dates, v.times, "click", "view", "day"),
+    lambda v: q.aligned_series(v.chart_events, v.event_dates, v.times, "click", "view", "day"),
 )
-_register("hourly_vitals", lambda v: q.hourly_vitals(v.chart_events, v.dates, v.times, "click"))
+_register("hourly_vitals", lambda v: q.hourly_vitals(v.chart_events, v.event_dates, v.times, "click"))
 _register("ed_triage_left", lambda v: q.ed_triage(v.ed_stays, v.triage))
 _register("stay_duration", lambda v: q.stay_duration(v.ed_stays))
 _register(
@@ -117,16 +117,18 @@ _register(
 
 
 def _last(v: Views) -> DataFrame:
-    return q.last_stay(q.fluid_balance(v.stays, v.inputs, v.outputs), v.patients)
+    """Totals are joined to the one stay of each subject that counts."""
+    latest = v.with_discharge(q.latest_stays(v.admissions))
+    return q.with_patient(q.fluid_balance(latest, v.inputs, v.outputs), v.patients)
 
 
-_register("last_stay", _last)
+_register("last_stay", lambda v: _last(v).drop("anchor_age"))
 _register("mortality_by_balance", lambda v: q.mortality_by_balance(_last(v)))
-_register("mortality_by_age", lambda v: q.mortality_by_age(_last(v), v.patients))
+_register("mortality_by_age", lambda v: q.mortality_by_age(_last(v)))
 _register(
     "ols_pair",
     lambda v: q.ols(
-        q.aligned_series(v.chart_events, v.dates, v.times, "click", "view"), "spo2_avg", "hr_avg"
+        q.aligned_series(v.chart_events, v.event_dates, v.times, "click", "view"), "spo2_avg", "hr_avg"
     ),
 )
 _register("ols_triage", lambda v: q.ols(q.ed_triage(v.ed_stays, v.triage), "heartrate", "acuity"))
@@ -140,7 +142,7 @@ _register("date_dim_span", lambda v: generators.date_dim_over(v.stays, "intime",
 def date_attributes(spark: SparkSession, path: str) -> DataFrame:
     """Admissions per ISO week, month and quarter of the date dimension."""
     v = Views(spark, path)
-    joined = with_date(v.stays.select("stay_id", "intime_date"), v.dates, "intime_date", "inner")
+    joined = with_date(v.stays.select("stay_id", "intime_date"), v.admission_dates, "intime_date", "inner")
     keys = ["year", "quarter", "month", "week"]
     return joined.groupBy(*keys).agg(F.count(F.lit(1)).alias("admissions"))
 
@@ -191,8 +193,9 @@ def diagnosis_dim_query(spark: SparkSession, path: str) -> DataFrame:
 def diagnosis_key(spark: SparkSession, path: str) -> DataFrame:
     """Primary diagnosis of every stay, resolved through the dimension."""
     v = Views(spark, path)
-    dim = diagnosis_dim(v.diagnosis_codes, v.diagnosis_dictionary)
-    stays = v.stays.select("stay_id", "subject_id", "hadm_id")
+    # A primary code is a coded one, so its key follows from the dictionary alone.
+    dim = keyed_dictionary(v.diagnosis_dictionary)
+    stays = v.admissions.select("stay_id", "subject_id", F.col("stay_id").alias("hadm_id"))
     resolved = resolve_diagnosis_key(stays, v.diagnosis_events, dim)
     return resolved.select(
         "stay_id",
@@ -326,7 +329,7 @@ def validation_split(spark: SparkSession, path: str) -> DataFrame:
 @register_query("out_of_range")
 def out_of_range(spark: SparkSession, path: str) -> DataFrame:
     v = Views(spark, path)
-    flagged = flag_out_of_range(enrich_items(v.chart_events, materialise(v.items, "items")))
+    flagged = flag_out_of_range(enrich_items(v.chart_events, v.items))
     return flagged.select("event_id", "itemid", "label", "valuenum", "is_critical")
 
 
@@ -460,7 +463,7 @@ def sample_uniform(spark: SparkSession, path: str) -> DataFrame:
 @register_query("sample_critical")
 def sample_critical(spark: SparkSession, path: str) -> DataFrame:
     v = Views(spark, path)
-    flagged = flag_out_of_range(enrich_items(v.chart_events, materialise(v.items, "items")))
+    flagged = flag_out_of_range(enrich_items(v.chart_events, v.items))
     kept = sampling.critical_sample(flagged, F.col("is_critical"), 0.1, ["event_id"])
     return kept.select("event_id", "itemid", "valuenum", "is_critical")
 
@@ -562,14 +565,26 @@ def reason_counts(spark: SparkSession, path: str) -> DataFrame:
 
 @register_query("trained_risk")
 def trained_risk(spark: SparkSession, path: str) -> DataFrame:
-    """Death risk from a classifier trained on the feature rows."""
+    """Score equations of a death-risk classifier fitted to the feature rows.
+
+    At the optimum of a logistic regression without penalty, the mean of probability times
+    feature equals the mean of label times feature, for every feature and the constant 1.
+    """
     features = feature_frame(Views(spark, path)).withColumn(
         "died", F.col("dod").isNotNull().cast("double")
     )
     names = ["age", "dx_count", "mean_heart_rate", "mean_sbp", "shock_index"]
     features = materialise(features, "features")
-    model = feat.train_classifier(features, names, "died", maxIter=5)
-    return feat.apply_classifier(model, features, names, ["stay_id"])
+    model = feat.train_classifier(features, names, "died", maxIter=500, tol=1e-14)
+    scored = feat.apply_classifier(model, features, names, ["stay_id"])
+    filled = features.select("stay_id", *[F.coalesce(F.col(n).cast("double"), F.lit(0.0)).alias(n) for n in names])
+    both = scored.join(filled, "stay_id")
+    means = [F.avg(F.col("positive_prob") * x) for x in (F.lit(1.0), *map(F.col, names))]
+    terms = [
+        F.struct(F.lit(t).alias("term"), F.round(m, 4).alias("mean"))
+        for t, m in zip(["constant", *names], means, strict=True)
+    ]
+    return both.agg(F.array(*terms).alias("terms")).select(F.inline("terms"))
 
 
 # --- streams -----------------------------------------------------------------------------
@@ -601,17 +616,26 @@ def _stream_messages(spark: SparkSession, path: str) -> DataFrame:
     return once.withColumn("value", F.explode(F.array("value", "value")))
 
 
+def _disorder(spark: SparkSession, path: str) -> tuple[str, str]:
+    """Longest delay of an event in a table of unordered events: the time that they span."""
+    events = Views(spark, path).table("events")
+    lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
+    return "charttime", f"{(hi - lo).days + 1 if lo else 1} days"
+
+
 @register_query("stream_bronze_silver")
 def stream_bronze_silver(spark: SparkSession, path: str) -> DataFrame:
     """Silver table after messages ran through bronze with every message repeated."""
     root = work_path(spark, "silver")
     bronze, silver = f"{root}/bronze", f"{root}/silver"
     landed = jobs.ingest_bronze(
-        _stream_messages(spark, path), EVENT_SPEC, bronze, f"{root}/ck", available_now=True
+        _stream_messages(spark, path), EVENT_SPEC, bronze, f"{root}/ck", f"{root}/bad",
+        available_now=True,
     )
     jobs.drain(landed)
     cleaned = jobs.bronze_to_silver(
-        spark, EVENT_SPEC, bronze, silver, f"{root}/ck/silver", max_files=1000, available_now=True
+        spark, EVENT_SPEC, bronze, silver, f"{root}/ck/silver", _disorder(spark, path),
+        max_files=1000, available_now=True,
     )
     jobs.drain([cleaned])
     return spark.read.parquet(silver).select(

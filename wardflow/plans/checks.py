@@ -537,6 +537,14 @@ CHECKS: dict[str, str] = {
         FROM scored JOIN named USING (stay_id)""",
     "reason_counts": f"""WITH {FEATURES}, each AS (SELECT unnest(reasons) AS reason FROM named)
         SELECT reason, count(*) AS stays FROM each GROUP BY 1""",
+    "trained_risk": f"""WITH {FEATURES}, labelled AS (
+        SELECT f.*, CASE WHEN p.dod IS NULL THEN 0.0 ELSE 1.0 END AS died
+        FROM features f LEFT JOIN patients p ON p.subject_id = f.stay_id)
+        """ + " UNION ALL ".join(
+        f"SELECT '{t}' AS term, round(avg(CAST(died * {x} AS DOUBLE)), 4) AS mean FROM labelled"
+        for t, x in [("constant", "1"), *[(n, f"coalesce({n}, 0)") for n in (
+            "age", "dx_count", "mean_heart_rate", "mean_sbp", "shock_index")]]
+    ),
     "stream_bronze_silver": """SELECT event_id, user_id AS stay_id, ts AS charttime,
         event_type AS itemid, value AS valuenum, 'unit' AS valueuom,
         CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS warning FROM events""",

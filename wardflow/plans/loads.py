@@ -115,7 +115,7 @@ def load_dims(
         try:
             report.append(load_dim(spark, spec, paths, f"{target_root}/{name}", fmt))
         except Exception as error:  # noqa: BLE001 - isolation is the point
-            report.append((name, "failed", None, None, None, None, str(error)[:500]))
+            report.append((name, "failed", None, None, None, None, str(error)))
     return spark.createDataFrame(report, REPORT_DDL)
 
 

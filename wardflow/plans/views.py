@@ -6,7 +6,7 @@ the Parquet scans through the views.  Timestamps stay ``timestamp_ntz`` from end
 
 from __future__ import annotations
 
-from functools import cached_property, lru_cache
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +17,6 @@ from ..sources.readers import read_table
 
 STAY_TIMES = (KeyMapping.of("intime"), KeyMapping.of("outtime"))
 CHART_TIMES = (KeyMapping.of("charttime"),)
-# Range of the calendar used by the views; it covers every date of the test tables.
-CALENDAR = ("1995-01-01", "2025-12-31")
 # Word of the diagnosis titles that stands for the condition of interest.
 CONDITION = "widget"
 FEATURE_KEYWORDS = {
@@ -36,26 +34,36 @@ FEATURE_ITEMS = {
 }
 
 
-@lru_cache(maxsize=256)
-def _stored_schema(spark: SparkSession, path: str):
-    """Schema of a stored table, read from a file footer once per session and path."""
-    return read_table(spark, path).schema
-
-
 class ClinicalViews:
     """Lazy clinical frames over one folder of Parquet tables."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        # Footers are read once per set of views, so a rewritten table is seen by the next set.
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        file = f"{self.path}/{name}.parquet"
-        return read_table(self.spark, file, schema=_stored_schema(self.spark, file))
+        if name not in self._tables:
+            self._tables[name] = read_table(self.spark, f"{self.path}/{name}.parquet")
+        return self._tables[name]
+
+    @cached_property
+    def admission_dates(self) -> DataFrame:
+        """Date dimension over every admission day of the data."""
+        return generators.date_dim_over(self.table("orders"), "o_orderdate")
+
+    @cached_property
+    def event_dates(self) -> DataFrame:
+        """Date dimension over every day of the event table."""
+        return generators.date_dim_over(self.table("events"), "ts")
 
     @cached_property
     def dates(self) -> DataFrame:
-        return generators.date_dim(self.spark, *CALENDAR)
+        """Date dimension over admissions and events, for SQL users."""
+        days = self.table("orders").select(F.col("o_orderdate").cast("date").alias("day"))
+        more = self.table("events").select(F.col("ts").cast("date").alias("day"))
+        return generators.date_dim_over(days.unionByName(more), "day")
 
     @cached_property
     def times(self) -> DataFrame:
@@ -71,6 +79,20 @@ class ClinicalViews:
             F.when(balance < 0, F.lit("2005-01-01").cast("date")).alias("dod"),
         )
 
+    @cached_property
+    def admissions(self) -> DataFrame:
+        """Stays as far as orders alone tell."""
+        return self.table("orders").select(
+            F.col("o_orderkey").alias("stay_id"),
+            F.col("o_custkey").alias("subject_id"),
+            F.col("o_orderdate").alias("intime"),
+        )
+
+    def with_discharge(self, stays: DataFrame) -> DataFrame:
+        """Stays with the time of their last line."""
+        lines = self.table("lineitem").groupBy(F.col("l_orderkey").alias("stay_id"))
+        return stays.join(lines.agg(F.max("l_shipdate").alias("outtime")), "stay_id", "left")
+
     @cached_property
     def stays(self) -> DataFrame:
         """One stay per order; length of stay and diagnosis come from its lines."""

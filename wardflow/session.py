@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -48,13 +49,17 @@ def scoped_conf(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``, else one of our own.
 
-    A cluster names the folder; where it is unset (tests, a laptop) a temporary folder is made
-    once and remembered in the session.
+    A cluster names the folder, and without one this raises an error: executors would write to
+    disks of their own.  In local mode (tests, a laptop) a temporary folder is made once and
+    remembered in the session.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.wardflow.localRoot", None
     )
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
         root = tempfile.mkdtemp(prefix="wardflow-")
         spark.conf.set("spark.wardflow.localRoot", root)
     return root.rstrip("/")

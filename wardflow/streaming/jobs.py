@@ -1,4 +1,4 @@
-"""Streaming jobs: messages -> bronze -> silver, enrichment with load shedding, replay files."""
+"""Streaming jobs: messages -> bronze -> silver, enrichment with load shedding."""
 
 from __future__ import annotations
 
@@ -24,23 +24,23 @@ def ingest_bronze(
     spec: FactSpec,
     bronze: str,
     checkpoint: str,
-    quarantine: str | None = None,
+    quarantine: str,
     every: str | None = None,
     available_now: bool = False,
 ) -> list[StreamingQuery]:
     """Land keyed JSON messages as typed rows stamped with ``ingest_ts``.
 
-    Malformed messages are left out of bronze; with ``quarantine`` a second query keeps their
-    raw text.
+    Malformed messages are left out of bronze; a second query keeps their raw text in
+    ``quarantine``, so no message is lost.
     """
     split = decode_json(messages, spec.source_ddl)
     stamped = split.good.withColumn("ingest_ts", F.current_timestamp())
     run = {"every": every, "available_now": available_now}
-    queries = [write_stream(stamped, bronze, f"{checkpoint}/bronze", **run)]
-    if quarantine:
-        bad = split.bad.withColumn("ingest_ts", F.current_timestamp())
-        queries.append(write_stream(bad, quarantine, f"{checkpoint}/quarantine", **run))
-    return queries
+    bad = split.bad.withColumn("ingest_ts", F.current_timestamp())
+    return [
+        write_stream(stamped, bronze, f"{checkpoint}/bronze", **run),
+        write_stream(bad, quarantine, f"{checkpoint}/quarantine", **run),
+    ]
 
 
 def bronze_to_silver(
@@ -49,14 +49,16 @@ def bronze_to_silver(
     bronze: str,
     silver: str,
     checkpoint: str,
+    horizon: tuple[str, str] | None,
     max_files: int | None = 10,
     every: str | None = "1 minute",
     available_now: bool = False,
     lanes: int = DEDUP_LANES,
-    horizon: tuple[str, str] | None = None,
 ) -> StreamingQuery:
     """Clean, dedup and type bronze rows into silver, each bronze file once.
 
+    ``horizon`` bounds the dedup state and has no default: an event-time column with the longest
+    delay of a copy, or None to keep every key for good (see :func:`operators.dedup.dedup_stream`).
     The query starts with its dedup state in RocksDB, whatever the session's default is.
     """
     rows = read_stream(spark, bronze, spec.source_ddl, max_files=max_files)
@@ -76,20 +78,6 @@ def enrich_stream(
     return critical_sample(flagged, F.col("is_critical"), rate, keys)
 
 
-def cut_for_replay(
-    df: DataFrame, order_col: str, rate: int, path: str, every_seconds: int = 1,
-    multiplier: float = 1.0,
-) -> None:
-    """Write history as time-ordered files of one trigger's worth of rows each.
-
-    Replayed with ``maxFilesPerTrigger=1`` and a trigger of ``every_seconds`` the stream runs at
-    ``rate * multiplier`` rows per second; its checkpoint is the resume position.
-    """
-    rows = max(1, int(rate * multiplier * every_seconds))
-    ordered = df.repartitionByRange(order_col).sortWithinPartitions(order_col)
-    ordered.write.mode("overwrite").option("maxRecordsPerFile", rows).parquet(path)
-
-
 def drain(queries: list[StreamingQuery], timeout: float | None = None) -> bool:
     """Wait for queries that end by themselves; re-raises their errors, False on a timeout."""
     done = True
