@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .common import U64, batch, id_and_text, mix64, pick, strings
+from .common import U64, batch, from_planes, id_and_text, mix64, pick, planes, strings
 
 #: Size of the hashed feature space: bounds the model, its counts and what is broadcast.
 SPACE = 1 << 18
@@ -157,7 +157,8 @@ def train_quality(
     taken = {k: min(1 << 30, (fit_rows << 30) // max(n, 1)) for k, n in sizes.items()}
     features = _features(id_and_text(docs, id_col, text_col).filter(~held_out(F.col("doc_id"))), space)
     limit = F.when(F.col("label") == 1, taken.get(1, 0)).otherwise(taken.get(0, 0))
-    train = features.join(known, "doc_id").select(
+    # Labels grow with the documents, so they are never broadcast.
+    train = features.join(known.hint("merge"), "doc_id").select(
         "label", "features", (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < limit).alias("fit")
     )
 
@@ -171,7 +172,7 @@ def train_quality(
         for rows in batches:
             label = rows[0].to_numpy(zero_copy_only=False)
             packed = rows[1].to_pylist()
-            found = [np.frombuffer(x, "<u4") for x in packed]
+            found = [_unpacked(x) for x in packed]
             for y in (0, 1):
                 own = [x for x, z in zip(found, label, strict=True) if z == y]
                 if own:
@@ -199,7 +200,7 @@ def train_quality(
 
     def fit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sample = pd.concat(list(frames)).sort_values(["label", "features"], kind="stable")
-        found = [np.frombuffer(x, "<u4").astype(np.int64) for x in sample["features"]]
+        found = [_unpacked(x) for x in sample["features"]]
         target = sample["label"].to_numpy(float) * 2 - 1
         weights, bias = fit_svm(found, target, shared.value, c, rounds)
         at = np.flatnonzero(weights)
@@ -215,13 +216,22 @@ def train_quality(
     return QualityModel(weights, ratios, bias)
 
 
+def _packed(features: np.ndarray) -> bytes:
+    """Ascending numbers as their differences, bytes of equal weight together: compresses well."""
+    return planes(np.diff(features, prepend=0), "<u4")
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(from_planes(data, "<u4").astype(np.int64))
+
+
 def _features(docs: DataFrame, space: int) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("features", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         extract = Features(space)
         for rows in batches:
-            found = [extract(t).astype("<u4").tobytes() for t in strings(rows[1])]
+            found = [_packed(extract(t)) for t in strings(rows[1])]
             yield batch(schema, (rows[0].to_pylist(), found))
 
     return docs.mapInArrow(run, "doc_id long, features binary")
