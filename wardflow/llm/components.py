@@ -64,7 +64,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """
     pairs = edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b"))
     pairs = pairs.filter("a is not null and b is not null and a <> b")
-    pairs = materialise(spanning(pairs), "component-edges")
+    # Contracted where it was found, then where a vertex's edges from several tasks meet.
+    pairs = materialise(spanning(spanning(pairs).repartition("b")), "component-edges")
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = both.groupBy("a").agg(F.min("b").alias("low"))
     labels = labels.select(F.col("a").alias("vertex"), F.least("a", "low").alias("component"))

@@ -217,8 +217,9 @@ def _candidate_edges(classes: DataFrame, least: float, ratio: float) -> DataFram
         .agg(F.min("key").alias("key"))
         .select("key", "n")
     )
-    rows = _chunked(keys.join(buckets, "key"), "key", "n", "rep", BUCKET_CHUNK)
-    rows = rows.join(classes.select("rep", "registers", "n_shingles"), "rep")
+    rows = _chunked(keys.join(buckets.hint("merge"), "key"), "key", "n", "rep", BUCKET_CHUNK)
+    sketches = classes.select("rep", "registers", "n_shingles")
+    rows = rows.join(sketches.hint("merge"), "rep")
     rows = (
         rows.select("key", "low", "high", "rep", "registers", "n_shingles")
         .repartition(n, "key", "low", "high")
@@ -318,13 +319,15 @@ def near_duplicates(
     candidates = connected_components(_candidate_edges(classes, max(least, 0.0), share))
     sizes = candidates.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
     members = candidates.join(sizes, "component").withColumnRenamed("vertex", "rep")
-    texts = id_and_text(df, id_col, text_col).withColumnRenamed("doc_id", "rep").join(members, "rep")
+    # Nothing here has a bound on its size, so nothing is broadcast, however few rows there are.
+    texts = id_and_text(df, id_col, text_col).withColumnRenamed("doc_id", "rep")
+    texts = texts.join(members.hint("merge"), "rep")
     links = connected_components(_verified_links(texts, words, percent))
     of_class = classes.join(links, classes["rep"] == links["vertex"], "left").select(
         "set_key", "rep", F.coalesce("component", "rep").alias("component")
     )
     # Rows of one set may be a large share of all: AQE splits them, the other side has one row.
-    joined = sketched.select("doc_id", "n_shingles", "set_key").join(of_class, "set_key", "left")
+    joined = sketched.select("doc_id", "n_shingles", "set_key").join(of_class.hint("merge"), "set_key", "left")
     component = F.coalesce("component", "doc_id")
     return joined.select(
         "doc_id",
