@@ -98,6 +98,9 @@ def test_keyword_class(spark, value, want):
     [
         ("2150-03-01 08:00:00", "2150-03-01T08:00:00"),
         ("2150-03-01 08:00:00.25", "2150-03-01T08:00:00.250000"),
+        ("2180-01-01T00:00:00+07:00", "2180-01-01T00:00:00+07:00"),
+        ("2180-01-01 00:00:00.5Z", "2180-01-01T00:00:00.500000Z"),
+        ("2180-01-01", "2180-01-01T00:00:00"),
         ("tomorrow", "tomorrow"),
         (None, None),
     ],

@@ -403,3 +403,48 @@ def test_schema_report_and_delivery(spark, tmp_path):
 
 def test_literal_rows(spark):
     assert generators.from_rows(spark, [(1, "a")], "x INT, y STRING").count() == 1
+
+
+def test_dim_counters_and_swap(spark, tmp_path):
+    """Grouped rows are not refused ones; every source counts; a failed load keeps the old table."""
+    spec, root = DIMS["dim_diagnoses_icd"], str(tmp_path)
+    files = {
+        "diagnoses_icd": [(1, 1, 1, "A", 9), (1, 1, 2, "A", 9), (2, 2, 1, "B", 9), (3, 3, 4, "B", 9)],
+        "d_icd_diagnoses": [("A", 9, "x"), ("B", 9, "y"), ("C", 9, "z")],
+    }
+    paths = {n: f"{root}/{n}" for n in files}
+    for n, data in files.items():
+        spark.createDataFrame(data, SOURCE_DDL[n]).write.option("header", True).csv(paths[n])
+    for _ in range(2):
+        report = loads.load_dims(spark, {spec.table: spec}, paths, f"{root}/wh").first()
+        assert (report["rows_read"], report["rows_written"], report["rows_rejected"]) == (7, 2, 0)
+    bad = loads.load_dims(spark, {spec.table: spec}, {**paths, "d_icd_diagnoses": "/none"}, f"{root}/wh").first()
+    assert bad["status"] == "failed" and len(bad["error"]) > 10
+    assert spark.read.parquet(f"{root}/wh/{spec.table}").count() == 2
+
+
+def test_several_queries_wait_for_any(spark, tmp_path):
+    src = str(tmp_path / "src")
+    chart_rows(spark, 5).write.parquet(src)
+    stream = readers.read_stream(spark, src, CHART)
+    for name in ("a", "b"):
+        streams.write_stream(stream, str(tmp_path / name), str(tmp_path / f"ck-{name}"), available_now=True)
+    jobs.run_until_any_stops(spark, 60)
+    for query in spark.streams.active:
+        query.awaitTermination(60)
+    assert spark.read.parquet(str(tmp_path / "a")).count() == 5
+
+
+def test_no_machine_local_folder_on_a_cluster(spark, monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError, match="shared folder"):
+        session.shared_root(Session())

@@ -33,9 +33,14 @@ def keyword_class(col: Column, keyword: str, yes, no) -> Column:
 
 
 def iso_timestamp(col: Column) -> Column:
-    """Any readable timestamp text as ISO-8601; unreadable text passes through unchanged."""
-    ts = F.try_to_timestamp(col)
+    """Any readable timestamp text as ISO-8601; unreadable text passes through unchanged.
+
+    A UTC offset stays, and the clock time before it is the one that was written.
+    """
+    offset = F.regexp_extract(col, r"\d{2}(?::\d{2})?(?:\.\d+)?\s*(Z|[+-]\d{2}:?\d{2})\s*$", 1)
+    clock = F.regexp_replace(col, r"\s*(?:Z|[+-]\d{2}:?\d{2})\s*$", "")
+    ts = F.try_to_timestamp(F.when(offset != "", clock).otherwise(col))
     plain = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
     micros = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     whole = F.date_trunc("second", ts) == ts
-    return F.coalesce(F.when(whole, plain).otherwise(micros), col)
+    return F.coalesce(F.concat(F.when(whole, plain).otherwise(micros), offset), col)

@@ -26,12 +26,13 @@ def adapt_columns(df: DataFrame, table: str) -> DataFrame:
     return df.withColumnsRenamed(COLUMN_VARIANTS.get(table, {}))
 
 
-def key_clean(df: DataFrame, pk: Sequence[str]) -> DataFrame:
+def key_clean(df: DataFrame, pk: Sequence[str], surrogates: Sequence[str] = ()) -> DataFrame:
     """One row per complete primary key; of several, the smallest by its other columns.
 
-    A fixed choice, so that a repeated or recomputed load yields the same dimension.
+    A fixed choice, so that a repeated or recomputed load yields the same dimension.  Computed
+    ``surrogates`` do not take part in it.
     """
-    rest = [F.col(c).asc_nulls_last() for c in df.columns if c not in pk]
+    rest = [F.col(c).asc_nulls_last() for c in df.columns if c not in {*pk, *surrogates}]
     return dedup(df.dropna(subset=list(pk)), pk, rest or None)
 
 

@@ -370,9 +370,12 @@ def fk_valid(spark: SparkSession, path: str) -> DataFrame:
 
 @register_query("insert_absent")
 def insert_absent_query(spark: SparkSession, path: str) -> DataFrame:
-    v = Views(spark, path)
-    stays = v.stays.select("stay_id", "subject_id", "intime_date")
-    return insert_absent(stays, stays.filter(F.col("intime_date") < 19980101), ["stay_id"])
+    """A stored table after the rows that it lacks were appended."""
+    stays = Views(spark, path).stays.select("stay_id", "subject_id", "intime_date")
+    target = f"{work_path(spark, 'absent')}/stays"
+    write_table(stays.filter(F.col("intime_date") < 19980101), target)
+    write_table(insert_absent(stays, spark.read.parquet(target), ["stay_id"]), target)
+    return spark.read.parquet(target)
 
 
 @register_query("load_report")

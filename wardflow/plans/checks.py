@@ -470,7 +470,7 @@ CHECKS: dict[str, str] = {
         FROM orders WHERE o_custkey IN (SELECT subject_id FROM patients WHERE dod IS NULL)""",
     "insert_absent": """SELECT o_orderkey AS stay_id, o_custkey AS subject_id,
         CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS intime_date
-        FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'""",
+        FROM orders""",
     "load_report": f"""WITH {MICRO}, counted AS (
         SELECT 'micro' AS table_name, count(*) AS r, count(DISTINCT microevent_id) AS k FROM micro
         UNION ALL SELECT 'stays', count(*), count(DISTINCT o_orderkey) FROM orders)
@@ -556,6 +556,86 @@ CHECKS: dict[str, str] = {
         strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS newest_time FROM events""",
 }
 
+# --- loads of the registered specs -------------------------------------------------------
+
+
+def _keys(times: dict[str, str]) -> str:
+    return ", ".join(
+        f"CAST(strftime({x}, '%Y%m%d') AS INTEGER) AS {n}_date, "
+        f"CAST(hour({x}) * 3600 + minute({x}) * 60 + second({x}) AS INTEGER) AS {n}_time"
+        for n, x in times.items()
+    )
+
+
+ADMISSIONS = """adm AS (
+  SELECT o.*, CAST(o_orderdate AS TIMESTAMP) AS t0, CAST(outtime AS TIMESTAMP) AS t1
+  FROM orders o LEFT JOIN (SELECT l_orderkey, max(l_shipdate) AS outtime FROM lineitem GROUP BY 1)
+       ON o_orderkey = l_orderkey)"""
+MICRO_ROWS = """micro_rows AS (
+  SELECT CAST(l_orderkey * 10 + l_linenumber AS INTEGER) AS microevent_id,
+         CAST(o_custkey AS INTEGER) AS subject_id, CAST(l_orderkey AS INTEGER) AS hadm_id,
+         CAST(l_shipdate AS TIMESTAMP) AS charttime, lineitem.*
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber < 7
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                             ORDER BY l_shipdate, l_suppkey, l_quantity, l_extendedprice) = 1)"""
+CHECKS |= {
+    "load_dim_admission": f"""WITH {ADMISSIONS} SELECT CAST(o_orderkey AS INTEGER) AS hadm_id,
+        CAST(o_custkey AS INTEGER) AS subject_id, """ + _keys({
+            "admittime": "t0", "dischtime": "t1",
+            "deathtime": "CASE WHEN o_orderstatus = 'F' THEN t1 END",
+            "edregtime": "(t0 - INTERVAL 2 HOUR)", "edouttime": "(t0 - INTERVAL 30 SECOND)",
+        }) + """, o_orderpriority AS admission_type,
+        'P' || CAST(o_custkey AS VARCHAR) AS admit_provider_id,
+        o_orderstatus AS admission_location, CAST(NULL AS VARCHAR) AS discharge_location,
+        'Other' AS insurance, 'EN' AS language, CAST(NULL AS VARCHAR) AS marital_status,
+        o_orderpriority AS race,
+        CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS SMALLINT) AS hospital_expire_flag
+        FROM adm""",
+    "load_dim_diagnoses": f"""WITH {DIAGNOSES}, low AS (
+        SELECT icd_code, icd_version, CAST(min(seq_num) AS INTEGER) AS seq_num FROM dxe GROUP BY 1, 2)
+        SELECT seq_num, icd_code, CAST(icd_version AS INTEGER) AS icd_version,
+        min(p_name) AS long_title FROM low JOIN part ON p_brand = icd_code AND p_size = icd_version
+        GROUP BY 1, 2, 3""",
+    "load_report_dims": f"""WITH {DIAGNOSES}, a AS (SELECT count(*) AS n,
+        count(*) FILTER (o_orderkey % 40 = 0) AS twice, count(*) FILTER (o_orderkey % 50 = 0) AS bad
+        FROM orders), low AS (SELECT DISTINCT icd_code, icd_version FROM dxe),
+        titled AS (SELECT DISTINCT p_brand, p_size, p_name FROM part JOIN low
+                   ON p_brand = icd_code AND p_size = icd_version)
+        SELECT 'dim_admission' AS table_name, 'loaded' AS status, n + twice + bad AS rows_read,
+        n + twice + bad AS rows_sampled, n AS rows_written, twice + bad AS rows_rejected FROM a
+        UNION ALL SELECT 'dim_diagnoses_icd', 'loaded',
+        (SELECT count(*) FROM dxe) + (SELECT count(*) FROM part), count(*),
+        count(DISTINCT (p_brand, p_size)), count(*) - count(DISTINCT (p_brand, p_size)) FROM titled""",
+    "load_fact_chartevents": f"""SELECT DISTINCT CAST(user_id AS INTEGER) AS subject_id,
+        CAST(NULL AS INTEGER) AS hadm_id, CAST(user_id AS INTEGER) AS stay_id,
+        CAST(NULL AS INTEGER) AS caregiver_id, {_keys({'charttime': 'ts'})},
+        CAST(length(event_type) * 1000 + ascii(event_type) AS INTEGER) AS itemid,
+        value AS valuenum, CASE WHEN event_type <> 'signup' THEN 'unit' END AS valueuom,
+        CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS warning FROM events WHERE value >= 1""",
+    "stream_micro_silver": f"""WITH {MICRO_ROWS} SELECT microevent_id, subject_id, hadm_id, charttime,
+        l_linestatus AS org_name, l_extendedprice AS dilution_value FROM micro_rows""",
+    "load_fact_micro": f"""WITH {MICRO_ROWS} SELECT microevent_id, subject_id, hadm_id,
+        CAST(l_partkey AS INTEGER) AS micro_specimen_id,
+        'P' || CAST(l_suppkey AS VARCHAR) AS order_provider_id, {_keys({'charttime': 'charttime'})},
+        CAST(l_suppkey AS INTEGER) AS spec_itemid, l_returnflag AS spec_type_desc,
+        CAST(l_linenumber AS INTEGER) AS test_seq, CAST(l_partkey % 1000 AS INTEGER) AS test_itemid,
+        l_linestatus AS test_name, CAST(l_suppkey % 10 AS INTEGER) AS org_itemid,
+        CAST(l_linenumber AS INTEGER) AS isolate_num,
+        CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS quantity, CAST(NULL AS INTEGER) AS ab_itemid,
+        CAST(NULL AS VARCHAR) AS ab_name, CAST(NULL AS VARCHAR) AS dilution_text,
+        '<=' AS dilution_comparison, l_returnflag AS interpretation,
+        CAST(NULL AS VARCHAR) AS comments FROM micro_rows""",
+    "ordered_reports": f"""WITH {STAYS}, units AS (SELECT first_careunit AS k, count(*) AS n FROM stays
+        WHERE first_careunit IS NOT NULL GROUP BY 1), codes AS (
+        SELECT p_brand, p_name, count(DISTINCT stay_id) AS n FROM stays
+        JOIN part ON p_partkey = diagnoses_icd_key GROUP BY 1, 2)
+        SELECT 'unit' AS report, k AS item, row_number() OVER (ORDER BY n DESC, k) AS place FROM units
+        UNION ALL SELECT 'year', CAST(y AS VARCHAR), row_number() OVER (ORDER BY y)
+        FROM (SELECT DISTINCT year(intime) AS y FROM stays)
+        UNION ALL SELECT * FROM (SELECT 'code', p_brand,
+        row_number() OVER (ORDER BY n DESC, p_brand, p_name) AS r FROM codes) WHERE r <= 10""",
+}
+
 # Result types that compare alike in every engine.
 _PORTABLE = {
     "stays_calendar": {"full_date": "VARCHAR"},

@@ -13,6 +13,7 @@ from ..operators.incremental import load_mark, read_since, save_mark
 from ..operators.quality import require_not_null
 from ..operators.sampling import sample
 from ..operators.star import key_clean, project
+from ..sinks.tables import replace_folder
 from ..sources.readers import read_table
 from ..specs import DimSpec, FactSpec
 
@@ -77,29 +78,38 @@ def load_fact(
     return spark.createDataFrame([report], REPORT_DDL)
 
 
-def dim_rows(spec: DimSpec, sources: Mapping[str, DataFrame]) -> DataFrame:
-    """Source frames as the rows of one dimension or interval fact."""
+def keyed_rows(spec: DimSpec, sources: Mapping[str, DataFrame]) -> DataFrame:
+    """Source frames in the columns of one dimension or interval fact, before its key gate."""
     frames = [sources[name] for name in spec.sources]
     built = spec.build(*frames) if spec.build else frames[0]
-    keyed = add_calendar_keys(built, spec.mappings, drop_source=True)
-    return key_clean(project(keyed, spec.target_ddl), spec.pk)
+    return project(add_calendar_keys(built, spec.mappings, drop_source=True), spec.target_ddl)
+
+
+def dim_rows(spec: DimSpec, sources: Mapping[str, DataFrame]) -> DataFrame:
+    """Source frames as the rows of one dimension or interval fact."""
+    return key_clean(keyed_rows(spec, sources), spec.pk, spec.surrogates)
 
 
 def load_dim(
     spark: SparkSession, spec: DimSpec, paths: Mapping[str, str], target: str, fmt: str = "csv"
 ) -> tuple:
-    """Load one dimension; the table's folder is replaced, so a repeated run is harmless."""
-    read, kept = Observation("read"), Observation("kept")
+    """Load one dimension; its folder is replaced once all is written, so a run can be repeated.
+
+    ``rows_read`` counts the rows of all sources, ``rows_sampled`` those that reach the key gate
+    (what :attr:`DimSpec.build` makes of them) and ``rows_rejected`` those that it refuses.
+    """
     count = F.count(F.lit(1)).alias("n")
+    read = {name: Observation(f"read-{name}") for name in spec.sources}
     sources = {
-        name: read_table(spark, paths[name], fmt, ddl) for name, ddl in spec.sources.items()
+        name: read_table(spark, paths[name], fmt, ddl).observe(read[name], count)
+        for name, ddl in spec.sources.items()
     }
-    first = next(iter(sources))
-    sources[first] = sources[first].observe(read, count)
-    rows = dim_rows(spec, sources).observe(kept, count)
-    rows.write.mode("overwrite").parquet(target)
-    n_read, n_kept = read.get["n"], kept.get["n"]
-    return (spec.table, "loaded", n_read, n_read, n_kept, n_read - n_kept, None)
+    built, kept = Observation("built"), Observation("kept")
+    rows = keyed_rows(spec, sources).observe(built, count)
+    replace_folder(key_clean(rows, spec.pk, spec.surrogates).observe(kept, count), target)
+    n_read = sum(o.get["n"] for o in read.values())
+    n_built, n_kept = built.get["n"], kept.get["n"]
+    return (spec.table, "loaded", n_read, n_built, n_kept, n_built - n_kept, None)
 
 
 def load_dims(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,6 +49,20 @@ def write_relational(df: DataFrame, options: dict[str, str], mode: str = "append
     df.write.format("jdbc").options(**options).mode(mode).save()
 
 
+def replace_folder(df: DataFrame, target: str) -> None:
+    """Write beside ``target`` and swap: a run that fails leaves the folder as it was."""
+    spark = df.sparkSession
+    fresh, old = (f"{target.rstrip('/')}-{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
+    df.write.parquet(fresh)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    store = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    if store.exists(path(target)):
+        store.rename(path(target), path(old))
+    if not store.rename(path(fresh), path(target)):
+        raise OSError(f"cannot move {fresh} to {target}")
+    store.delete(path(old), True)
+
+
 def insert_absent(
     new: DataFrame,
     existing: DataFrame,

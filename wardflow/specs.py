@@ -40,6 +40,7 @@ class DimSpec:
     pk: tuple[str, ...]
     mappings: tuple[KeyMapping, ...] = ()
     build: Callable[..., DataFrame] | None = field(default=None)
+    surrogates: tuple[str, ...] = ()
 
 
 FACTS: dict[str, FactSpec] = {}
@@ -138,5 +139,6 @@ register_dim(
         target_ddl=WAREHOUSE_DDL["dim_diagnoses_icd"],
         pk=("icd_code", "icd_version"),
         build=_diagnoses,
+        surrogates=("diagnoses_icd_key",),
     )
 )
