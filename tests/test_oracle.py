@@ -7,7 +7,7 @@ from compare import compare, connect
 from conftest import TESTDATA
 
 import __spark_entry__ as entry
-from wardflow.plans.checks import CHECKS
+from sql_checks import CHECKS
 from wardflow.specs import QUERIES
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(TESTDATA), reason="no test tables")

@@ -448,8 +448,8 @@ CHECKS: dict[str, str] = {
     "iso_times": """SELECT event_id, CASE WHEN date_trunc('second', ts) = ts
         THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END
         AS iso FROM events""",
-    "validation_split": f"""WITH {STAYS} SELECT stay_id, los FROM stays
-        WHERE los IS NULL OR los < 0""",
+    "validation_split": f"""WITH {STAYS} SELECT stay_id, los,
+        CASE WHEN los >= 0 THEN 1 ELSE 0 END AS valid FROM stays""",
     "out_of_range": f"""WITH {ITEMS} SELECT event_id, event_type AS itemid, label,
         value AS valuenum, (value < lownormalvalue OR value > highnormalvalue) AS is_critical
         FROM events LEFT JOIN items ON itemid = event_type""",
@@ -483,16 +483,21 @@ CHECKS: dict[str, str] = {
         UNION ALL SELECT 'items', count(DISTINCT event_type) FROM events""",
     "dim_samples": f"WITH {PATIENTS} SELECT * FROM patients ORDER BY subject_id LIMIT 5",
     "table_inventory": " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, CAST({n} AS BIGINT) AS column_count, "
+        f"SELECT '{t}' AS table_name, (SELECT count(*) FROM (DESCRIBE {t})) AS column_count, "
         f"count(*) AS row_count FROM {t}"
-        for t, n in (("customer", 5), ("events", 6), ("lineitem", 11), ("orders", 6), ("part", 6),
-                     ("supplier", 4))
+        for t in (
+            "region nation customer supplier part orders lineitem events documents embeddings "
+            "pages benchmark labels conversations"
+        ).split()
     ),
     "table_profile": " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, '{t}' AS data_type, count({c}) AS non_null, "
         f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value "
         "FROM events"
-        for c, t in (("event_id", "bigint"), ("user_id", "bigint"), ("event_type", "string"))
+        for c, t in (
+            ("event_id", "bigint"), ("ts", "timestamp_ntz"), ("user_id", "bigint"),
+            ("event_type", "string"), ("value", "double"), ("props", "string"),
+        )
     ),
     "sql_on_views": f"""WITH {STAYS} SELECT last_careunit, count(*) AS long_stays FROM stays
         WHERE los > 30 GROUP BY 1""",

@@ -1,4 +1,4 @@
-"""Every named query as ``(spark, path) -> DataFrame``; the texts to check them are in checks.py."""
+"""Every named query as ``(spark, path) -> DataFrame``; ``tools/sql_checks.py`` has SQL for each."""
 
 from __future__ import annotations
 
@@ -318,9 +318,11 @@ def iso_times(spark: SparkSession, path: str) -> DataFrame:
 
 @register_query("validation_split")
 def validation_split(spark: SparkSession, path: str) -> DataFrame:
-    """Rows refused by a validation rule, an undecided rule included."""
+    """Rows that pass a validation rule and rows that it refuses, an undecided rule included."""
     stays = Views(spark, path).stays.select("stay_id", "los")
-    return messages.validate_rows(stays, F.col("los") >= 0).bad
+    split = messages.validate_rows(stays, F.col("los") >= 0)
+    good = split.good.withColumn("valid", F.lit(1))
+    return good.unionByName(split.bad.select("stay_id", "los").withColumn("valid", F.lit(0)))
 
 
 # --- quality and loading -----------------------------------------------------------------
@@ -403,14 +405,16 @@ def dim_samples(spark: SparkSession, path: str) -> DataFrame:
 @register_query("table_inventory")
 def table_inventory_query(spark: SparkSession, path: str) -> DataFrame:
     v = Views(spark, path)
-    names = ("customer", "events", "lineitem", "orders", "part", "supplier")
+    names = (
+        "region nation customer supplier part orders lineitem events documents embeddings pages "
+        "benchmark labels conversations"
+    ).split()
     return table_inventory({n: v.table(n) for n in names})
 
 
 @register_query("table_profile")
 def table_profile(spark: SparkSession, path: str) -> DataFrame:
-    events = Views(spark, path).table("events").select("event_id", "user_id", "event_type")
-    return profile(events)
+    return profile(Views(spark, path).table("events"))
 
 
 @register_query("sql_on_views")
