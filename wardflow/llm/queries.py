@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from . import html_text, mixing, packing, permutation_index, quality, setsketch, tokens, warc
 from . import suffix_dedup, winnowing
 from .common import pick, table
+from .oracles import ORACLES  # noqa: F401 - part of the contract of this module
 
 #: Folder of public vocabularies; their files are only read.
 TOKENIZERS = "/opt/tokenizers"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable:
