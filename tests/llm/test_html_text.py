@@ -22,6 +22,8 @@ CASES = [
     (f"<ul><li><a href=1>one</a></li><li><a href=2>two</a></li><li><a href=3>three</a></li></ul><div>{ARTICLE}</div>", ARTICLE),
     ("<article><p hidden>no</p><p style='display:none'>no</p><div role=search>no</div><p>x</p></article>", "x"),
     ("<article></article>", ""),
+    (f"<div class='content with-sidebar'><p>{ARTICLE}</p></div>", ARTICLE),
+    ("<article><p class=byline>By A</p><p>x</p></article>", "By A\n\nx"),
     ("<article><p>a < b and c</p><p>cut off <a href='x", "a < b and c\n\ncut off"),
 ]
 

@@ -41,14 +41,15 @@ ROLES = frozenset(
     "toolbar tablist status".split()
 )
 NAMES = re.compile(
-    r"(?:ads?|adsbygoogle|adslot|dfp|nav|navi|menus?|foot|side|aside|top|topbar|rail|toc|legal|"
-    r"notice|alert|gdpr|popup|modal|overlay|login|signin|signup|register|respond|repl(?:y|ies)|"
-    r"related|tags?|meta|byline|hidden|print|skip|search|copyright|credits?|toolbar|pager|paging|"
-    r"widgets?|social|disqus|feedback|rating|likes?)"
+    r"(?:ads?|adsbygoogle|adslot|dfp|nav|navi|menus?|foot|aside|topbar|rail|toc|notices?|alert|"
+    r"gdpr|popup|modal|overlay|login|signin|signup|register|respond|repl(?:y|ies)|related|hidden|"
+    r"search|copyright|toolbar|pager|paging|widgets?|social|disqus|feedback)"
     r"|(?:advert|banner|sponsor|promo|breadcrumb|sidebar|footer|header|masthead|navbar|navigation|"
     r"cookie|consent|disclaimer|newsletter|subscri|share|sharing|comment|recommend|pagination|"
     r"outbrain|taboola|paywall).*"
 )
+# Words after which such a name tells of a neighbour, as in "with-sidebar".
+BESIDE = frozenset(("has", "with", "no", "without"))
 # Of these, only headings inside a marked article are kept.
 HEADER_NAMES = re.compile(r"header.*|masthead.*")
 
@@ -81,8 +82,9 @@ def _kind(tag: str, attributes: str) -> str:
         if name == "style" and _HIDING.search(value) or name == "role" and value in ROLES:
             return "furniture"
         if name in ("class", "id"):
-            for part in _PARTS.split(value):
-                if NAMES.fullmatch(part):
+            parts = _PARTS.split(value)
+            for before, part in zip(["", *parts], parts, strict=False):
+                if before not in BESIDE and NAMES.fullmatch(part):
                     found = found or "furniture"
                     if HEADER_NAMES.fullmatch(part):
                         found = "header"
