@@ -7,11 +7,13 @@ again, as a job that runs the stages one by one would.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.llm import mixing, packing, quality, setsketch, suffix_dedup
-from wardflow.llm.common import pick, table
+from wardflow.llm.common import pick, small_batches, table
 from wardflow.llm.queries import TOKENIZERS
 from wardflow.session import materialise
 
@@ -76,12 +78,23 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
+def _bounded(stage):
+    """The stage with batches of texts that are small in memory."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("quality classifier", keep_quality),
-    ("near duplicates", drop_near_duplicates),
-    ("suffix-array dedup", cut_repeats),
-    ("source mixing", mix),
-    ("packing", pack),
+    ("quality classifier", _bounded(keep_quality)),
+    ("near duplicates", _bounded(drop_near_duplicates)),
+    ("suffix-array dedup", _bounded(cut_repeats)),
+    ("source mixing", _bounded(mix)),
+    ("packing", _bounded(pack)),
 ]
 
 #: SQL has no expression for these stages; tests hold them against plain versions.

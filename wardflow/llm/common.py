@@ -12,6 +12,15 @@ from pyspark.sql import functions as F
 U64 = np.uint64
 
 
+#: Rows that cross to Python at a time: texts are long, and several copies of a batch exist.
+BATCH_ROWS = 2048
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the memory of Arrow batches of whole texts; for jobs to call, not for operators."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import html_text, mixing, packing, permutation_index, quality, setsketch, tokens, warc
 from . import suffix_dedup, winnowing
-from .common import pick, table
+from .common import pick, small_batches, table
 from .oracles import ORACLES  # noqa: F401 - part of the contract of this module
 
 #: Folder of public vocabularies; their files are only read.
@@ -19,8 +20,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable:
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 @_query

@@ -36,7 +36,7 @@ WORD = 20
 #: Longest part of a text that is hashed at once; parts overlap.
 PART = 1 << 22
 #: Bytes of stretches a task holds before it sends them, and of text in one sorted block.
-FLUSH, BLOCK = 16 << 20, 1 << 21
+FLUSH, BLOCK = 16 << 20, 1 << 19
 _MULTIPLIER = U64(0x9E3779B97F4A7C15)
 
 
@@ -506,7 +506,8 @@ def _find_repeats(depth: int):
                 begins, ends = runs_of(starts, depth)
                 for doc, tag, at, home in places:
                     if doc == low:
-                        marks.extend((home, doc, tag, at + b, at + e) for b, e in zip(begins.tolist(), ends.tolist(), strict=True))
+                        runs = zip(begins.tolist(), ends.tolist(), strict=True)
+                        marks.extend((home, doc, tag, at + b, at + e) for b, e in runs)
 
         for stretches in found.values():
             several = len(stretches) > 1
@@ -637,8 +638,12 @@ def remove_repeats(
         F.col(f"c{names.index(id_col)}").cast("long").alias("doc_id"),
         F.coalesce(F.col(f"c{names.index(text_col)}").cast("string"), F.lit("")).cast("binary").alias("text"),
         F.struct(*flat.columns).alias("row"),
-    ).withColumn("part", F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))), F.lit(n)).cast("int"))
-    docs = rows.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= min_bytes)).select("part", "doc_id", "text")
+    )
+    # Rows without an id have no home of their own and are dealt by their text.
+    home = F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text")))
+    rows = rows.withColumn("part", F.pmod(home, F.lit(n)).cast("int"))
+    docs = rows.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= min_bytes))
+    docs = docs.select("part", "doc_id", "text")
 
     # Copies: rows whose whole text a smaller id has.  Only digests and ids are shuffled.
     digests = docs.select(
@@ -680,4 +685,5 @@ def remove_repeats(
     ddl = f"row {rows.schema['row'].dataType.simpleString()}, spans array<struct<start:bigint,end:bigint>>, kept binary"
     out = final.mapInArrow(_remove(min_bytes, row_type, names.index(text_col), whole_characters), ddl)
     renamed = F.struct(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(names)])
-    return out.select(renamed.alias("row"), F.col("row.c" + str(names.index(id_col))).cast("long").alias("doc_id"), "spans", "kept")
+    doc_id = F.col(f"row.c{names.index(id_col)}").cast("long").alias("doc_id")
+    return out.select(renamed.alias("row"), doc_id, "spans", "kept")
