@@ -240,7 +240,8 @@ def _candidate_edges(classes: DataFrame, least: float, ratio: float) -> DataFram
                 return hit
 
             edges = _grow(len(ids), near)
-            yield batch(_LINKS, (ids[[a for a, _ in edges]], ids[[b for _, b in edges]])) if edges else batch(_LINKS, ([], []))
+            if edges:
+                yield batch(_LINKS, ids[np.array(edges).T])
 
     return rows.mapInArrow(run, "a long, b long")
 
@@ -280,7 +281,8 @@ def _verified_links(texts: DataFrame, words: int, percent: int) -> DataFrame:
                 return 100 * both >= percent * (sizes[i] + sizes[others] - both)
 
             edges = _grow(len(ids), near)
-            yield batch(_LINKS, (ids[[a for a, _ in edges]], ids[[b for _, b in edges]])) if edges else batch(_LINKS, ([], []))
+            if edges:
+                yield batch(_LINKS, ids[np.array(edges).T])
 
     return rows.mapInArrow(run, "a long, b long")
 
