@@ -33,6 +33,33 @@ def test_pages(page, want):
     assert text(page) == want
 
 
+FURNITURE = [
+    # Articles in furniture that is closed around them are furniture.
+    (f"<article><p>x</p></article><div class=comments><article class=comment><p>{ARTICLE}</p></article></div>", "x"),
+    ("<aside><article><p>teaser</p></article></aside><article><p>x</p></article>", "x"),
+    (f"<div class=related><article><p>{ARTICLE}</p></article></div><div><p>{ARTICLE} x</p></div>", f"{ARTICLE} x"),
+    ("<article><p>x</p><article class='comment odd'><p>hi</p></article><p>y</p></article>", "x\n\ny"),
+    (f"<div><p>{ARTICLE}</p><p>{ARTICLE}</p></div><article class=comment><p>{ARTICLE} no</p></article>", f"{ARTICLE}\n\n{ARTICLE}"),
+    # The end of the wrapper closes the wrapper alone.
+    ("<article><div class=related><article><p>no</p></article></div><p>x</p></article>", "x"),
+    # Marked lines that are a small part of the prose are not the main text.
+    (f"<div><p>{ARTICLE}</p><p>{ARTICLE}</p></div><article><p>and so on</p></article>", f"{ARTICLE}\n\n{ARTICLE}\n\nand so on"),
+    # Furniture that is never closed, also where another end is taken for its end.
+    ("<div><section class=ad>never closed<article><p>x</p></article></div>", "x"),
+    (f"<div>Hi<div class=ad>never closed<article><p>{ARTICLE}</p></article></div>", ARTICLE),
+    ("<ul><li class=comment><article><p>no</p></article><li class=comment><article>no</article></ul><article>x</article>", "x"),
+    # A form around the article, and names that tell what an article is about.
+    ("<form><div>a</div><article><p>x</p><form>no</form></article></form>", "x"),
+    ("<article class='post category-social tag-comments'><p>x</p></article>", "x"),
+    ("<article class=related><p>x</p></article>", "x"),
+]
+
+
+@pytest.mark.parametrize("page,want", FURNITURE)
+def test_articles_and_furniture(page, want):
+    assert text(page) == want
+
+
 def test_long_pages_take_linear_time():
     assert len(text("<article>" + "<p>word</p>" * 20_000 + "<b>" * 5_000)) > 100_000
     text("<" * 20_000 + "\"'" * 5_000)

@@ -22,6 +22,8 @@ from .common import batch, pick, strings
 
 WINDOW = 3
 SURGE = 80
+#: Unmarked prose of more than so many times the marked text is not left out for the marks.
+PART = 2
 
 # Element names of the HTML standard and words that name page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -50,6 +52,10 @@ NAMES = re.compile(
 )
 # Words after which such a name tells of a neighbour, as in "with-sidebar".
 BESIDE = frozenset(("has", "with", "no", "without"))
+# First parts of class names of an article that tell what it is about, as in "category-social".
+ABOUT = frozenset("category tag tags topic section type format status".split())
+# Elements whose end tags may be left out.
+ENDLESS = frozenset("li dd dt option p td th tr tbody thead tfoot".split())
 # Of these, only headings inside a marked article are kept.
 HEADER_NAMES = re.compile(r"header.*|masthead.*")
 
@@ -66,13 +72,18 @@ _HIDING = re.compile(r"(?i)display\s*:\s*none|visibility\s*:\s*hidden")
 _PARTS = re.compile(r"[^a-z]+")
 
 
-def _kind(tag: str, attributes: str) -> str:
-    """``"furniture"``, ``"header"`` (its headings may belong to an article) or ``""``."""
+def _kind(tag: str, attributes: str, named: bool = True) -> str:
+    """``"furniture"``, ``"header"`` (its headings may belong to an article) or ``""``.
+
+    Names of an article count if ``named``, but neither those of headers nor of its subjects.
+    """
     if tag in ("header", "hgroup"):
         return "header"
     if tag in FURNITURE:
         return "furniture"
-    if not attributes or attributes.isspace() or tag in ("html", "body", "article", "main"):
+    if not attributes or attributes.isspace() or tag in ("html", "body", "main"):
+        return ""
+    if tag == "article" and not named:
         return ""
     found = ""
     for m in _ATTRIBUTE.finditer(attributes):
@@ -82,29 +93,34 @@ def _kind(tag: str, attributes: str) -> str:
         if name == "style" and _HIDING.search(value) or name == "role" and value in ROLES:
             return "furniture"
         if name in ("class", "id"):
+            if tag == "article":
+                value = " ".join(v for v in value.split() if _PARTS.split(v)[0] not in ABOUT)
             parts = _PARTS.split(value)
             for before, part in zip(["", *parts], parts, strict=False):
                 if before not in BESIDE and NAMES.fullmatch(part):
-                    found = found or "furniture"
                     if HEADER_NAMES.fullmatch(part):
-                        found = "header"
+                        found = found if tag == "article" else "header"
+                    else:
+                        found = found or "furniture"
     return found
 
 
 class _Lines:
     """Lines of a page: ``text``, characters in links, and whether inside a marked article."""
 
-    def __init__(self) -> None:
+    def __init__(self, closed: set[int], holding: set[int], named: bool) -> None:
+        self.closed, self.holding, self.named = closed, holding, named  # starts, by number
+        self.begun: list[int] = []  # numbers of the starts in the stack
+        self.marks: list[int] = []  # heights of the articles outside furniture
         self.lines: list[tuple[str, int, bool]] = []
         self.stack: list[str] = []
         self.pieces: list[str] = []
         self.linked = 0
         self.skip: int | None = None  # height of the stack at the furniture being left out
         self.header = False  # the furniture is a header
-        self.article = 0
 
     def text(self, part: str) -> None:
-        if self.skip is not None and not (self.header and self.article and self._in_heading()):
+        if self.skip is not None and not (self.header and self.marks and self._in_heading()):
             return
         part = html.unescape(part)
         self.pieces.append(part)
@@ -118,7 +134,7 @@ class _Lines:
         if self.pieces:
             line = " ".join("".join(self.pieces).split())
             if line:
-                self.lines.append((line, self.linked, self.article > 0))
+                self.lines.append((line, self.linked, bool(self.marks)))
             self.pieces, self.linked = [], 0
 
     def blank(self) -> None:
@@ -126,9 +142,10 @@ class _Lines:
 
     def _cut(self, height: int) -> None:
         """Close every element above ``height``."""
-        gone = self.stack[height:]
         del self.stack[height:]
-        self.article -= sum(t in ("article", "main") for t in gone)
+        del self.begun[height:]
+        while self.marks and self.marks[-1] >= height:
+            self.marks.pop()
         if self.skip is not None and height <= self.skip:
             self.skip, self.header = None, False
             self.blank()
@@ -144,22 +161,28 @@ class _Lines:
             if self.stack[height] in BLOCKS and self.stack[height] != "p":
                 return
 
-    def start(self, tag: str, attributes: str) -> None:
+    def start(self, tag: str, attributes: str, number: int) -> None:
         if tag in BLOCKS:
             self.end_line()
             self._close_open(tag)
         elif tag == "br":
             self.text(" ")
-        if tag in ("article", "main"):
-            if self.skip is not None and self.stack[self.skip] not in ("form", "dialog"):
+        kind = ""
+        if self.skip is None or tag in ("article", "main"):
+            # A form around the article is no furniture for being a form.
+            kind = _kind("div" if number in self.holding else tag, attributes, self.named)
+        if tag in ("article", "main") and not kind:
+            if self.skip is not None and self.begun[self.skip] not in self.closed:
                 self._cut(self.skip)  # furniture that was never closed
-            self.article += 1
+            if self.skip is None:
+                self.marks.append(len(self.stack))
         if tag in VOID:
             return
-        if self.skip is None and (kind := _kind(tag, attributes)):
+        if self.skip is None and kind:
             self.end_line()
             self.skip, self.header = len(self.stack), kind == "header"
         self.stack.append(tag)
+        self.begun.append(number)
 
     def end(self, tag: str) -> None:
         if tag in BLOCKS:
@@ -170,32 +193,107 @@ class _Lines:
                 return
 
 
-def page_lines(page: str) -> list[tuple[str, int, bool]]:
-    lines, at = _Lines(), 0
+def _outline(events: list[tuple]) -> tuple[set[int], set[int], set[str]]:
+    """Numbers of starts that are closed by their own end, of forms around an article, and names
+    of elements that are left open."""
+    closed, holding, left = set(), set(), set()
+    stack: list[tuple[str, int]] = []
+    open_of: dict[str, int] = {}
+    forms: list[int] = []  # open, without an article so far
+
+    def cut(height: int, own: bool) -> None:
+        for k in range(len(stack) - 1, height - 1, -1):
+            tag, number = stack.pop()
+            open_of[tag] -= 1
+            if forms and forms[-1] == number:
+                forms.pop()
+            if own and k == height or tag in ENDLESS:
+                closed.add(number)
+            else:
+                left.add(tag)
+
+    for number, (_, tag, attributes) in enumerate(events):
+        if attributes is None:
+            if open_of.get(tag):
+                cut(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), True)
+        elif tag and tag not in VOID:
+            if tag in ("article", "main"):
+                holding.update(forms)
+                forms.clear()
+            elif tag == "form":
+                forms.append(number)
+            if tag in BLOCKS and open_of.get("p") and stack[-1][0] == "p":
+                cut(len(stack) - 1, True)
+            stack.append((tag, number))
+            open_of[tag] = open_of.get(tag, 0) + 1
+    left.update(t for t, _ in stack)
+    return closed, holding, left
+
+
+def _events(page: str) -> list[tuple]:
+    """Texts as (text, "", ""), start tags as ("", tag, attributes), end tags as ("", tag, None)."""
+    events: list[tuple] = []
+    at = 0
     while match := _TAG.search(page, at):
         if match.start() > at:
-            lines.text(page[at : match.start()])
+            events.append((page[at : match.start()], "", ""))
         at = match.end()
         tag = (match[2] or "").lower()
         if not tag:
             continue
         if match[1]:
-            lines.end(tag)
+            events.append(("", tag, None))
         elif tag in RAW:
             if not match[3].endswith("/"):
                 close = re.compile(rf"(?i)</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)").search(page, at)
                 at = close.end() if close else len(page)
         else:
-            lines.start(tag, match[3])
+            events.append(("", tag, match[3]))
     if at < len(page):
-        lines.text(page[at:])
-    lines.end_line()
-    return lines.lines
+        events.append((page[at:], "", ""))
+    return events
+
+
+def page_lines(page: str) -> list[tuple[str, int, bool]]:
+    events = _events(page)
+    marked = any(tag in ("article", "main") for _, tag, _ in events)
+    closed, holding, left = _outline(events) if marked else (set(), set(), set())
+
+    def read(closed: set[int], named: bool) -> list[tuple[str, int, bool]]:
+        lines = _Lines(closed, holding, named)
+        for number, (text, tag, attributes) in enumerate(events):
+            if not tag:
+                lines.text(text)
+            elif attributes is None:
+                lines.end(tag)
+            else:
+                lines.start(tag, attributes, number)
+        lines.end_line()
+        return lines.lines
+
+    def size(lines: list[tuple[str, int, bool]]) -> int:
+        return sum(len(text) for text, _, _ in lines)
+
+    found = read(closed, True)
+    if marked and not any(inside and text for text, _, inside in found):
+        unsure = {n for n in closed if events[n][1] in left}
+        if unsure:
+            # An end may have closed another element than it was meant for: the larger text tells.
+            other = read(closed - unsure, True)
+            found = other if size(other) > 3 * size(found) else found
+        if not size(found):
+            found = read(closed - unsure, False)  # a name that misleads
+    return found
 
 
 def main_lines(lines: list[tuple[str, int, bool]], window: int = WINDOW, surge: int = SURGE) -> list[str]:
     """The lines between surges and dives of the windowed length."""
     marked = any(inside and text for text, _, inside in lines)
+    if marked:
+        # Where the marked lines are a small part of the prose, the marks are not of the main text.
+        prose = [(len(t), inside) for t, linked, inside in lines if 2 * linked <= len(t) and (inside or len(t) >= surge)]
+        if PART * sum(n for n, inside in prose if inside) < sum(n for n, inside in prose if not inside):
+            marked = False
     sizes = np.array(
         [
             0 if (not inside if marked else 2 * linked > len(text)) else len(text)
