@@ -60,6 +60,24 @@ def test_articles_and_furniture(page, want):
     assert text(page) == want
 
 
+LINKS = "<ul><li><a href=1>one</a><li><a href=2>two</a><li><a href=3>three</a></ul>"
+SURGES = [
+    # Lists of links, and short lines beyond them, are left out of an article; a linked heading stays.
+    (f"<article><h1><a href=/>T</a></h1><p>{ARTICLE}</p>{LINKS}<p>Sign up</p></article>", f"T\n\n{ARTICLE}"),
+    (f"<main>{LINKS}<p>{ARTICLE}</p></main>", ARTICLE),
+    (f"<main><p>Log in</p>{LINKS}<p>{ARTICLE}</p>{LINKS}<p>{ARTICLE}</p></main>", f"{ARTICLE}\n\n{ARTICLE}"),
+    # Nothing else is lost: short heads, short articles and pages of links only.
+    (f"<article><h1>T</h1><p>a</p><p>b</p><p>c</p><p>{ARTICLE}</p><p>e</p></article>", f"T\n\na\n\nb\n\nc\n\n{ARTICLE}\n\ne"),
+    (f"<article>{LINKS}</article>", "one\n\ntwo\n\nthree"),
+    (f"<div>{LINKS}</div>", ""),
+]
+
+
+@pytest.mark.parametrize("page,want", SURGES)
+def test_surges_within_articles(page, want):
+    assert text(page) == want
+
+
 def test_long_pages_take_linear_time():
     assert len(text("<article>" + "<p>word</p>" * 20_000 + "<b>" * 5_000)) > 100_000
     text("<" * 20_000 + "\"'" * 5_000)

@@ -4,7 +4,8 @@ Markup is stripped into one line per block element; what a page declares as furn
 headers, footers, sidebars, notices, adverts, forms, reader comments) leaves a blank line behind,
 and so do lines that are mostly links.  The lengths of the lines are summed over a sliding window:
 where the sum surges the main text begins, where it dives to nothing it ends, and the lines between
-are kept.  Where a page marks its article, lines outside it count as blank.
+are kept.  Where a page marks its article, lines outside it count as blank, unless the marked ones
+are a small part of the prose; the surge and the links then decide within the article.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from .common import batch, pick, strings
 
 WINDOW = 3
 SURGE = 80
+#: Linked lines in a row that are a list of links within a marked article.
+LINKS = 3
 #: Unmarked prose of more than so many times the marked text is not left out for the marks.
 PART = 2
 
@@ -294,22 +297,29 @@ def main_lines(lines: list[tuple[str, int, bool]], window: int = WINDOW, surge:
         prose = [(len(t), inside) for t, linked, inside in lines if 2 * linked <= len(t) and (inside or len(t) >= surge)]
         if PART * sum(n for n, inside in prose if inside) < sum(n for n, inside in prose if not inside):
             marked = False
-    sizes = np.array(
-        [
-            0 if (not inside if marked else 2 * linked > len(text)) else len(text)
-            for text, linked, inside in lines
-        ],
-        np.int64,
-    )
+    sizes = np.array([len(text) for text, _, _ in lines], np.int64)
+    links = np.array([2 * linked > len(text) for text, linked, _ in lines], bool)
+    if marked:
+        sizes[[not inside for _, _, inside in lines]] = 0
+        # A linked line of an article may be its heading; a row of them is a list of links.
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], links, [0]])))
+        for begin, end in edges.reshape(-1, 2).tolist():
+            if end - begin < LINKS:
+                links[begin:end] = False
+    if not marked or (sizes[~links] > 0).any():
+        sizes[links] = 0
     if not sizes.any():
         return []
     sums = np.concatenate([[0], np.cumsum(np.append(sizes, np.zeros(window, np.int64)))])
     sums = sums[window:] - sums[:-window]
-    least = 1 if marked else min(surge, int(sums.max()))
+    # Marked lines that surge nowhere are a short article; all of it is kept.
+    least = 1 if marked and sums.max() < surge else min(surge, int(sums.max()))
     kept, start = [], None
     for i, total in enumerate(sums[: len(lines) + 1]):
         if start is None and total >= least:
             start = i
+            while marked and start and sums[start - 1]:
+                start -= 1  # short lines at the head of the article
         elif start is not None and total == 0:
             kept += [lines[j][0] for j in range(start, i) if sizes[j]]
             start = None
