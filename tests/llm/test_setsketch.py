@@ -57,6 +57,23 @@ def test_chunks_of_large_groups(docs_of, monkeypatch):
     assert got == brute(rows, 2)
 
 
+def test_buckets_of_equal_sums_are_told_apart(spark, docs_of):
+    ids = spark.range(6000).selectExpr("id", "shiftright(xxhash64(id), 24) as h").orderBy("id").collect()
+    h = np.array([r["h"] for r in ids])
+    i, j = np.triu_indices(len(h), 1)
+    sums = h[i] + h[j]
+    order = np.argsort(sums, kind="stable")
+    same = np.flatnonzero(np.diff(sums[order]) == 0)
+    pairs = [[(int(i[k]), int(j[k])) for k in (order[a], order[a + 1])] for a in same.tolist()]
+    two = next(p for p in pairs if len({*p[0], *p[1]}) == 4)
+    rows = []
+    for n, (a, b) in enumerate(two):
+        words = [f"w{n}x{k}" for k in range(400)]
+        rows += [(a, " ".join(words)), (b, " ".join([*words, "end"]))]
+    got = sorted(map(tuple, S.near_duplicates(docs_of(rows)).collect()))
+    assert got == brute(rows, 5)
+
+
 def test_edges(docs_of):
     assert S.near_duplicates(docs_of([])).count() == 0
     text = "a b c d e f g h"

@@ -204,19 +204,36 @@ def _grow(n: int, near) -> list[tuple[int, int]]:
     return edges
 
 
-def _candidate_edges(classes: DataFrame, least: float, ratio: float) -> DataFrame:
-    """Spanning forests, per bucket, of pairs that share a band and may reach the threshold."""
-    n = partitions(classes.sparkSession)
-    keys = classes.select("rep", F.explode("bands").alias("key"))
-    # Buckets of the same members would only repeat each other.
-    buckets = (
+def _distinct_buckets(keys: DataFrame) -> DataFrame:
+    """``key`` and ``n`` of the buckets of several members; of those with the same members, one.
+
+    Buckets count as the same if their number, least and largest member and two 64-bit digests of
+    all members agree: an order-free xor, and the sums of both halves of a hash of another seed.
+    For two members that is exact.  A member may be in a bucket more than once, which the sums tell.
+    """
+    other = F.xxhash64(F.lit(1), "rep")
+    digests = {
+        "first": F.min("rep"),
+        "last": F.max("rep"),
+        "mixed": F.bit_xor(F.xxhash64("rep")),
+        "upper": F.sum(F.shiftright(other, 32)),
+        "lower": F.sum(other.bitwiseAND(F.lit(0xFFFFFFFF))),
+    }
+    return (
         keys.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.shiftright(F.xxhash64("rep"), 24)).alias("members"))
+        .agg(F.count(F.lit(1)).alias("n"), *[v.alias(k) for k, v in digests.items()])
         .filter("n > 1")
-        .groupBy("n", "members")
+        .groupBy("n", *digests)
         .agg(F.min("key").alias("key"))
         .select("key", "n")
     )
+
+
+def _candidate_edges(classes: DataFrame, least: float, ratio: float) -> DataFrame:
+    """Spanning forests, per bucket, of pairs that share a band and may reach the threshold."""
+    n = partitions(classes.sparkSession)
+    keys = classes.select("rep", F.explode("bands").alias("key"))
+    buckets = _distinct_buckets(keys)
     rows = _chunked(keys.join(buckets.hint("merge"), "key"), "key", "n", "rep", BUCKET_CHUNK)
     sketches = classes.select("rep", "registers", "n_shingles")
     rows = rows.join(sketches.hint("merge"), "rep")
