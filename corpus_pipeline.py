@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.llm import mixing, packing, quality, setsketch, suffix_dedup
-from wardflow.llm.common import pick, small_batches, table
+from wardflow.llm.common import partitions, pick, small_batches, strings, table
 from wardflow.llm.queries import TOKENIZERS
 from wardflow.session import materialise
 
@@ -66,11 +67,32 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
+def _with_tokens(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``n_tokens``, the ids that packing gives the text and its end."""
+    path, text_at = f"{TOKENIZERS}/byte_bpe_50k.json", docs.columns.index("text")
+
+    def run(batches):
+        encoder = packing.Encoder(path)
+        for rows in batches:
+            counts = [len(encoder.encode(t)) // 4 + 1 for t in strings(rows[text_at])]
+            columns = [*rows.columns, pa.array(counts, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*rows.schema.names, "n_tokens"])
+
+    fields = [f"{f.name} {f.dataType.simpleString()}" for f in docs.schema]
+    return docs.mapInArrow(run, ", ".join([*fields, "n_tokens bigint"]))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources made more even by repeating the smaller ones; every document is used."""
-    docs = _documents(docs)
-    words = F.coalesce(F.regexp_count("text", F.lit(r"\S+")), F.lit(0))
-    return mixing.mix_sources(docs, words, max_repeats=MAX_REPEATS).select(*docs.columns)
+    """Sources made more even by repeating the smaller ones; every document is used.
+
+    Rows are written in the permuted order of the mixture, as packing takes them as they come.
+    """
+    counted = materialise(_with_tokens(_documents(docs)), "mix-tokens")
+    mixed = mixing.mix_sources(counted, F.col("n_tokens"), max_repeats=MAX_REPEATS)
+    # Rows of equal ids have one place in the order; their texts part them.
+    order = ("mix_epoch", "mix_order", F.xxhash64("text"))
+    mixed = mixed.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
+    return mixed.select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

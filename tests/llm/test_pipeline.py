@@ -91,6 +91,24 @@ def test_mixing_uses_every_document(stages):
     assert set(uses) == {r["doc_id"] for r in before} and max(uses.values()) <= 2
 
 
+def test_mixture_is_permuted(spark):
+    # One source after the other, of as many tokens.
+    rows = [(i, f"a b c {i} " * 20, "en", "a", 0) for i in range(300)]
+    rows += [(1000 + i, *rows[i][1:3], "b", 0) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+    mixed = materialise(C.mix(spark, docs, SF), "test-mix")
+    sources = [[r["source"] for r in part] for part in mixed.rdd.glom().collect() if len(part) >= 40]
+    assert sources
+    for part in sources:
+        assert sum(a != b for a, b in zip(part, part[1:], strict=False)) > len(part) / 5
+    # A text without spaces counts as its tokens too.
+    rows = [(1, "\u6c49\u5b57" * 50, "zh", "b", 0), (2, None, "zh", "b", 0)]
+    docs = spark.createDataFrame(rows, docs.schema)
+    encoder = packing.Encoder(f"{C.TOKENIZERS}/byte_bpe_50k.json")
+    got = {r["doc_id"]: r["n_tokens"] for r in C._with_tokens(docs).collect()}
+    assert got == {r[0]: len(encoder.encode(r[1] or "")) // 4 + 1 for r in rows}
+
+
 def test_packing_holds_every_token(stages):
     _, before, after = stages[4]
     encoder = packing.Encoder(f"{C.TOKENIZERS}/byte_bpe_50k.json")
