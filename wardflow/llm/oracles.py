@@ -53,4 +53,55 @@ OP8 = """WITH RECURSIVE w AS (
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d JOIN least ON least.doc_id = d.doc_id LEFT JOIN sizes ON sizes.doc_id = d.doc_id"""
 
-ORACLES = {"op4_suffix_dedup": OP4, "op5_warc": OP5, "op8_near_duplicates": OP8}
+# Units as a list; the parts are slices of it.
+OP12 = """WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
+           regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+           sha256('1:' || doc_id) AS x FROM documents),
+  h AS (SELECT doc_id, t, u, len(u) AS n, list_transform(range(0, 4),
+          lambda k: ('0x' || substr(x, 8 * k + 1, 8))::BIGINT) AS h FROM d),
+  f AS (SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+          CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90
+               THEN 'plain' WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+  s AS (SELECT *, array_to_string(u[:a], '') AS p, array_to_string(u[a + 1:b], '') AS m,
+          array_to_string(u[b + 1:], '') AS s FROM f)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM s"""
+
+# The checksum bit by bit; near words share a word with one place left out, or lack one place.
+OP13 = """WITH RECURSIVE r AS (SELECT doc_id, w, count(*) AS n
+           FROM (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents)
+           WHERE length(w) >= 7 GROUP BY 1, 2),
+  c AS (SELECT w, n, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+            range(0, strlen(doc_id || ':' || w)),
+            lambda i: ('0x' || substr(hex(encode(doc_id || ':' || w)), 2 * i + 1, 2))::BIGINT)),
+          lambda s, y: list_reduce(list_prepend(xor(s, y), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+            lambda q, z: xor(q >> 1, 3988292384 * (q & 1))))) AS h FROM r),
+  e AS (SELECT CASE WHEN h % 31 = 0 THEN w[:h % length(w)] || w[h % length(w) + 2:] ELSE w END AS word, n FROM c),
+  words AS (SELECT word, sum(n)::BIGINT AS n FROM e WHERE length(word) >= 7 GROUP BY 1 HAVING sum(n) >= 2),
+  less AS (SELECT word, n, i, word[:i] || word[i + 2:] AS rest
+           FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM words)),
+  near AS (SELECT a.word, b.word AS other, b.n FROM less a JOIN less b USING (i, rest) WHERE a.word <> b.word
+           UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+           UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.rest = b.word),
+  best AS (SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, encode(other)) AS form, max(n) AS form_n
+           FROM near GROUP BY word),
+  f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * w.n THEN form END AS form,
+          CASE WHEN form_n >= 10 * w.n THEN form_n END AS form_n
+        FROM words w LEFT JOIN best ON best.word = w.word),
+  chain AS (SELECT word, word AS root, form AS next FROM f
+            UNION ALL SELECT chain.word, f.word, f.form FROM chain JOIN f ON f.word = chain.next)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN chain ON chain.word = f.word AND chain.next IS NULL"""
+
+ORACLES = {
+    "op4_suffix_dedup": OP4,
+    "op5_warc": OP5,
+    "op8_near_duplicates": OP8,
+    "op12_fill_middle": OP12,
+    "op13_spelling": OP13,
+}

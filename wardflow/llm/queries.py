@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, mixing, packing, permutation_index, quality, setsketch, tokens, warc
-from . import suffix_dedup, winnowing
+from . import fill_middle, html_text, mixing, packing, permutation_index, quality, secrets
+from . import setsketch, spelling, suffix_dedup, tokens, warc, winnowing
 from .common import pick, small_batches, table
 from .oracles import ORACLES  # noqa: F401 - part of the contract of this module
 
@@ -107,3 +108,23 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
     )
+
+
+@_query
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: base patterns, and context values that are hard to guess."""
+    words = ["byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken"]
+    paths = [public_tokenizers.path(name) for name in words]
+    return secrets.digest_spans(secrets.scan_secrets(table(spark, sf_dir, "documents"), paths))
+
+
+@_query
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-the-middle form of every document, assembled and restored."""
+    return fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their near words, forms and roots."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
