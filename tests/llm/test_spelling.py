@@ -103,4 +103,4 @@ def test_edges(docs_of):
 def test_group_bound():
     """A group is cut unless its interval is one character wide; then the alphabet bounds it."""
     group = spelling.Group(3, 1, 2, {"abc": 5, "adc": 7, "aec": 7}, {"abdc": 2})
-    assert sorted(group.near()) == [("abc", 2, 7, "adc"), ("abdc", 2, 7, "adc"), ("adc", 3, 7, "aec"), ("aec", 2, 7, "adc")]
+    assert sorted(group.near()) == [("abc", 2, 7, "adc"), ("abdc", 1, 7, "adc"), ("adc", 3, 7, "aec"), ("aec", 2, 7, "adc")]
