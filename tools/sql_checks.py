@@ -561,6 +561,66 @@ CHECKS: dict[str, str] = {
         strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS newest_time FROM events""",
 }
 
+# --- models of the stay class ------------------------------------------------------------
+
+_TERMS = ("age", "dx_count", "heartrate", "sbp", "o2sat", "acuity")
+STAY_CLASSES = f"""{PATIENTS}, {STAYS}, {TRIAGE}, coded AS (
+  SELECT l_orderkey, count(*) AS dx_count FROM lineitem
+  JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey GROUP BY 1),
+classed AS (
+  SELECT s.stay_id, CASE WHEN los > 1000 THEN 0 WHEN los >= 300 THEN 1 WHEN los IS NOT NULL THEN 2 END AS y,
+         {', '.join(f'coalesce(CAST({x} AS DOUBLE), 0.0) AS {n}' for n, x in zip(
+             _TERMS, ('anchor_age', 'c.dx_count', *_TERMS[2:]), strict=True))}
+  FROM stays s LEFT JOIN patients p ON p.subject_id = s.subject_id
+  LEFT JOIN triage t ON t.stay_id = s.stay_id LEFT JOIN coded c ON c.l_orderkey = s.stay_id)"""
+
+CHECKS["trained_stay_class"] = f"WITH {STAY_CLASSES} " + " UNION ALL ".join(
+    f"""SELECT CAST({k} AS INTEGER) AS stay_class, '{t}' AS term,
+        round(avg(CASE WHEN y = {k} THEN {x} ELSE 0.0 END), 4) AS mean FROM classed WHERE y IS NOT NULL"""
+    for k in range(3)
+    for t, x in [("constant", "1.0"), *[(n, n) for n in _TERMS]]
+)
+
+
+def _boost(rounds: int, rate: float) -> str:
+    """Newton boosting of three classes with trees of one split, every cut tried."""
+    ks = range(3)
+    ctes = ["m_0 AS (SELECT *, 0.0::DOUBLE AS m0, 0.0::DOUBLE AS m1, 0.0::DOUBLE AS m2 FROM classed)"]
+    total = "(exp(m0) + exp(m1) + exp(m2))"
+    picked = {k: f"CASE f{k} " + " ".join(f"WHEN '{n}' THEN {n}" for n in _TERMS) + " END" for k in ks}
+    values = ", ".join("{'f': '%s', 'v': %s}" % (n, n) for n in _TERMS)
+    for r in range(rounds):
+        ctes.append(f"p_{r} AS (SELECT *, {', '.join(f'exp(m{k}) / {total} AS p{k}' for k in ks)} FROM m_{r})")
+        grads = ", ".join(
+            f"(y = {k})::DOUBLE - p{k} AS g{k}, greatest(p{k} * (1 - p{k}), 1e-6) AS h{k}" for k in ks
+        )
+        sums = ", ".join(f"sum(g{k}) AS g{k}, sum(h{k}) AS h{k}" for k in ks)
+        ctes.append(
+            f"""v_{r} AS (SELECT f, v, {sums} FROM (
+              SELECT unnest([{values}], recursive := true), {grads} FROM p_{r} WHERE y IS NOT NULL) GROUP BY f, v)"""
+        )
+        below = ", ".join(
+            f"sum(g{k}) OVER w AS a{k}, sum(h{k}) OVER w AS b{k}, sum(g{k}) OVER (PARTITION BY f) AS c{k}, "
+            f"sum(h{k}) OVER (PARTITION BY f) AS d{k}"
+            for k in ks
+        )
+        ctes.append(f"c_{r} AS (SELECT f, (v + lead(v) OVER w) / 2 AS cut, {below} FROM v_{r} WINDOW w AS (PARTITION BY f ORDER BY v))")
+        gain = {k: f"a{k} * a{k} / b{k} + (c{k} - a{k}) * (c{k} - a{k}) / (d{k} - b{k})" for k in ks}
+        best = ", ".join(
+            f"arg_max(f, {gain[k]}) AS f{k}, arg_max(cut, {gain[k]}) AS t{k}, arg_max(a{k} / b{k}, {gain[k]}) AS l{k}, "
+            f"arg_max((c{k} - a{k}) / (d{k} - b{k}), {gain[k]}) AS r{k}"
+            for k in ks
+        )
+        ctes.append(f"b_{r} AS (SELECT {best} FROM c_{r} WHERE cut IS NOT NULL)")
+        moved = ", ".join(f"m{k} + {rate} * CASE WHEN {picked[k]} <= t{k} THEN l{k} ELSE r{k} END AS m{k}" for k in ks)
+        ctes.append(f"m_{r + 1} AS (SELECT stay_id, y, {', '.join(_TERMS)}, {moved} FROM p_{r}, b_{r})")
+    chosen = "CASE WHEN m0 >= m1 AND m0 >= m2 THEN 0 WHEN m1 >= m2 THEN 1 ELSE 2 END"
+    probs = ", ".join(f"round(exp(m{k}) / {total}, 6) AS prob_{k}" for k in ks)
+    return f"WITH {STAY_CLASSES}, {', '.join(ctes)} SELECT stay_id, CAST({chosen} AS INTEGER) AS predicted_class, {probs} FROM m_{rounds}"
+
+
+CHECKS["boosted_stay_class"] = _boost(3, 0.5)
+
 # --- loads of the registered specs -------------------------------------------------------
 
 

@@ -55,6 +55,11 @@ def risk_tier(prob: Column, high: float = 0.5, medium: float | None = 0.2) -> Co
 STAY_CLASSES = {0: "LONG STAY (>7 days)", 1: "MEDIUM (3-7 days)", 2: "SHORT (<3 days)"}
 
 
+def stay_class_of(los: Column, long: float = 7.0, medium: float = 3.0) -> Column:
+    """Index of the length-of-stay class: above ``long``, from ``medium`` on, below; NULL without one."""
+    return F.when(los > long, 0).when(los >= medium, 1).when(los.isNotNull(), 2)
+
+
 def stay_class_label(index: Column) -> Column:
     label = None
     for key, text in STAY_CLASSES.items():

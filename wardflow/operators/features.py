@@ -211,5 +211,20 @@ def apply_classifier(model, features: DataFrame, names: Sequence[str], keep: Seq
     )
 
 
+def class_probabilities(
+    model, features: DataFrame, names: Sequence[str], keep: Sequence[str], classes: int
+) -> DataFrame:
+    """``keep``, the predicted class and a column ``prob_k`` for each class of the model."""
+    from pyspark.ml.functions import vector_to_array
+
+    scored = model.transform(align_features(features, names, keep=keep))
+    probs = vector_to_array(F.col("_probability"))
+    return scored.select(
+        *keep,
+        F.col("prediction").cast("int").alias("predicted_class"),
+        *[F.get(probs, F.lit(k)).alias(f"prob_{k}") for k in range(classes)],
+    )
+
+
 def class_names() -> dict[int, str]:
     return dict(STAY_CLASSES)

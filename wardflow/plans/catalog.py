@@ -12,9 +12,10 @@ from ..functions.calendar import (
     add_calendar_keys,
     keys_to_timestamp,
 )
+from ..functions.clinical import stay_class_of
 from ..functions.text import iso_timestamp
 from ..operators import features as feat
-from ..operators import quality, sampling
+from ..operators import boosting, quality, sampling
 from ..operators.clean import clean_chart_events
 from ..operators.dedup import dedup
 from ..operators.enrich import enrich_items, flag_out_of_range, with_date
@@ -594,6 +595,59 @@ def trained_risk(spark: SparkSession, path: str) -> DataFrame:
     return both.agg(F.array(*terms).alias("terms")).select(F.inline("terms"))
 
 
+# Stays of the test tables last for years: the class limits in days, and what tells them apart.
+STAY_LIMITS = {"long": 1000.0, "medium": 300.0}
+STAY_TERMS = ["age", "dx_count", "heartrate", "sbp", "o2sat", "acuity"]
+
+
+def stay_class_frame(v: Views) -> DataFrame:
+    """Triage, age and diagnosis count of every stay, with the class of its length."""
+    dx = feat.diagnosis_features(v.diagnosis_events, "hadm_id", {}).withColumnRenamed("hadm_id", "stay_id")
+    people = v.patients.select("subject_id", F.col("anchor_age").alias("age"))
+    stays = v.stays.select("stay_id", "subject_id", stay_class_of(F.col("los"), **STAY_LIMITS).alias("class"))
+    joined = stays.join(people, "subject_id", "left").join(v.triage.drop("subject_id"), "stay_id", "left")
+    joined = joined.join(dx, "stay_id", "left").drop("subject_id")
+    return joined.select("stay_id", "class", *[F.col(c).cast("double").alias(c) for c in STAY_TERMS])
+
+
+@register_query("trained_stay_class")
+def trained_stay_class(spark: SparkSession, path: str) -> DataFrame:
+    """Score equations of a multinomial model of the length-of-stay class.
+
+    At the optimum, the mean of probability times feature equals that of membership times feature,
+    for every class, every feature and the constant 1.
+    """
+    features = materialise(stay_class_frame(Views(spark, path)), "stay-classes")
+    known = features.filter("class is not null")
+    model = feat.train_classifier(
+        known, STAY_TERMS, "class", family="multinomial", maxIter=500, tol=1e-14
+    )
+    scored = feat.class_probabilities(model, known, STAY_TERMS, ["stay_id"], 3)
+    both = scored.join(feat.align_features(known, STAY_TERMS, ["stay_id"]), "stay_id")
+    terms = [("constant", F.lit(1.0)), *[(n, F.col(n)) for n in STAY_TERMS]]
+    means = [
+        F.struct(
+            F.lit(k).alias("stay_class"),
+            F.lit(name).alias("term"),
+            F.round(F.avg(F.col(f"prob_{k}") * x), 4).alias("mean"),
+        )
+        for k in range(3)
+        for name, x in terms
+    ]
+    return both.agg(F.array(*means).alias("means")).select(F.inline("means"))
+
+
+@register_query("boosted_stay_class")
+def boosted_stay_class(spark: SparkSession, path: str) -> DataFrame:
+    """Class and probabilities of every stay by three rounds of boosted trees of one split.
+
+    Ages and the other terms have fewer values than bins, so every cut is tried.
+    """
+    features = materialise(stay_class_frame(Views(spark, path)), "stay-classes")
+    model = boosting.train_boosted(features, STAY_TERMS, "class", 3, rounds=3, depth=1, rate=0.5)
+    return _rounded(feat.class_probabilities(model, features, STAY_TERMS, ["stay_id"], 3))
+
+
 # --- streams -----------------------------------------------------------------------------
 
 
