@@ -722,3 +722,23 @@ _PORTABLE = {
 for _name, _casts in _PORTABLE.items():
     _list = ", ".join(f"CAST({c} AS {t}) AS {c}" for c, t in _casts.items())
     CHECKS[_name] = f"SELECT * REPLACE ({_list}) FROM ({CHECKS[_name]})"
+
+# --- ingest ------------------------------------------------------------------------------
+
+_MESSAGE = """'{"event_id":' || event_id || ',"subject_id":' || user_id || ',"hadm_id":' || user_id
+        || ',"stay_id":' || user_id || ',"charttime":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')
+        || '","storetime":"NaT","itemid":"' || event_type || '","value":"'
+        || replace(replace(props, '\\', '\\\\'), '"', '\\"') || '","valuenum":' || CAST(value AS VARCHAR)
+        || ',"valueuom":" unit ","warning":"' || CASE WHEN event_type = 'error' THEN '1.0' ELSE '0.0' END || '"}'"""
+
+CHECKS |= {
+    "stream_delivery_counters": f"""WITH m AS (SELECT least((day(ts) - 1) // 7, 4) AS batch_id,
+          event_type <> 'error' AS good, strlen({_MESSAGE}) AS size FROM events)
+        SELECT batch_id, count(*) FILTER (good) AS messages_sent, count(*) FILTER (NOT good) AS messages_failed,
+               CAST(sum(CASE WHEN good THEN size ELSE 0 END) AS BIGINT) AS bytes_sent FROM m GROUP BY 1""",
+    "idempotent_append": f"WITH {STAYS} SELECT stay_id, subject_id, intime_date FROM stays",
+    "stream_exact_dedup": CHECKS["stream_bronze_silver"],
+    "compacted_events": """SELECT event_type AS itemid, strftime(ts, '%Y%m') AS month, count(*) AS n,
+        CAST(sum(event_id) AS BIGINT) AS ids, round(sum(value), 4) AS total, 'few' AS files_left
+        FROM events GROUP BY 1, 2""",
+}

@@ -10,7 +10,8 @@ from ..operators.enrich import enrich_items, flag_out_of_range
 from ..operators.sampling import critical_sample
 from ..schemas import column_names
 from ..session import STATE_STORE_CONF, scoped_conf
-from ..sinks.streams import write_stream
+from ..sinks.committed import CommittedTable
+from ..sinks.streams import for_each_batch, write_stream
 from ..sources.messages import decode_json
 from ..sources.readers import read_stream
 from ..specs import FactSpec
@@ -70,6 +71,55 @@ def bronze_to_silver(
         )
 
 
+def exact_silver_table(spec: FactSpec, path: str) -> CommittedTable:
+    """The silver table of :func:`bronze_to_silver_exact`, partitioned by month of the event."""
+    types = {f.name: f.dataType.simpleString() for f in _cleaned_schema(spec)}
+    columns = [*column_names(spec.source_ddl), "processed_timestamp"]
+    return CommittedTable(path, ", ".join(f"{c} {types[c]}" for c in columns), ["month"])
+
+
+def _cleaned_schema(spec: FactSpec):
+    spark = SparkSession.active()
+    return spec.clean(spark.createDataFrame([], spec.source_ddl)).schema
+
+
+def bronze_to_silver_exact(
+    spark: SparkSession,
+    spec: FactSpec,
+    bronze: str,
+    silver: CommittedTable,
+    checkpoint: str,
+    name: str,
+    recent: str = "1 hour",
+    max_files: int | None = 10,
+    every: str | None = "1 minute",
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Clean and type bronze rows into silver, each key once for good, with bounded state.
+
+    Two steps find copies.  The state store holds the keys of the last ``recent`` of arrival time,
+    which never runs behind its own watermark, so no row is dropped as late, however old its event
+    is.  What passes is held against the key hashes that silver stores for the months concerned, and
+    on a match against the keys.  Copies must have the event time of their first, as the keys that
+    the specs name do; rows whose time cannot be read share month 0.
+
+    ``name`` tells this stream's batches from those of others in the log of ``silver``.
+    """
+    rows = read_stream(spark, bronze, spec.source_ddl, max_files=max_files)
+    arriving = rows.withColumn("_arrival", F.current_timestamp())
+    cleaned = spec.clean(arriving, horizon=("_arrival", recent))
+    month = F.coalesce(F.date_format(spec.event_time, "yyyyMM"), F.lit("0"))
+    cleaned = cleaned.select(
+        *column_names(spec.source_ddl), "processed_timestamp", month.alias("month")
+    )
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        silver.append_new(batch, spec.keys, f"{name}-{batch_id}")
+
+    with scoped_conf(spark, STATE_STORE_CONF):
+        return for_each_batch(cleaned, add, checkpoint, every, available_now)
+
+
 def enrich_stream(
     events: DataFrame, items: DataFrame, rate: float = 0.1, keys: list[str] | None = None
 ) -> DataFrame:

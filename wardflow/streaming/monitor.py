@@ -65,11 +65,16 @@ def read_metrics(spark: SparkSession, metrics: str) -> DataFrame:
     return spark.read.schema(METRICS_DDL).parquet(metrics)
 
 
-def delivery_counters(messages: DataFrame, good: Column | None = None) -> DataFrame:
-    """Messages sent, failed, and bytes of the message values."""
+def delivery_aggregates(good: Column | None = None) -> list[Column]:
+    """Messages sent, failed, and bytes of the message values sent."""
     ok = F.lit(True) if good is None else F.coalesce(good, F.lit(False))
-    return messages.agg(
+    return [
         F.count_if(ok).alias("messages_sent"),
         F.count_if(~ok).alias("messages_failed"),
         F.coalesce(F.sum(F.when(ok, F.octet_length("value"))), F.lit(0)).alias("bytes_sent"),
-    )
+    ]
+
+
+def delivery_counters(messages: DataFrame, good: Column | None = None) -> DataFrame:
+    """The counters of a whole batch frame; :mod:`streaming.counters` has those of a stream."""
+    return messages.agg(*delivery_aggregates(good))
