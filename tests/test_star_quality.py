@@ -8,12 +8,12 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from wardflow.operators import quality, star
-from wardflow.operators.joins import spread_join
+from wardflow.operators.joins import heavy_keys, spread_join
 from wardflow.operators.quantiles import exact_percentile
 from wardflow.sinks.tables import insert_absent
 
 
-@pytest.mark.parametrize("cells", [1, 8])
+@pytest.mark.parametrize("cells", [1, 1000])
 @settings(max_examples=4, deadline=None)
 @given(
     pairs=st.lists(
@@ -40,22 +40,79 @@ def test_percentiles_match_builtin_on_skewed_group(spark, p):
         F.when(F.col("id") < 4000, 0).otherwise(F.col("id") % 7).alias("k"),
         (F.pmod(F.hash("id"), F.lit(1000)) / 8).alias("v"),
     )
-    got = {r["k"]: r["m"] for r in exact_percentile(df, ["k"], "v", p, "m", cells=16).collect()}
+    got = {r["k"]: r["m"] for r in exact_percentile(df, ["k"], "v", p, "m", cell_values=16).collect()}
     want = {r["k"]: r["m"] for r in df.groupBy("k").agg(F.percentile("v", p).alias("m")).collect()}
     assert got.keys() == want.keys()
     assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
 
 
-def test_spread_join_equals_plain_join_and_spreads(spark, rows):
+@pytest.mark.parametrize("p", [0.0, 0.25, 0.5, 0.77, 1.0])
+def test_percentiles_of_outliers_infinities_and_nan(spark, p):
+    """Values that lie apart do not share a cell with all others; Spark's own result is the measure."""
+    inf, nan = float("inf"), float("nan")
+    rows = [("far", float(i)) for i in range(1001)] + [("far", 1e12)]
+    rows += [("ends", x) for x in [-inf, -inf, *map(float, range(300)), inf, inf, inf]]
+    rows += [("nan", x) for x in [nan, 1.0]] + [("many nan", x) for x in [nan] * 50 + [1.0, 2.0, 3.0]]
+    rows += [("all nan", nan), ("one", 5.0), ("null", None), (None, 2.5), (None, 3.5)]
+    df = spark.createDataFrame(rows, "k STRING, v DOUBLE").repartition(3)
+
+    def text(found):
+        return {r["k"]: f"{r['m']:.9g}" for r in found if r["m"] is not None}
+
+    want = text(df.groupBy("k").agg(F.percentile("v", p).alias("m")).collect())
+    for cell_values in (4, 50, 1_000_000):
+        got = exact_percentile(df, ["k"], "v", p, "m", cell_values).collect()
+        assert text(got) == want
+
+
+def test_cells_are_bounded_however_values_lie(spark):
+    from wardflow.operators.quantiles import _refined, value_counts
+
+    # Nearly all values close together, a few far away.
+    df = spark.range(20_000).select(F.lit("k").alias("k"), F.pow(F.lit(1.002), F.col("id") % 7000 + 1).alias("v"))
+    df = df.unionByName(spark.createDataFrame([("k", 1e300), ("k", -1e300)], "k STRING, v DOUBLE"))
+    counts = value_counts(df, ["k"], "v").cache()
+    for low in (0, 3333, 20_001):
+        place = spark.createDataFrame([("k", low, low)], "k STRING, _low LONG, _high LONG")
+        kept, start = _refined(counts, ["k"], place)
+        assert kept.count() <= 7002 / 100 * 1.2
+        skip = start.first()["_skip"]
+        assert skip <= low < skip + kept.agg(F.sum("_n")).first()[0]
+    counts.unpersist()
+
+
+def test_heavy_keys(spark):
+    skewed = spark.range(10_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
+    (hot,) = heavy_keys(skewed, ["k"], 30).collect()
+    key = spark.range(1).select(F.xxhash64(F.lit(-1).cast("long"))).first()[0]
+    assert hot["hot"] == {key: 11}  # a third of 30 parts, rounded up
+    assert heavy_keys(skewed, ["k"], 5).first()["hot"] == {}
+    assert heavy_keys(spark.range(1000), ["id"], 30).first()["hot"] == {}
+    assert heavy_keys(spark.range(0), ["id"], 30).first()["hot"] == {}
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_spread_join_equals_plain_join_and_spreads(spark, rows, how):
     fact = spark.range(2000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") < 1500, 1).otherwise(2).alias("k"),
+        F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") < 1500, 1).otherwise(F.col("id")).alias("k"),
         "id",
     )
-    dim = spark.createDataFrame([(1, "x"), (None, "n")], "k INT, name STRING")
-    got = rows(spread_join(fact, dim, ["k"], "left", lanes=4))
+    dim = spark.createDataFrame([(1, "x"), (None, "n"), (1501, "y"), (7, "z")], "k INT, name STRING")
     renamed = dim.withColumnRenamed("k", "k2")
-    plain = fact.join(renamed, F.col("k").eqNullSafe(F.col("k2")), "left")
-    assert got == rows(plain.select("k", "id", "name"))
+    plain = rows(fact.join(renamed, F.col("k").eqNullSafe(F.col("k2")), how).select("k", "id", "name"))
+    for parts in (None, 4, 200):
+        assert rows(spread_join(fact, dim, ["k"], how, parts=parts)) == plain
+    assert rows(spread_join(fact, dim, ["k"], how, parts=50, keys_of=fact.select("k"))) == plain
+
+
+def test_only_heavy_keys_are_repeated(spark):
+    """The one side has one row per key, and more of the heavy ones only."""
+    fact = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 1000 + 1).alias("k"))
+    dim = spark.range(1001).select(F.col("id").cast("int").alias("k"), F.lit("x").alias("name"))
+    joined = spread_join(fact, dim, ["k"], parts=30)
+    assert joined.count() == 9000
+    lanes = heavy_keys(fact, ["k"], 30).select(F.explode("hot")).collect()
+    assert [r["value"] for r in lanes] == [10]
 
 
 def test_project_casts_leniently(spark):

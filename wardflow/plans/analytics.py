@@ -13,6 +13,7 @@ from ..operators.dedup import top_per_key
 from ..operators.joins import spread_join
 from ..operators.enrich import with_calendar, with_date, with_status
 from ..operators.quantiles import percentile_of_counts, value_counts
+from ..session import materialise
 
 ROUND = 6
 
@@ -48,7 +49,8 @@ def stays_by_unit(stays: DataFrame) -> DataFrame:
 
 def stays_by_gender(stays: DataFrame, patients: DataFrame) -> DataFrame:
     known = patients.filter(F.col("gender").isNotNull()).select("subject_id", "gender")
-    joined = spread_join(stays.select("subject_id", "stay_id").dropna(), known, ["subject_id"])
+    # The count groups by other keys than the join, so AQE may split a heavy subject.
+    joined = stays.select("subject_id", "stay_id").dropna().join(known, "subject_id")
     return joined.groupBy("gender").agg(F.count_distinct("stay_id").alias("stay_count"))
 
 
@@ -67,7 +69,7 @@ def los_stats(stays: DataFrame, unit: str = "last_careunit") -> DataFrame:
     The stays are read once, into the row count of each (unit, length); every figure comes from
     that small table.
     """
-    counts = value_counts(stays, [unit], "los")
+    counts = materialise(value_counts(stays, [unit], "los"), "value-counts")
     known = F.when(F.col("_v").isNotNull(), F.col("_n"))
     basic = counts.groupBy(unit).agg(
         F.sum("_n").alias("admission_count"),
@@ -176,7 +178,9 @@ def status_micro_flag(
     """Condition flag per stay, and whether its subject has any microbiology event."""
     seen = micro.select("subject_id").distinct().withColumn("has_micro_event", F.lit(1))
     known = seen.filter(F.col("subject_id").isNotNull())
-    joined = spread_join(status_flag(stays, diagnoses, keyword), known, ["subject_id"], "left")
+    joined = spread_join(
+        status_flag(stays, diagnoses, keyword), known, ["subject_id"], "left", keys_of=stays
+    )
     return joined.fillna(0, subset=["has_micro_event"])
 
 
