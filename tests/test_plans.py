@@ -14,6 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(TESTDATA), reason="no test tab
 
 # These run jobs of their own while they are built; the rest is lazy.
 EAGER = {"incremental_load", "trained_risk", "table_profile", "sample_systematic", "insert_absent"}
+EAGER |= {"trained_stay_class", "boosted_stay_class", "compacted_events", "idempotent_append", "replay_restart"}
 EAGER |= {n for n in QUERIES if n.startswith("load_") and n != "load_report"}
 LAZY = sorted(n for n in QUERIES if not n.startswith("stream_") and n not in EAGER)
 

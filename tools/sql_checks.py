@@ -738,7 +738,43 @@ CHECKS |= {
                CAST(sum(CASE WHEN good THEN size ELSE 0 END) AS BIGINT) AS bytes_sent FROM m GROUP BY 1""",
     "idempotent_append": f"WITH {STAYS} SELECT stay_id, subject_id, intime_date FROM stays",
     "stream_exact_dedup": CHECKS["stream_bronze_silver"],
+    "replay_restart": "SELECT event_id, user_id, ts, event_type, value, CAST(1 AS INTEGER) AS in_order FROM events",
     "compacted_events": """SELECT event_type AS itemid, strftime(ts, '%Y%m') AS month, count(*) AS n,
         CAST(sum(event_id) AS BIGINT) AS ids, round(sum(value), 4) AS total, 'few' AS files_left
         FROM events GROUP BY 1, 2""",
 }
+
+# --- further loads and stored layouts ----------------------------------------------------
+
+CHECKS |= {
+    "load_dim_d_items": f"""WITH {ITEMS} SELECT CAST(length(itemid) * 1000 + ascii(itemid) AS INTEGER) AS itemid,
+        label, CAST(NULL AS VARCHAR) AS abbreviation, category, unitname, 'Numeric' AS param_type,
+        lownormalvalue, highnormalvalue FROM items""",
+    "load_dim_patients": f"""WITH {PATIENTS} SELECT CAST(subject_id AS INTEGER) AS subject_id, gender, anchor_age,
+        anchor_age + 2000 AS anchor_year, CAST(NULL AS VARCHAR) AS anchor_year_group,
+        CAST(dod AS VARCHAR) AS dod FROM patients""",
+    "load_dim_triage": f"""WITH {TRIAGE} SELECT CAST(stay_id AS INTEGER) AS stay_id,
+        CAST(triage_subject_id AS INTEGER) AS subject_id, {', '.join(
+            f'CAST({c} AS DOUBLE) AS {c}' for c in ('temperature', 'heartrate', 'resprate', 'o2sat', 'sbp', 'dbp', 'acuity'))},
+        'unable' AS pain, chiefcomplaint FROM triage""",
+    "load_fact_icustays": f"""WITH {STAYS} SELECT CAST(stay_id AS INTEGER) AS stay_id,
+        CAST(subject_id AS INTEGER) AS subject_id, CAST(hadm_id AS INTEGER) AS hadm_id, first_careunit,
+        last_careunit, intime_time, intime_date, outtime_time, outtime_date, los FROM stays""",
+    "load_fact_edstays": f"""WITH {STAYS} SELECT CAST(subject_id AS INTEGER) AS subject_id,
+        CAST(hadm_id AS INTEGER) AS hadm_id, CAST(stay_id AS INTEGER) AS stay_id, intime_date, intime_time,
+        outtime_date, outtime_time, last_careunit AS gender, first_careunit AS race,
+        first_careunit AS arrival_transport, last_careunit AS disposition FROM stays""",
+    "balance_files": f"""WITH {BALANCE}, {PATIENTS}, ranked AS (SELECT stay_id, fluid_balance_ml, dod,
+          row_number() OVER (PARTITION BY b.subject_id ORDER BY intime DESC, stay_id DESC) AS k
+          FROM balance b LEFT JOIN patients p ON p.subject_id = b.subject_id)
+        SELECT CAST(b.stay_id AS BIGINT) AS stay_id, b.subject_id, total_input_ml, total_output_ml,
+               b.fluid_balance_ml, r.fluid_balance_ml AS told_ml, CAST(dod AS VARCHAR) AS dod
+        FROM balance b LEFT JOIN ranked r ON r.stay_id = b.stay_id AND k = 1""",
+    "subjects_by_year_unit": f"""WITH {STAYS} SELECT CAST(intime_date // 10000 AS INTEGER) AS year, first_careunit,
+        count(*) AS rows, count(DISTINCT subject_id) AS subjects, CAST(1 AS INTEGER) AS within,
+        CAST(3.0 * 1.04 / 128 AS DOUBLE) AS relative_error FROM stays GROUP BY 1, 2""",
+    "bucketed_vitals": f"""WITH {STAYS}, {TRIAGE} SELECT stay_id, los, CAST(heartrate AS DOUBLE) AS heartrate,
+        CAST(acuity AS DOUBLE) AS acuity FROM stays JOIN triage USING (stay_id)""",
+    "quarter_by_unit": f"""WITH {STAYS} SELECT first_careunit, CAST(week(intime) AS INTEGER) AS week,
+        count(*) AS stays FROM stays WHERE year(intime) = 1995 AND quarter(intime) = 2 GROUP BY 1, 2""",
+}

@@ -20,6 +20,19 @@ def with_date(df: DataFrame, dates: DataFrame, key_col: str, how: str = "left")
     return df.join(F.broadcast(dates), df[key_col] == dates["date_key"], how)
 
 
+def with_pruned_months(
+    df: DataFrame, dates: DataFrame, key_col: str, month_col: str = "month"
+) -> DataFrame:
+    """Inner join of a fact stored by month to the wanted days of the date dimension.
+
+    The month is part of the join, so the scan of the fact is pruned at run time to the months that
+    the filtered dimension has.  No filter on the fact has to be written by hand.
+    """
+    days = dates.withColumn("_month", F.floor(F.col("date_key") / 100).cast("int"))
+    same = (df[key_col] == days["date_key"]) & (df[month_col] == days["_month"])
+    return df.join(F.broadcast(days), same).drop("_month", month_col)
+
+
 def with_calendar(
     df: DataFrame, dates: DataFrame, times: DataFrame, date_col: str, time_col: str
 ) -> DataFrame:

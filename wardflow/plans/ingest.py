@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import work_path
 from ..sinks.committed import CommittedTable
-from ..sinks.streams import write_stream
+from ..sinks.streams import for_each_batch, write_stream
 from ..sinks.tables import write_table
-from ..sources import messages
+from ..sources import messages, replay
 from ..sources.readers import read_stream
 from ..specs import register_query
 from ..streaming import counters, jobs
@@ -100,6 +101,51 @@ def stream_exact_dedup(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+EVENT_DDL = "event_id BIGINT, user_id BIGINT, ts TIMESTAMP_NTZ, event_type STRING, value DOUBLE"
+
+
+@register_query("replay_restart")
+def replay_restart(spark: SparkSession, path: str) -> DataFrame:
+    """Events replayed in order from CSV, through a failure in the middle of the third batch.
+
+    The failing batch has handed on a part of its rows when it fails; the stream is started again
+    and the table holds each row once.  ``in_order`` tells whether a batch never holds an event older
+    than one of the batch before it.
+    """
+    root = work_path(spark, "replay")
+    events = Views(spark, path).table("events").select("event_id", "user_id", "ts", "event_type", "value")
+    ordered = events.repartitionByRange(3, "ts", "event_id").sortWithinPartitions("ts", "event_id")
+    stamp = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    ordered.write.option("header", True).option("timestampNTZFormat", stamp).csv(f"{root}/csv")
+    files = spark.read.format("binaryFile").load(f"{root}/csv/*.csv")
+    size = files.agg(F.sum("length")).first()[0]
+    ddl = f"{EVENT_DDL}, replay_file STRING, replay_byte BIGINT, batch BIGINT"
+    table, failed = CommittedTable(f"{root}/events", ddl), []
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumn("batch", F.lit(batch_id).cast("long"))
+        if batch_id == 2 and not failed:
+            failed.append(batch_id)
+            write_table(rows.limit(5), f"{root}/handed-on")
+            raise RuntimeError("lost in the middle of a batch")
+        table.append(rows, f"replay-{batch_id}")
+
+    for _ in range(2):
+        lines = replay.replay_lines(spark, f"{root}/csv", f"{root}/positions", size // 7 + 1, size // 20 + 1)
+        rows = replay.replay_csv(lines, EVENT_DDL, timestampNTZFormat=stamp)
+        query = for_each_batch(rows, add, f"{root}/ck", every=None)
+        try:
+            jobs.drain_source(query)
+        except StreamingQueryException as error:
+            if "middle of a batch" not in str(error):
+                raise
+    stored = table.read(spark)
+    spans = stored.groupBy("batch").agg(F.min("ts").alias("first"), F.max("ts").alias("last"))
+    before = F.lag("last").over(Window.orderBy("batch"))
+    spans = spans.select("batch", (F.coalesce(before <= F.col("first"), F.lit(True))).cast("int").alias("in_order"))
+    return stored.join(spans, "batch").drop("batch", "replay_file", "replay_byte")
+
+
 @register_query("compacted_events")
 def compacted_events(spark: SparkSession, path: str) -> DataFrame:
     """Rows of a month-partitioned table written in many small files, after compaction.

@@ -13,7 +13,7 @@ from ..operators.incremental import load_mark, read_since, save_mark
 from ..operators.quality import require_not_null
 from ..operators.sampling import sample
 from ..operators.star import key_clean, project
-from ..sinks.tables import replace_folder
+from ..sinks.tables import replace_folder, write_by_month
 from ..sources.readers import read_table
 from ..specs import DimSpec, FactSpec
 
@@ -66,9 +66,7 @@ def load_fact(
     rows = fact_rows(sampled.observe(drawn, count), spec).observe(kept, count)
     folder = f"{target}/load_id=since-{lo:%Y%m%dT%H%M%S.%f}"
     if month_of:
-        month = (F.col(month_of) / 100).cast("int")
-        by_month = rows.withColumn("month", month).hint("rebalance", "month")
-        by_month.write.mode("overwrite").partitionBy("month").parquet(folder)
+        write_by_month(rows, month_of, folder)
     else:
         rows.write.mode("overwrite").parquet(folder)
     save_mark(spark, marks, spec.name, window.hi)

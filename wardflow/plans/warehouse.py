@@ -13,8 +13,10 @@ from ..operators.dedup import dedup
 from ..schemas import SOURCE_DDL, split_ddl
 from ..session import work_path
 from ..sinks.tables import write_table
+from ..sources.readers import read_table
 from ..specs import DIMS, FACTS, register_query
 from ..streaming import jobs
+from . import analytics as q
 from . import loads
 from .views import ClinicalViews as Views
 
@@ -99,6 +101,42 @@ def chart(v: Views) -> DataFrame:
     return _as_source(raw, "chartevents", {**given, "itemid": item})
 
 
+def _flawed(rows: DataFrame, key: str) -> DataFrame:
+    """Some rows given twice, some also without their key."""
+    again = rows.filter(F.col(key) % 40 == 0)
+    keyless = rows.filter(F.col(key) % 50 == 0).withColumn(key, F.lit(None).cast("int"))
+    return rows.unionByName(again).unionByName(keyless)
+
+
+def items(v: Views) -> DataFrame:
+    """The item dictionary, its text item codes as numbers."""
+    code = F.length("itemid") * 1000 + F.ascii("itemid")
+    given = {c: F.col(c) for c in ("label", "category", "unitname", "lownormalvalue", "highnormalvalue")}
+    kind = {"itemid": code, "linksto": F.lit("chartevents"), "param_type": F.lit("Numeric")}
+    return _flawed(_as_source(v.items, "d_items", {**given, **kind}), "itemid")
+
+
+def patients(v: Views) -> DataFrame:
+    given = {c: F.col(c) for c in ("subject_id", "gender", "anchor_age", "dod")}
+    rows = _as_source(v.patients, "patients", {**given, "anchor_year": F.col("anchor_age") + 2000})
+    return _flawed(rows, "subject_id")
+
+
+def triage(v: Views) -> DataFrame:
+    given = {c: F.col(c) for c in v.triage.columns}
+    return _flawed(_as_source(v.triage, "triage", {**given, "pain": F.lit("unable")}), "stay_id")
+
+
+def icu_stays(v: Views) -> DataFrame:
+    given = {c: F.col(c) for c in v.stays.columns}
+    return _flawed(_as_source(v.stays, "icustays", given), "stay_id")
+
+
+def ed_stays(v: Views) -> DataFrame:
+    raw = v.stays.join(v.ed_stays.select("stay_id", "gender", "race", "arrival_transport", "disposition"), "stay_id")
+    return _flawed(_as_source(raw, "edstays", {c: F.col(c) for c in raw.columns}), "stay_id")
+
+
 def load_dim(spark: SparkSession, table: str, sources: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
     """Write sources as CSV, load one registered dimension; its rows and its report."""
     root = work_path(spark, table)
@@ -150,6 +188,46 @@ def load_dim_diagnoses(spark: SparkSession, path: str) -> DataFrame:
     return loaded.drop("diagnoses_icd_key")
 
 
+def _registered(table: str, source: str, rows) -> None:
+    register_query(
+        f"load_{table}", lambda spark, path: load_dim(spark, table, {source: rows(Views(spark, path))})[0]
+    )
+
+
+_registered("dim_d_items", "d_items", items)
+_registered("dim_patients", "patients", patients)
+_registered("dim_triage", "triage", triage)
+_registered("fact_icustays", "icustays", icu_stays)
+_registered("fact_edstays", "edstays", ed_stays)
+
+
+@register_query("balance_files")
+def balance_files(spark: SparkSession, path: str) -> DataFrame:
+    """Input, output and balance files, typed and read back: the sums of the first two per stay
+    beside what the third says for it."""
+    v, root = Views(spark, path), work_path(spark, "balance")
+    stays = v.stays.select("stay_id", "subject_id", "hadm_id", "intime", "outtime")
+    placed = {"inputevents": v.inputs.withColumn("unit", F.lit("ml")), "outputevents": v.outputs}
+    amounts = {
+        "inputevents": {"amount": F.col("amount"), "amountuom": F.lit("ml"), "starttime": F.col("intime")},
+        "outputevents": {"value": F.col("value"), "valueuom": F.lit("ml"), "charttime": F.col("intime")},
+    }
+    read = {}
+    for name, rows in placed.items():
+        known = {c: F.col(c) for c in ("stay_id", "subject_id", "hadm_id")}
+        source = _as_source(rows.join(stays, "stay_id"), name, {**known, **amounts[name]})
+        source.write.option("header", True).csv(f"{root}/{name}")
+        read[name] = read_table(spark, f"{root}/{name}", "csv", SOURCE_DDL[name])
+    told = q.last_stay(q.fluid_balance(v.stays, v.inputs, v.outputs), v.patients)
+    told = _as_source(told, "fluid_balance_last_stay", {c: F.col(c) for c in told.columns})
+    told.write.option("header", True).csv(f"{root}/told")
+    told = read_table(spark, f"{root}/told", "csv", SOURCE_DDL["fluid_balance_last_stay"])
+    sums = q.fluid_balance(stays, read["inputevents"], read["outputevents"])
+    told = told.select("stay_id", F.col("fluid_balance_ml").alias("told_ml"), "dod")
+    wanted = ("stay_id", "subject_id", "total_input_ml", "total_output_ml", "fluid_balance_ml")
+    return sums.select(*wanted).join(told, "stay_id", "left")
+
+
 @register_query("load_report_dims")
 def load_report_dims(spark: SparkSession, path: str) -> DataFrame:
     """Counters of two dimension loads."""
@@ -186,8 +264,6 @@ def load_fact_micro(spark: SparkSession, path: str) -> DataFrame:
 @register_query("ordered_reports")
 def ordered_reports(spark: SparkSession, path: str) -> DataFrame:
     """Place of every row of three ordered reports (few rows each), to check their order."""
-    from . import analytics as q
-
     v = Views(spark, path)
     reports = {
         "unit": (q.stays_by_unit(v.stays), "first_careunit"),

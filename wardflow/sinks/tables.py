@@ -115,6 +115,27 @@ def stored_bytes(spark: SparkSession, location: str) -> DataFrame:
     return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("size_bytes"))
 
 
+def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int, path: str) -> DataFrame:
+    """Store a frame as a catalog table bucketed and sorted by ``keys``, one file per bucket.
+
+    Tables of equal buckets join and group by those keys without a shuffle.  Rows are dealt to the
+    buckets before they are written, so no task writes a file per bucket.
+    """
+    dealt = df.repartition(buckets, *keys)
+    writer = dealt.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path)
+    writer.mode("overwrite").saveAsTable(_stored(df.sparkSession, table))
+    return df.sparkSession.table(_stored(df.sparkSession, table))
+
+
+def write_by_month(df: DataFrame, date_key: str, target: str) -> None:
+    """Store a fact partitioned by the month of a date key (column ``month``, YYYYMM; NULL for none).
+
+    Rows are rebalanced by month first: a heavy month is split over files, light ones are whole.
+    """
+    monthly = df.withColumn("month", (F.col(date_key) / 100).cast("int")).hint("rebalance", "month")
+    monthly.write.mode("overwrite").partitionBy("month").parquet(target)
+
+
 def catalog_inventory(spark: SparkSession, database: str | None = None) -> DataFrame:
     """Managed tables of a database with column count and size on disk; no data is read."""
     found = []

@@ -139,6 +139,14 @@ def drain(queries: list[StreamingQuery], timeout: float | None = None) -> bool:
     return done
 
 
+def drain_source(query: StreamingQuery) -> None:
+    """Process what a source without an end of its own has now, then stop; re-raises errors."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def run_until_any_stops(spark: SparkSession, timeout: float | None = None) -> None:
     """Block a driver that hosts several continuous queries."""
     if timeout is None:
