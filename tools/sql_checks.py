@@ -778,3 +778,20 @@ CHECKS |= {
     "quarter_by_unit": f"""WITH {STAYS} SELECT first_careunit, CAST(week(intime) AS INTEGER) AS week,
         count(*) AS stays FROM stays WHERE year(intime) = 1995 AND quarter(intime) = 2 GROUP BY 1, 2""",
 }
+
+# --- streams and layouts that only tests ran before ---------------------------------------
+
+CHECKS |= {
+    "stream_csv_rate": "SELECT event_id, ts, user_id, event_type, value, CAST(4 AS BIGINT) AS batches FROM events",
+    "stream_two_queries": """SELECT event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events
+        WHERE event_type IN ('click', 'view') GROUP BY 1""",
+    "stream_stamps": "SELECT event_type AS itemid, count(*) AS n, count(*) AS stamped_in_order FROM events GROUP BY 1",
+    "keyed_topic": """SELECT CAST(user_id AS VARCHAR) AS key, CAST(1 AS BIGINT) AS partitions, count(*) AS messages,
+        CAST(0 AS BIGINT) AS out_of_order FROM events GROUP BY 1""",
+    "typed_tables": CHECKS["load_fact_icustays"].replace("SELECT CAST(stay_id", "SELECT CAST(0 AS INTEGER) AS tables_left, CAST(stay_id"),
+    "source_schema": """SELECT CAST(ordinal_position - 1 AS INTEGER) AS position, column_name,
+        CASE data_type WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'VARCHAR' THEN 'string' ELSE lower(data_type) END
+        AS data_type FROM information_schema.columns WHERE table_name = 'events'""",
+    "literal_items": """SELECT CASE event_type WHEN 'click' THEN 'Heart rate' ELSE 'SpO2' END AS label, count(*) AS n
+        FROM events WHERE event_type IN ('click', 'view') GROUP BY 1""",
+}

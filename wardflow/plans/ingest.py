@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import UTC, datetime
+
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import work_path
+from ..operators.clean import clean_chart_events
+from ..operators.star import project
+from ..schemas import WAREHOUSE_DDL
+from ..session import materialise, work_path
 from ..sinks.committed import CommittedTable
-from ..sinks.streams import for_each_batch, write_stream
-from ..sinks.tables import write_table
-from ..sources import messages, replay
-from ..sources.readers import read_stream
+from ..sinks.streams import for_each_batch, publish_json, write_stream
+from ..sinks.tables import create_tables, drop_tables, write_table
+from ..sources import generators, messages, replay
+from ..sources.readers import read_stream, read_table
 from ..specs import register_query
-from ..streaming import counters, jobs
+from ..streaming import counters, jobs, monitor
 from .catalog import EVENT_SPEC, MESSAGE_DDL, STAMP
 from .views import ClinicalViews as Views
 
@@ -171,3 +177,115 @@ def compacted_events(spark: SparkSession, path: str) -> DataFrame:
         F.round(F.sum("valuenum"), 4).alias("total"),
     )
     return counted.withColumn("files_left", F.lit("few" if fewer else f"{n_after} of {n_before}"))
+
+
+def _event_files(spark: SparkSession, path: str, root: str) -> DataFrame:
+    """Events in four files by week of their month; their schema is that of the frame."""
+    events = Views(spark, path).table("events")
+    week = F.least(F.floor((F.dayofmonth("ts") - 1) / 7), F.lit(3))
+    for k in range(4):
+        write_table(events.filter(week == k).coalesce(1), f"{root}/events")
+    return events
+
+
+@register_query("stream_csv_rate")
+def stream_csv_rate(spark: SparkSession, path: str) -> DataFrame:
+    """Events through a CSV sink at one file a trigger; ``batches`` counts the triggers."""
+    root = work_path(spark, "csv-sink")
+    schema = _event_files(spark, path, root).schema
+    stream = read_stream(spark, f"{root}/events", schema, max_files=1)
+    query = write_stream(
+        stream.drop("props"), f"{root}/out", f"{root}/ck", fmt="csv", every="0 seconds",
+        timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    )
+    jobs.drain_source(query)
+    batches = sum(1 for p in query.recentProgress if p.numInputRows)
+    ddl = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE"
+    rows = read_table(spark, f"{root}/out", "csv", ddl)
+    return rows.withColumn("batches", F.lit(batches).cast("long"))
+
+
+@register_query("stream_two_queries")
+def stream_two_queries(spark: SparkSession, path: str) -> DataFrame:
+    """Two streams in one session until one of them ends; the other is then awaited in bounded time."""
+    root = work_path(spark, "two")
+    schema = _event_files(spark, path, root).schema
+    queries = []
+    for kind in ("click", "view"):
+        stream = read_stream(spark, f"{root}/events", schema, max_files=2)
+        picked = stream.filter(F.col("event_type") == kind)
+        queries.append(write_stream(picked, f"{root}/{kind}", f"{root}/ck-{kind}", available_now=True))
+    jobs.run_until_any_stops(spark, 600)
+    if not jobs.drain(queries, 600):
+        raise TimeoutError("a stream did not end")
+    spark.streams.resetTerminated()
+    both = spark.read.parquet(f"{root}/click").unionByName(spark.read.parquet(f"{root}/view"))
+    return both.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+
+
+@register_query("stream_stamps")
+def stream_stamps(spark: SparkSession, path: str) -> DataFrame:
+    """Rows per item whose ingest stamp lies in their run, before their processing stamp."""
+    root = work_path(spark, "stamps")
+    write_table(messages.encode_json(event_rows(Views(spark, path)), "stay_id"), f"{root}/topic")
+    started = datetime.now(UTC)
+    stream = read_stream(spark, f"{root}/topic", "key STRING, value STRING", max_files=1000)
+    jobs.drain(
+        jobs.ingest_bronze(stream, EVENT_SPEC, f"{root}/bronze", f"{root}/ck", f"{root}/bad", available_now=True)
+    )
+    bronze = spark.read.parquet(f"{root}/bronze")
+    cleaned = clean_chart_events(bronze)
+    at = F.timestamp_millis(F.lit(int(started.timestamp() * 1000)))
+    inside = (F.col("ingest_ts") >= at) & (F.col("ingest_ts") <= F.col("processed_timestamp"))
+    return cleaned.groupBy("itemid").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(inside).alias("stamped_in_order")
+    )
+
+
+@register_query("keyed_topic")
+def keyed_topic(spark: SparkSession, path: str) -> DataFrame:
+    """A topic laid out by key: partitions per key, and messages that follow an older one of their key."""
+    target = f"{work_path(spark, 'topic')}/messages"
+    publish_json(event_rows(Views(spark, path)), "stay_id", target, order_col="charttime", partitions=6)
+    stored = spark.read.parquet(target).select(
+        "key", "value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("place")
+    )
+    time = F.get_json_object("value", "$.charttime")
+    by_key = Window.partitionBy("key", "file").orderBy("place")
+    late = stored.withColumn("late", (time < F.lag(time).over(by_key)).cast("int"))
+    return late.groupBy("key").agg(
+        F.count_distinct("file").alias("partitions"),
+        F.count(F.lit(1)).alias("messages"),
+        F.coalesce(F.sum("late"), F.lit(0)).alias("out_of_order"),
+    )
+
+
+@register_query("typed_tables")
+def typed_tables(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a created table of the registered columns, filled and read by name, then dropped."""
+    v, database = Views(spark, path), f"wardflow_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{work_path(spark, 'database')}'")
+    ddl = WAREHOUSE_DDL["fact_icustays"]
+    create_tables(spark, {f"{database}.fact_icustays": ddl})
+    create_tables(spark, {f"{database}.fact_icustays": ddl})
+    rows = project(v.stays, ddl)
+    rows.write.insertInto(f"{database}.fact_icustays")
+    kept = materialise(spark.table(f"{database}.fact_icustays"), "typed")
+    drop_tables(spark, [f"{database}.fact_icustays"])
+    left = spark.catalog.listTables(database)
+    spark.sql(f"DROP DATABASE {database}")
+    return kept.withColumn("tables_left", F.lit(len(left)))
+
+
+@register_query("source_schema")
+def source_schema(spark: SparkSession, path: str) -> DataFrame:
+    """Columns and types that a stream of the event table will have."""
+    return monitor.schema_report(read_stream(spark, path, Views(spark, path).table("events").schema))
+
+
+@register_query("literal_items")
+def literal_items(spark: SparkSession, path: str) -> DataFrame:
+    """Events per label of a small table of literal rows; items that it lacks are left out."""
+    labels = generators.from_rows(spark, [("click", "Heart rate"), ("view", "SpO2"), ("none", "Unused")], "itemid STRING, label STRING")
+    events = Views(spark, path).chart_events.groupBy("itemid").agg(F.count(F.lit(1)).alias("n"))
+    return events.join(labels, "itemid").select("label", "n")
