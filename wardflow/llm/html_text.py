@@ -1,11 +1,10 @@
 """Main text of HTML pages by line-block distribution.
 
 Markup is stripped into one line per block element; what a page declares as furniture (menus,
-headers, footers, sidebars, notices, adverts, forms, reader comments) leaves a blank line behind,
-and so do lines that are mostly links.  The lengths of the lines are summed over a sliding window:
-where the sum surges the main text begins, where it dives to nothing it ends, and the lines between
-are kept.  Where a page marks its article, lines outside it count as blank, unless the marked ones
-are a small part of the prose; the surge and the links then decide within the article.
+headers, footers, sidebars, notices, adverts, forms, reader comments) leaves a blank line behind.
+Lines weigh what they are long, links nothing, and the lines of a marked article enough to surge by
+themselves.  The weights are summed over a sliding window: where the sum surges the main text
+begins, where it dives to nothing it ends, and the lines between are kept.
 """
 
 from __future__ import annotations
@@ -13,6 +12,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +23,6 @@ from .common import batch, pick, strings
 
 WINDOW = 3
 SURGE = 80
-#: Linked lines in a row that are a list of links within a marked article.
-LINKS = 3
 #: Unmarked prose of more than so many times the marked text is not left out for the marks.
 PART = 2
 
@@ -48,11 +46,16 @@ ROLES = frozenset(
 NAMES = re.compile(
     r"(?:ads?|adsbygoogle|adslot|dfp|nav|navi|menus?|foot|aside|topbar|rail|toc|notices?|alert|"
     r"gdpr|popup|modal|overlay|login|signin|signup|register|respond|repl(?:y|ies)|related|hidden|"
-    r"search|copyright|toolbar|pager|paging|widgets?|social|disqus|feedback)"
+    r"search|copyright|toolbar|pager|paging|widgets?|social|disqus|feedback|"
+    r"comment(?:s|list|form|box|area|section|thread)?|share(?:s|d|bar|this|buttons?|links?)?|sharing|"
+    r"recommend(?:ed|s|ations?)?)"
     r"|(?:advert|banner|sponsor|promo|breadcrumb|sidebar|footer|header|masthead|navbar|navigation|"
-    r"cookie|consent|disclaimer|newsletter|subscri|share|sharing|comment|recommend|pagination|"
-    r"outbrain|taboola|paywall).*"
+    r"cookie|consent|disclaimer|newsletter|subscri|pagination|outbrain|taboola|paywall).*"
 )
+# Names of reader comments: the only ids that count on parts of a marked article.
+COMMENTS = re.compile(r"comment(?:s|list|form|box|area|section|thread)?|respond|replies|disqus")
+# Elements of a text whose ids are made of its headings, as tables of contents need them.
+ANCHORED = HEADINGS | frozenset("section p dl dt dd ul ol li figure table blockquote pre span a".split())
 # Words after which such a name tells of a neighbour, as in "with-sidebar".
 BESIDE = frozenset(("has", "with", "no", "without"))
 # First parts of class names of an article that tell what it is about, as in "category-social".
@@ -75,10 +78,11 @@ _HIDING = re.compile(r"(?i)display\s*:\s*none|visibility\s*:\s*hidden")
 _PARTS = re.compile(r"[^a-z]+")
 
 
-def _kind(tag: str, attributes: str, named: bool = True) -> str:
+def _kind(tag: str, attributes: str, named: bool = True, inside: bool = False) -> str:
     """``"furniture"``, ``"header"`` (its headings may belong to an article) or ``""``.
 
-    Names of an article count if ``named``, but neither those of headers nor of its subjects.
+    Names of an article count if ``named``, but neither those of headers nor of its subjects.  On
+    the parts of a text ``inside`` a marked article an id is an anchor, whatever word it is.
     """
     if tag in ("header", "hgroup"):
         return "header"
@@ -99,8 +103,11 @@ def _kind(tag: str, attributes: str, named: bool = True) -> str:
             if tag == "article":
                 value = " ".join(v for v in value.split() if _PARTS.split(v)[0] not in ABOUT)
             parts = _PARTS.split(value)
+            names = COMMENTS if name == "id" and inside and tag in ANCHORED else NAMES
+            if names is COMMENTS and tag in HEADINGS:
+                continue
             for before, part in zip(["", *parts], parts, strict=False):
-                if before not in BESIDE and NAMES.fullmatch(part):
+                if before not in BESIDE and names.fullmatch(part):
                     if HEADER_NAMES.fullmatch(part):
                         found = found if tag == "article" else "header"
                     else:
@@ -108,17 +115,29 @@ def _kind(tag: str, attributes: str, named: bool = True) -> str:
     return found
 
 
+class Line(NamedTuple):
+    """A block of a page: characters in links, whether in a marked article, whether a title."""
+
+    text: str
+    linked: int = 0
+    inside: bool = False
+    title: bool = False
+
+
 class _Lines:
-    """Lines of a page: ``text``, characters in links, and whether inside a marked article."""
+    """Lines of a page, from its events; every open element is found in constant time."""
 
     def __init__(self, closed: set[int], holding: set[int], named: bool) -> None:
         self.closed, self.holding, self.named = closed, holding, named  # starts, by number
         self.begun: list[int] = []  # numbers of the starts in the stack
         self.marks: list[int] = []  # heights of the articles outside furniture
-        self.lines: list[tuple[str, int, bool]] = []
+        self.lines: list[Line] = []
         self.stack: list[str] = []
+        self.at: dict[str, list[int]] = {}  # heights of the open elements of each name
+        self.blocks: list[int] = []  # heights of the open blocks but paragraphs
         self.pieces: list[str] = []
         self.linked = 0
+        self.title = False
         self.skip: int | None = None  # height of the stack at the furniture being left out
         self.header = False  # the furniture is a header
 
@@ -127,24 +146,29 @@ class _Lines:
             return
         part = html.unescape(part)
         self.pieces.append(part)
-        if "a" in self.stack[-6:]:
+        self.title |= bool(self.at.get("h1"))
+        if self.at.get("a"):
             self.linked += len(part.split() and part.strip())
 
     def _in_heading(self) -> bool:
-        return not HEADINGS.isdisjoint(self.stack[self.skip :])
+        return any(heights[-1] >= self.skip for h in HEADINGS if (heights := self.at.get(h)))
 
     def end_line(self) -> None:
         if self.pieces:
             line = " ".join("".join(self.pieces).split())
             if line:
-                self.lines.append((line, self.linked, bool(self.marks)))
-            self.pieces, self.linked = [], 0
+                self.lines.append(Line(line, self.linked, bool(self.marks), self.title))
+            self.pieces, self.linked, self.title = [], 0, False
 
     def blank(self) -> None:
-        self.lines.append(("", 0, False))
+        self.lines.append(Line(""))
 
     def _cut(self, height: int) -> None:
         """Close every element above ``height``."""
+        for tag in reversed(self.stack[height:]):
+            self.at[tag].pop()
+        while self.blocks and self.blocks[-1] >= height:
+            self.blocks.pop()
         del self.stack[height:]
         del self.begun[height:]
         while self.marks and self.marks[-1] >= height:
@@ -157,12 +181,10 @@ class _Lines:
         """Close what a start tag ends: an open paragraph, or an earlier item of the same list."""
         inner = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "option": ("option",)}
         ends = inner.get(tag, ()) + (("p",) if tag in BLOCKS else ())
-        for height in range(len(self.stack) - 1, -1, -1):
-            if self.stack[height] in ends:
-                self._cut(height)
-                return
-            if self.stack[height] in BLOCKS and self.stack[height] != "p":
-                return
+        height = max((self.at[t][-1] for t in ends if self.at.get(t)), default=-1)
+        # A block that was opened since keeps what is around it open.
+        if height >= 0 and not (self.blocks and self.blocks[-1] > height):
+            self._cut(height)
 
     def start(self, tag: str, attributes: str, number: int) -> None:
         if tag in BLOCKS:
@@ -173,7 +195,8 @@ class _Lines:
         kind = ""
         if self.skip is None or tag in ("article", "main"):
             # A form around the article is no furniture for being a form.
-            kind = _kind("div" if number in self.holding else tag, attributes, self.named)
+            shown = "div" if number in self.holding else tag
+            kind = _kind(shown, attributes, self.named, bool(self.marks))
         if tag in ("article", "main") and not kind:
             if self.skip is not None and self.begun[self.skip] not in self.closed:
                 self._cut(self.skip)  # furniture that was never closed
@@ -184,16 +207,17 @@ class _Lines:
         if self.skip is None and kind:
             self.end_line()
             self.skip, self.header = len(self.stack), kind == "header"
+        self.at.setdefault(tag, []).append(len(self.stack))
+        if tag in BLOCKS and tag != "p":
+            self.blocks.append(len(self.stack))
         self.stack.append(tag)
         self.begun.append(number)
 
     def end(self, tag: str) -> None:
         if tag in BLOCKS:
             self.end_line()
-        for height in range(len(self.stack) - 1, -1, -1):
-            if self.stack[height] == tag:
-                self._cut(height)
-                return
+        if heights := self.at.get(tag):
+            self._cut(heights[-1])
 
 
 def _outline(events: list[tuple]) -> tuple[set[int], set[int], set[str]]:
@@ -257,12 +281,12 @@ def _events(page: str) -> list[tuple]:
     return events
 
 
-def page_lines(page: str) -> list[tuple[str, int, bool]]:
+def page_lines(page: str) -> list[Line]:
     events = _events(page)
     marked = any(tag in ("article", "main") for _, tag, _ in events)
     closed, holding, left = _outline(events) if marked else (set(), set(), set())
 
-    def read(closed: set[int], named: bool) -> list[tuple[str, int, bool]]:
+    def read(closed: set[int], named: bool) -> list[Line]:
         lines = _Lines(closed, holding, named)
         for number, (text, tag, attributes) in enumerate(events):
             if not tag:
@@ -274,11 +298,11 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
         lines.end_line()
         return lines.lines
 
-    def size(lines: list[tuple[str, int, bool]]) -> int:
-        return sum(len(text) for text, _, _ in lines)
+    def size(lines: list[Line]) -> int:
+        return sum(len(x.text) for x in lines)
 
     found = read(closed, True)
-    if marked and not any(inside and text for text, _, inside in found):
+    if marked and not any(x.inside and x.text for x in found):
         unsure = {n for n in closed if events[n][1] in left}
         if unsure:
             # An end may have closed another element than it was meant for: the larger text tells.
@@ -289,42 +313,46 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
     return found
 
 
-def main_lines(lines: list[tuple[str, int, bool]], window: int = WINDOW, surge: int = SURGE) -> list[str]:
-    """The lines between surges and dives of the windowed length."""
-    marked = any(inside and text for text, _, inside in lines)
-    if marked:
-        # Where the marked lines are a small part of the prose, the marks are not of the main text.
-        prose = [(len(t), inside) for t, linked, inside in lines if 2 * linked <= len(t) and (inside or len(t) >= surge)]
-        if PART * sum(n for n, inside in prose if inside) < sum(n for n, inside in prose if not inside):
-            marked = False
-    sizes = np.array([len(text) for text, _, _ in lines], np.int64)
-    links = np.array([2 * linked > len(text) for text, linked, _ in lines], bool)
+def line_weights(lines: list[Line], surge: int = SURGE) -> np.ndarray:
+    """Lengths of the lines as the distribution counts them: what the tags say is evidence.
+
+    Lines that are mostly links count nothing.  Where the page marks its article, lines outside it
+    count nothing either, and lines inside it count as a surge each, links included, unless the
+    marked lines are a small part of the prose: then the marks are not of the main text.
+    """
+    sizes = np.array([len(x.text) for x in lines], np.int64)
+    links = np.array([2 * x.linked > len(x.text) for x in lines], bool)
+    inside = np.array([x.inside for x in lines], bool)
+    prose = np.where(links | ~inside & (sizes < surge), 0, sizes)
+    marked = (sizes[inside] > 0).any() and PART * prose[inside].sum() >= prose[~inside].sum()
     if marked:
-        sizes[[not inside for _, _, inside in lines]] = 0
-        # A linked line of an article may be its heading; a row of them is a list of links.
-        edges = np.flatnonzero(np.diff(np.concatenate([[0], links, [0]])))
-        for begin, end in edges.reshape(-1, 2).tolist():
-            if end - begin < LINKS:
-                links[begin:end] = False
-    if not marked or (sizes[~links] > 0).any():
-        sizes[links] = 0
-    if not sizes.any():
+        return np.where(inside & (sizes > 0), np.maximum(sizes, surge), 0)
+    return np.where(links, 0, sizes)
+
+
+def main_lines(lines: list[Line], window: int = WINDOW, surge: int = SURGE) -> list[str]:
+    """The lines between surges and dives of the windowed weight.
+
+    The text begins where the sum over the next ``window`` lines surges, or, where only short lines
+    part it from a title, at the title; it ends where the sum dives to nothing.  A page on which
+    nothing surges begins at its largest sum.
+    """
+    weights = line_weights(lines, surge)
+    if not weights.any():
         return []
-    sums = np.concatenate([[0], np.cumsum(np.append(sizes, np.zeros(window, np.int64)))])
-    sums = sums[window:] - sums[:-window]
-    # Marked lines that surge nowhere are a short article; all of it is kept.
-    least = 1 if marked and sums.max() < surge else min(surge, int(sums.max()))
-    kept, start = [], None
-    for i, total in enumerate(sums[: len(lines) + 1]):
+    sums = np.concatenate([[0], np.cumsum(np.append(weights, np.zeros(window, np.int64)))])
+    sums = (sums[window:] - sums[:-window]).tolist()
+    least = min(surge, max(sums))
+    kept, start, done = [], None, 0
+    for i, total in enumerate([*sums[: len(lines)], 0]):
         if start is None and total >= least:
-            start = i
-            while marked and start and sums[start - 1]:
-                start -= 1  # short lines at the head of the article
+            start, j = i, i
+            while j > done and weights[j - 1]:
+                j -= 1
+                start = j if lines[j].title else start
         elif start is not None and total == 0:
-            kept += [lines[j][0] for j in range(start, i) if sizes[j]]
-            start = None
-    if start is not None:
-        kept += [lines[j][0] for j in range(start, len(lines)) if sizes[j]]
+            kept += [lines[j].text for j in range(start, i) if weights[j]]
+            start, done = None, i
     return kept
 
 
