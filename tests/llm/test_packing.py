@@ -13,9 +13,7 @@ PATH = f"{TOKENIZERS}/byte_bpe_50k.json"
 def library():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def test_both_libraries_split_plain_characters_alike():
@@ -33,6 +31,11 @@ def test_encoder(text):
     assert ids == library().encode(text, add_special_tokens=False).ids
 
 
+def test_special_strings_are_the_library_s():
+    ids = np.frombuffer(packing.Encoder(PATH).encode("a <|endoftext|> b"), "<u4").tolist()
+    assert ids == [64, 220, 50256, 275]
+
+
 @given(st.lists(st.integers(1, 16), max_size=40), st.integers(0, 10))
 @settings(max_examples=60, deadline=None)
 def test_assign_never_overfills(lengths, n):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from functools import wraps
 
@@ -15,7 +16,7 @@ from .common import pick, small_batches, table
 from .oracles import ORACLES  # noqa: F401 - part of the contract of this module
 
 #: Folder of public vocabularies; their files are only read.
-TOKENIZERS = "/opt/tokenizers"
+TOKENIZERS = os.path.dirname(public_tokenizers.path("byte_bpe_50k.json"))
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -83,7 +84,7 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every document in sequences of 2048 tokens."""
     docs = table(spark, sf_dir, "documents")
-    return packing.pack_documents(docs, f"{TOKENIZERS}/byte_bpe_50k.json")
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 @_query
