@@ -54,6 +54,53 @@ def test_against_brute_force(docs_of, seed, depth):
     assert operator(docs_of(rows), depth) == brute(rows, depth)
 
 
+def plain_starts(strings, docs, depth):
+    least = {}
+    for s, d in zip(strings, docs, strict=True):
+        for p in range(len(s) - depth + 1):
+            least[s[p : p + depth]] = min(d, least.get(s[p : p + depth], d))
+    return [[p for p in range(len(s) - depth + 1) if least[s[p : p + depth]] < d] for s, d in zip(strings, docs, strict=True)]
+
+
+@pytest.mark.parametrize("block", [50, 400, 4000])
+def test_large_groups_are_parted_by_content(monkeypatch, block):
+    monkeypatch.setattr(S, "BLOCK", block)
+    rnd = random.Random(block)
+    phrase = b"all rights reserved by the owner"
+    side = lambda k: bytes(rnd.choice(b"abc ") for _ in range(k))
+    strings = [side(rnd.randint(0, 25)) + phrase + side(rnd.randint(0, 25)) for _ in range(150)]
+    strings += [rnd.choice(strings)[rnd.randint(0, 4) :] for _ in range(80)] + [b"", b"short", "é".encode() * 40]
+    docs = np.array([rnd.randint(0, 60) for _ in strings])
+    for depth in (20, 40, 50):
+        got = [x.tolist() for x in S.bounded_starts(strings, docs, depth)]
+        assert got == plain_starts(strings, docs, depth)
+
+
+def test_hot_phrase_in_bounded_memory():
+    """One phrase in 60,000 stretches, each with other words around it, sorted in small blocks."""
+    rnd = random.Random(3)
+    sizes = []
+    real = S.sorted_suffixes
+
+    def counted(text, depth):
+        sizes.append(len(text))
+        return real(text, depth)
+
+    letters = b"abcdefghijklmnopqrstuvwxyz "
+    side = lambda: bytes(rnd.choices(letters, k=24))
+    strings = [side() + b"this text is under a free licence" + side() for _ in range(60_000)]
+    strings += strings[:500]
+    docs = np.arange(len(strings))
+    S.sorted_suffixes = counted
+    try:
+        got = S.bounded_starts(strings, docs, 50)
+    finally:
+        S.sorted_suffixes = real
+    assert max(sizes) <= 3 * S.BLOCK and sum(map(len, strings)) > 8 * S.BLOCK
+    want = plain_starts(strings, docs, 50)
+    assert [x.tolist() for x in got] == want and all(want[-500:])
+
+
 def test_edges(docs_of):
     long = "the quick brown fox jumps over the lazy dog and runs on and on into the dark woods"
     rows = [(5, long), (5, long), (5, long + "!"), (6, None), (7, ""), (None, long), (8, "x" + long), (9, long[:49]), (-1, long[:60])]

@@ -37,6 +37,10 @@ WORD = 20
 PART = 1 << 22
 #: Bytes of stretches a task holds before it sends them, and of text in one sorted block.
 FLUSH, BLOCK = 16 << 20, 1 << 19
+#: Words whose least hash parts a group that is larger than a block, level by level.
+SPLIT_WORDS = (8, 6, 10)
+#: Bytes of stretches that a task remembers so as not to send them again.
+REMEMBERED = 64 << 20
 _MULTIPLIER = U64(0x9E3779B97F4A7C15)
 
 
@@ -53,17 +57,22 @@ def minimizers(text: bytes, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def _part_minimizers(text: bytes, depth: int, base: int):
-    word = min(WORD, (depth + 1) // 2)
-    window = depth - word + 1
-    hashes = mix64(np.frombuffer(text, np.uint8).astype(U64) + U64(1))
+def _word_hashes(text: bytes, word: int, seed: int = 1) -> np.ndarray:
+    """Hash of every substring of ``word`` bytes."""
+    hashes = mix64(np.frombuffer(text, np.uint8).astype(U64) + U64(seed))
     span = 1
     while span < word:
         step = min(span, word - span)
         right = hashes[step:]
         hashes = hashes[: len(right)] * _MULTIPLIER + (right ^ (right >> U64(29)))
         span += step
-    hashes = mix64(hashes)
+    return mix64(hashes)
+
+
+def _part_minimizers(text: bytes, depth: int, base: int):
+    word = min(WORD, (depth + 1) // 2)
+    window = depth - word + 1
+    hashes = _word_hashes(text, word)
     n = len(hashes)
     # High bits of the hash, then the distance from the end: least means rightmost of the least.
     best = (hashes & ~U64((1 << 23) - 1)) | np.arange(n - 1, -1, -1, dtype=U64)
@@ -153,6 +162,87 @@ def shared_starts(strings: list[bytes], docs: np.ndarray, depth: int) -> list[np
     return np.split(offset[hit], cuts)
 
 
+def _content_runs(strings: list[bytes], depth: int, level: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Runs of strings of ``depth`` bytes with one key: string, first start, last start and key.
+
+    Like the minimizer, the key depends on the ``depth`` bytes alone: it is the least hash of their
+    words, with a seed and a word length of its level, and on the last level their own hash.
+    """
+    word = min(SPLIT_WORDS[level], depth) if level < len(SPLIT_WORDS) else depth
+    done = 0
+    while done < len(strings):
+        size, end = 0, done
+        while end < len(strings) and (end == done or size < BLOCK):
+            size += len(strings[end])
+            end += 1
+        part = strings[done:end]
+        lengths = np.array([len(x) for x in part])
+        best = _word_hashes(b"".join(part), word, 1000 * (level + 1))
+        width, reach = depth - word + 1, 1
+        while 2 * reach <= width:
+            best = np.minimum(best[:-reach], best[reach:])
+            reach *= 2
+        if width > reach:
+            best = np.minimum(best[: reach - width], best[width - reach :])
+        counts = np.maximum(lengths - depth + 1, 0)
+        owner = np.repeat(np.arange(len(part)), counts)
+        start = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        key = best[np.repeat(np.cumsum(lengths) - lengths, counts) + start]
+        new = np.append(True, (key[1:] != key[:-1]) | (owner[1:] != owner[:-1]))[: len(key)]
+        first = np.flatnonzero(new)
+        last = np.append(first[1:] - 1, len(key) - 1)[: len(first)]
+        yield owner[first] + done, start[first], start[last], key[first]
+        done = end
+
+
+def bounded_starts(strings: list[bytes], docs: np.ndarray, depth: int, level: int = 0) -> list[np.ndarray]:
+    """As :func:`shared_starts`, in blocks of about ``BLOCK`` bytes however large the group is.
+
+    A larger group is parted by the content of its strings of ``depth`` bytes, so equal ones stay
+    together; parts that are still too large are parted again.  Runs of equal bytes count once, for
+    the smallest document that has them: for all others they are shared.  A share of the keys at a
+    time is looked at, which bounds the memory, too.
+    """
+    total = sum(map(len, strings)) + len(strings)
+    if total <= 2 * BLOCK or level > len(SPLIT_WORDS):
+        return shared_starts(strings, docs, depth)
+    found: list[list[np.ndarray]] = [[] for _ in strings]
+    for turn in range(turns := -(-total // (8 * BLOCK))):
+        # By key: bytes of a run -> the places (string, start) that have it.
+        parts: dict[int, dict[bytes, list[tuple[int, int]]]] = {}
+        for owner, first, last, key in _content_runs(strings, depth, level):
+            own = np.flatnonzero(key % U64(turns) == turn)
+            for i, a, b, k in zip(*(x[own].tolist() for x in (owner, first, last, key)), strict=True):
+                parts.setdefault(k, {}).setdefault(strings[i][a : b + depth], []).append((i, a))
+        pieces: list[bytes] = []
+        places: list[list[tuple[int, int]]] = []
+        held = 0
+
+        def search() -> None:
+            least = np.array([min(docs[i] for i, _ in p) for p in places], np.int64)
+            finder = bounded_starts(pieces, least, depth, level + 1)
+            for piece, low, starts, where in zip(pieces, least, finder, places, strict=True):
+                whole = np.arange(len(piece) - depth + 1)
+                for i, a in where:
+                    here = whole if docs[i] > low else starts
+                    if len(here):
+                        found[i].append(here + a)
+
+        for runs in parts.values():
+            for piece, where in runs.items():
+                if len(runs) > 1 or len(where) > 1:
+                    pieces.append(piece)
+                    places.append(where)
+                    held += len(piece) + 1
+            if held >= BLOCK:
+                search()
+                pieces, places, held = [], [], 0
+        if pieces:
+            search()
+    none = np.zeros(0, np.int64)
+    return [np.unique(np.concatenate(f)) if f else none for f in found]
+
+
 def runs_of(starts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Maximal runs of bytes covered by strings of ``depth`` bytes at ascending ``starts``."""
     if not len(starts):
@@ -361,7 +451,7 @@ def _cut_stretches(depth: int, blocks: int):
         ids, hashes, copies = [], [], set()
         ready = False
         first_in: dict[bytes, int] = {}
-        home, held = 0, 0
+        home, held, remembered = 0, 0, 0
         send: list[tuple] = []  # (hash, number of the document, start, stretch)
         sources: list[tuple[int, int]] = []  # documents of what is held: (doc, tag)
         marks: list[np.ndarray] = []
@@ -430,7 +520,11 @@ def _cut_stretches(depth: int, blocks: int):
                             known.append(True)
                             continue
                         known.append(False)
+                        if remembered >= REMEMBERED:  # what is forgotten is sent once more
+                            first_in.clear()
+                            remembered = 0
                         first_in[stretch] = doc
+                        remembered += len(stretch) + 100
                         send.append((h, len(sources) - 1, s, stretch))
                         held += len(stretch) + 40
                     if any(known):
@@ -500,7 +594,7 @@ def _find_repeats(depth: int):
 
         def search() -> None:
             smallest = np.array(least, np.int64)
-            for starts, places, low in zip(shared_starts(strings, smallest, depth), holders, least, strict=True):
+            for starts, places, low in zip(bounded_starts(strings, smallest, depth), holders, least, strict=True):
                 if not len(starts):
                     continue
                 begins, ends = runs_of(starts, depth)
