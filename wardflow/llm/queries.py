@@ -50,7 +50,7 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pick(table(spark, sf_dir, "documents"), doc_id="doc_id", source="source", text="text")
     words = F.coalesce(F.regexp_count("text", F.lit(r"\S+")), F.lit(0))
     mixed = mixing.mix_sources(docs, words, max_repeats=1.5)
-    return mixed.select("doc_id", "source", "mix_epoch", "mix_order.block", "mix_order.row")
+    return mixed.select("doc_id", "source", "mix_epoch", "mix_order.place", "mix_order.block", "mix_order.row")
 
 
 @_query
