@@ -90,7 +90,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     counted = materialise(_with_tokens(_documents(docs)), "mix-tokens")
     mixed = mixing.mix_sources(counted, F.col("n_tokens"), max_repeats=MAX_REPEATS)
     # Rows of equal ids have one place in the order; their texts part them.
-    order = ("mix_epoch", "mix_order", F.xxhash64("text"))
+    order = ("mix_order", F.xxhash64("text"))
     mixed = mixed.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
     return mixed.select(*COLUMNS)
 
