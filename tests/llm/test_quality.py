@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 from wardflow.llm import quality as Q
 
 
@@ -69,3 +70,17 @@ def test_dual_coordinate_descent_reaches_the_optimum():
     best = loss(w, b)
     for _ in range(300):
         assert loss(w + rng.normal(0, 0.01, 30), b + rng.normal(0, 0.01)) >= best - 1e-3
+
+
+def test_filter_keeps_every_labelled_row(spark, monkeypatch):
+    """All ids of the labels pass, at a size where few others do and at one where most do."""
+    docs = spark.range(-3000, 3000).select(F.col("id").alias("doc_id"), F.lit("text").alias("text"))
+    docs = docs.union(spark.createDataFrame([(None, "x"), (2**63 - 1, "y"), (-(2**63), "z")], "doc_id long, text string"))
+    known = docs.filter("doc_id % 7 = 0 or abs(doc_id / 2) > 4000").select("doc_id", F.lit(1).alias("label"))
+    ids = {r[0] for r in known.select("doc_id").collect()}
+    for size, others in ((1 << 26, 10), (1 << 8, 6000)):
+        monkeypatch.setattr(Q, "FILTER_BITS", size)
+        passed = [r[0] for r in Q._maybe_labelled(docs, known).select("doc_id").collect()]
+        assert ids <= set(passed) and len(passed) - len(ids) <= others
+    monkeypatch.setattr(Q, "FILTER_BITS", 1 << 26)
+    assert Q._maybe_labelled(docs, known.limit(0)).count() == 0

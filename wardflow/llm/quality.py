@@ -26,6 +26,8 @@ SPACE = 1 << 18
 #: Most rows of each class that the support vector machine is fitted to.
 FIT_ROWS = 6_000
 MEMO_WORDS = 300_000
+#: Bits of the filter for labelled ids: 8 MB of bitmaps at most, however many labels there are.
+FILTER_BITS = 1 << 26
 _WORD = re.compile(r"\S+")
 _RUNS = (
     (re.compile(r"[^\W\d_]+"), lambda m: "A" if m[0].isupper() and len(m[0]) > 1 else _cased(m[0])),
@@ -128,6 +130,23 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def _maybe_labelled(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows whose id may be among those of ``known``: all that are, and few others.
+
+    Ids are hashed to bits of bitmaps of 4 KB, which are broadcast: at most ``FILTER_BITS`` bits in
+    all.  When labels outgrow them more rows pass, and the join that follows drops those.
+    """
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    bits = known.groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")
+    )
+    place = F.bitmap_bit_position(slot)
+    octet = F.conv(F.hex(F.substring("bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10)
+    found = F.getbit(octet.cast("long"), (place % 8).cast("int")) == 1
+    same = (F.bitmap_bucket_number(slot) == F.col("bucket")) & found
+    return docs.join(F.broadcast(bits), same, "left_semi")
+
+
 def train_quality(
     docs: DataFrame,
     labels: DataFrame,
@@ -152,10 +171,11 @@ def train_quality(
     known = pick(labels, doc_id=id_col, label=label_col)
     known = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int"))
     known = known.filter(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
-    known = known.groupBy("doc_id").agg(F.min("label").alias("label"))
+    known = materialise(known.groupBy("doc_id").agg(F.min("label").alias("label")), "quality-labels")
     sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     taken = {k: min(1 << 30, (fit_rows << 30) // max(n, 1)) for k, n in sizes.items()}
-    features = _features(id_and_text(docs, id_col, text_col).filter(~held_out(F.col("doc_id"))), space)
+    texts = id_and_text(docs, id_col, text_col).filter(~held_out(F.col("doc_id")))
+    features = _features(_maybe_labelled(texts, known), space)
     limit = F.when(F.col("label") == 1, taken.get(1, 0)).otherwise(taken.get(0, 0))
     # Labels grow with the documents, so they are never broadcast.
     train = features.join(known.hint("merge"), "doc_id").select(
