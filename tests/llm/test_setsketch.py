@@ -116,3 +116,41 @@ def test_components(spark):
     want = sorted((v, find(v)) for v in parent)
     assert sorted(map(tuple, connected_components(df).collect())) == want
     assert connected_components(df.limit(0)).count() == 0
+
+
+def test_members_outside_the_main_class_of_a_large_group(docs_of, monkeypatch):
+    """One class of close copies, stragglers that reach no copy or only each other, and a chain."""
+    monkeypatch.setattr(S, "BUCKET_CHUNK", 16)
+    monkeypatch.setattr(S, "GROUP_CHUNK", 8)
+    base = [f"w{i}" for i in range(200)]
+    rows = [(i * 7 % 101, " ".join([*base, f"end{i}"])) for i in range(60)]
+    for k in range(20):  # shares 70 to 85 % of the shingles with the copies
+        changed = 20 + 2 * k
+        rows.append((200 + k, " ".join(base[changed:] + [f"s{k % 7}x{i}" for i in range(changed)])))
+    for k in range(12):  # each links with the next, the first with the copies
+        rows.append((300 - k, " ".join(base[8 * k :] + [f"c{i}" for i in range(8 * k)])))
+    got = sorted(map(tuple, S.near_duplicates(docs_of(rows), words=2).collect()))
+    assert got == brute(rows, 2)
+    assert len({r[2] for r in got}) > 2
+
+
+def test_texts_of_a_large_group_move_a_bounded_number_of_times(spark, monkeypatch):
+    monkeypatch.setattr(S, "GROUP_CHUNK", 10)
+    rows = [(1, i, 1000, 40, i < 1000) for i in range(1040)]
+    met = S._met_in_chunks(spark.createDataFrame(rows, "component long, rep long, n_main long, n_rest long, main boolean"))
+    copies = {r["main"]: r["count"] for r in met.groupBy("main").count().collect()}
+    assert copies == {True: 1000 * 4, False: 40 * (100 + 4 - 1)}
+    pairs = {(r["low"], r["high"]) for r in met.select("low", "high").collect()}
+    assert pairs == {(i, j) for i in range(104) for j in range(100, 104) if i < j}
+
+
+def test_a_group_of_one_class_is_settled_by_the_first_look(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(S, "GROUP_CHUNK", 10)
+    members = spark.createDataFrame([(5, i, 30) for i in range(30)], "component long, rep long, n long")
+    star = spark.createDataFrame([(0, i) for i in range(1, 30)], "a long, b long")
+    assert S._open_members(members, star).count() == 0
+    left = S._open_members(members, star.filter("b < 20"))
+    assert {tuple(r) for r in left.select("n_main", "n_rest").collect()} == {(20, 10)}
+    assert left.filter("main").count() == 20
+    none = S._open_members(members, star.limit(0))
+    assert {tuple(r) for r in none.select("n_main", "n_rest", "main").collect()} == {(0, 30, False)}

@@ -10,6 +10,11 @@ reach the threshold at all, and full sets decide.
 Equal sets are one class throughout, however many documents have them.  No pair is written out:
 a task that looks at a bucket, or at a group of candidates, returns a spanning forest of what it
 found.  Large buckets and groups are cut into chunks, and each two chunks meet in one task.
+
+A group of candidates beyond one chunk is looked at twice.  First each member meets one other, the
+smallest that the likelihood gave it, so that a text moves about twice however large the group is.
+The largest class that these true links make need not be compared within itself: then only the
+members outside of it meet each other and the class, and a group that is one class is done.
 """
 
 from __future__ import annotations
@@ -19,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
@@ -263,15 +268,131 @@ def _candidate_edges(classes: DataFrame, least: float, ratio: float) -> DataFram
     return rows.mapInArrow(run, "a long, b long")
 
 
+def _members(candidates: DataFrame, edges: DataFrame) -> DataFrame:
+    """Members of candidate groups: ``rep``, ``component`` and its size ``n``, and their first look.
+
+    ``hub`` is the smallest member that an edge leads to, if smaller than ``rep``; ``n_leaves`` is
+    the number of members with that hub, ``n_own`` of those whose hub is ``rep``.
+    """
+    sizes = candidates.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    ends = edges.select(F.greatest("a", "b").alias("rep"), F.least("a", "b").alias("hub"))
+    hubs = ends.groupBy("rep").agg(F.min("hub").alias("hub"))
+    fan = hubs.groupBy("hub").agg(F.count(F.lit(1)).alias("n_leaves"))
+    own = fan.select(F.col("hub").alias("rep"), F.col("n_leaves").alias("n_own"))
+    return (
+        candidates.withColumnRenamed("vertex", "rep")
+        .join(sizes, "component")
+        .join(hubs.join(fan, "hub"), "rep", "left")
+        .join(own, "rep", "left")
+    )
+
+
+def _chunks(n: str) -> Column:
+    return F.ceil(F.col(n) / GROUP_CHUNK).cast("int")
+
+
+def _dealt(member: str, chunks: Column) -> Column:
+    return F.pmod(F.xxhash64(member), F.greatest(chunks, F.lit(1))).cast("int")
+
+
+def _first_links(texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """True links between members and their hubs, for groups of more than a chunk.
+
+    The leaves of a hub are dealt to chunks of their own; only the hub's text goes to each of them.
+    """
+    n = partitions(texts.sparkSession)
+    large = texts.filter(F.col("n") > GROUP_CHUNK)
+    leaves = large.filter("hub is not null").select(
+        "hub", _dealt("rep", _chunks("n_leaves")).alias("chunk"), F.lit(1).alias("leaf"), "rep", "text"
+    )
+    heads = large.filter("n_own is not null").select(
+        F.col("rep").alias("hub"),
+        F.explode(F.sequence(F.lit(0), _chunks("n_own") - 1)).alias("chunk"),
+        F.lit(0).alias("leaf"),
+        "rep",
+        "text",
+    )
+    rows = (
+        leaves.unionByName(heads)
+        .repartition(n, "hub", "chunk")
+        .sortWithinPartitions("hub", "chunk", "leaf", "rep")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in groups(batches, 2):
+            heads, found = [], []
+            columns = rows[2].to_pylist(), rows[3].to_pylist(), strings(rows[4])
+            for leaf, rep, text in zip(*columns, strict=True):
+                mine = shingle_set(words_of(text), words)
+                if not leaf:
+                    heads.append(mine)
+                    continue
+                both = ((len(mine & head), len(mine) + len(head)) for head in heads)
+                if any(100 * same >= percent * (total - same) for same, total in both):
+                    found.append(rep)
+            if found:
+                yield batch(_LINKS, ([rows[0][0].as_py()] * len(found), found))
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
+def _open_members(members: DataFrame, first: DataFrame) -> DataFrame:
+    """Members of large groups that the first look left open, with ``n_main``, ``n_rest`` and ``main``.
+
+    Groups of one class are done.  If the largest class of one exceeds a chunk it is ``main``, with
+    the smaller label if two are as large; all others are the rest.
+    """
+    of_class = connected_components(first).select(F.col("vertex").alias("rep"), F.col("component").alias("class"))
+    looked = (
+        members.filter(F.col("n") > GROUP_CHUNK)
+        .select("component", "rep")
+        .join(of_class, "rep", "left")
+        .select("component", "rep", F.coalesce("class", "rep").alias("class"))
+    )
+    classes = looked.groupBy("component", "class").agg(F.count(F.lit(1)).alias("n_class"))
+    top = F.min(F.struct((-F.col("n_class")).alias("less"), F.col("class")))
+    groups_left = (
+        classes.groupBy("component")
+        .agg(F.sum("n_class").alias("n"), F.count(F.lit(1)).alias("classes"), top.alias("top"))
+        .filter("classes > 1")
+        .select("component", "n", F.when(-F.col("top.less") > GROUP_CHUNK, F.col("top")).alias("top"))
+    )
+    n_main = F.coalesce(-F.col("top.less"), F.lit(0))
+    return looked.join(groups_left, "component").select(
+        "component",
+        "rep",
+        n_main.alias("n_main"),
+        (F.col("n") - n_main).alias("n_rest"),
+        F.coalesce(F.col("class") == F.col("top.class"), F.lit(False)).alias("main"),
+    )
+
+
+def _met_in_chunks(rows: DataFrame) -> DataFrame:
+    """Members copied to every two chunks in which they are compared: ``low`` and ``high``.
+
+    Chunks of the main class meet those of the rest, chunks of the rest meet all but themselves;
+    a group of one chunk meets itself.
+    """
+    m, r = _chunks("n_main"), _chunks("n_rest")
+    own = F.when(F.col("main"), _dealt("rep", m)).otherwise(m + _dealt("rep", r))
+    other = F.explode(F.sequence(F.when(F.col("main"), m).otherwise(F.lit(0)), m + r - 1))
+    return (
+        rows.select("*", own.alias("own"), (m + r).alias("chunks"), other.alias("other"))
+        .filter("own <> other or chunks = 1")
+        .withColumn("low", F.least("own", "other"))
+        .withColumn("high", F.greatest("own", "other"))
+    )
+
+
 def _verified_links(texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Spanning forests of the true links within candidate groups, from full sets of shingles.
 
-    ``texts`` has ``component``, ``n`` (its members), ``rep`` and ``text``.
+    ``texts`` has the columns of :func:`_open_members` and ``text``; small groups are all rest.
     """
     n = partitions(texts.sparkSession)
-    rows = _chunked(texts, "component", "n", "rep", GROUP_CHUNK)
     rows = (
-        rows.select("component", "low", "high", "rep", "text")
+        _met_in_chunks(texts)
+        .select("component", "low", "high", "rep", "text")
         .repartition(n, "component", "low", "high")
         .sortWithinPartitions("component", "low", "high", "rep")
     )
@@ -335,13 +456,19 @@ def near_duplicates(
     classes = materialise(classes, "sketch-classes")
     share = percent / 100
     least = share - MARGIN * (share * (1 - share) / REGISTERS) ** 0.5
-    candidates = connected_components(_candidate_edges(classes, max(least, 0.0), share))
-    sizes = candidates.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
-    members = candidates.join(sizes, "component").withColumnRenamed("vertex", "rep")
+    edges = materialise(_candidate_edges(classes, max(least, 0.0), share), "sketch-edges")
+    members = materialise(_members(connected_components(edges), edges), "sketch-members")
     # Nothing here has a bound on its size, so nothing is broadcast, however few rows there are.
     texts = id_and_text(df, id_col, text_col).withColumnRenamed("doc_id", "rep")
-    texts = texts.join(members.hint("merge"), "rep")
-    links = connected_components(_verified_links(texts, words, percent))
+    texts = materialise(texts.join(members.hint("merge"), "rep"), "sketch-texts")
+    first = materialise(_first_links(texts, words, percent), "sketch-links")
+    small = texts.filter(F.col("n") <= GROUP_CHUNK).select(
+        "component", "rep", F.lit(0).cast("long").alias("n_main"), F.col("n").alias("n_rest"), F.lit(False).alias("main"), "text"
+    )
+    large = texts.filter(F.col("n") > GROUP_CHUNK).select("rep", "text")
+    large = large.join(_open_members(members, first).hint("merge"), "rep")
+    met = _verified_links(small.unionByName(large), words, percent)
+    links = connected_components(first.unionByName(met))
     of_class = classes.join(links, classes["rep"] == links["vertex"], "left").select(
         "set_key", "rep", F.coalesce("component", "rep").alias("component")
     )
