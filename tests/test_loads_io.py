@@ -394,6 +394,18 @@ def test_monitor_totals(spark, tmp_path):
     assert last["newest_time"] == "2150-01-01T00:16:00" and last["newest_sample"].count("\n") == 2
 
 
+def test_monitor_writes_times_of_one_width(spark, tmp_path):
+    metrics, times = str(tmp_path / "metrics"), ["2024-01-01 00:00:05", "2024-01-01 00:00:05.26"]
+    for batch, time in enumerate(times):
+        df = spark.range(1).select(F.lit(time).cast("timestamp_ntz").alias("ts"))
+        tables.write_table(df, str(tmp_path / "in"))
+        stream = readers.read_stream(spark, str(tmp_path / "in"), "ts TIMESTAMP_NTZ")
+        query = monitor.monitor(stream, metrics, str(tmp_path / "ck"), time_col="ts", available_now=True)
+        jobs.drain([query])
+    found = monitor.read_metrics(spark, metrics).orderBy("batch_id").collect()
+    assert [r["newest_time"] for r in found] == ["2024-01-01 00:00:05.000000", "2024-01-01 00:00:05.260000"]
+
+
 def test_schema_report_and_delivery(spark, tmp_path):
     report = monitor.schema_report(spark.createDataFrame([], CHART))
     assert report.count() == 11

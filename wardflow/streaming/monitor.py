@@ -42,7 +42,7 @@ def monitor(
         counted = batch.observe(seen, F.count(F.lit(1)).alias("n"))
         top = counted.orderBy(F.col(time_col).desc_nulls_last()).limit(newest)
         rows = top.select(
-            F.col(time_col).cast("string").alias("t"), F.to_json(F.struct("*")).alias("row")
+            _time_text(top, time_col).alias("t"), F.to_json(F.struct("*")).alias("row")
         ).collect()
         n = seen.get["n"]
         total = _total_before(spark, metrics, batch_id) + n
@@ -54,6 +54,15 @@ def monitor(
     return for_each_batch(stream, record, checkpoint, every, available_now)
 
 
+def _time_text(df: DataFrame, name: str) -> Column:
+    """A time as text, always with six digits of the second's fraction; text stays as it is."""
+    text = F.col(name).cast("string")
+    if not dict(df.dtypes)[name].startswith("timestamp"):
+        return text
+    second, fraction = (F.split_part(text, F.lit("."), F.lit(i)) for i in (1, 2))
+    return F.concat(second, F.lit("."), F.rpad(fraction, 6, "0"))
+
+
 def _total_before(spark: SparkSession, metrics: str, batch_id: int) -> int:
     if batch_id == 0:
         return 0
