@@ -54,6 +54,14 @@ def test_profile_and_preview(spark, tmp_path):
     assert readers.preview(spark, path, 1, 1.0).count() == 1
 
 
+def test_profile_tells_the_zeros_apart(spark):
+    for order in ([0.0, -0.0, None], [None, -0.0, 0.0]):
+        df = spark.createDataFrame([(x, x) for x in order], "x DOUBLE, y FLOAT").coalesce(1)
+        assert [tuple(r)[2:] for r in readers.profile(df).collect()] == [(2, "-0.0", "0.0")] * 2
+    ends = readers.profile(spark.createDataFrame([(2.5, None), (float("nan"), None)], "x DOUBLE, y DOUBLE"))
+    assert [tuple(r)[2:] for r in ends.collect()] == [(2, "2.5", "NaN"), (0, None, None)]
+
+
 def test_null_normalised(spark):
     df = spark.createDataFrame([(float("nan"), "a"), (1.0, None)], "x DOUBLE, y STRING")
     assert [r["x"] for r in readers.null_normalised(df).collect()] == [None, 1.0]

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,18 +109,29 @@ def read_stream(
 def profile(df: DataFrame) -> DataFrame:
     """One row per column: type, non-null count, smallest and largest value as text.
 
-    One aggregation over the whole table in one pass; the transposition works on one row.
+    One aggregation over the whole table in one pass; the transposition works on one row.  Of the
+    two zeros of a floating column -0.0 is the smaller, whichever is met first.
     """
     columns = [c for c, t in df.dtypes if not t.startswith(("array", "map", "struct"))]
     types = dict(df.dtypes)
+
+    def end(c: str, pick: Callable) -> Column:
+        if types[c] not in ("float", "double"):
+            return pick(c).cast("string")
+        value = F.col(c)
+        # The text tells the zeros apart, which compare as equal; "-" sorts before digits.
+        ranked = F.struct(value.alias("value"), F.when(value == 0, value.cast("string")).alias("zero"))
+        best = pick(F.when(value.isNotNull(), ranked))
+        return F.coalesce(best["zero"], best["value"].cast("string"))
+
     aggregated = df.agg(
         *[
             F.struct(
                 F.lit(c).alias("column_name"),
                 F.lit(types[c]).alias("data_type"),
                 F.count(c).alias("non_null"),
-                F.min(c).cast("string").alias("min_value"),
-                F.max(c).cast("string").alias("max_value"),
+                end(c, F.min).alias("min_value"),
+                end(c, F.max).alias("max_value"),
             ).alias(f"c{i}")
             for i, c in enumerate(columns)
         ]
