@@ -5,8 +5,11 @@ import re
 
 import pytest
 from conftest import TESTDATA
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from wardflow.plans import warehouse
 from wardflow.plans.views import ClinicalViews
 from wardflow.specs import QUERIES
 
@@ -80,3 +83,20 @@ def test_views_read_no_data(spark):
     views = ClinicalViews(spark, TESTDATA)
     views.register()
     assert spark.table("clinical_stays").columns == views.stays.columns
+
+
+def test_micro_source_shuffles_and_sorts_its_lines_once(no_auto_broadcast, plan_of):
+    plan = plan_of(warehouse.micro(ClinicalViews(no_auto_broadcast, TESTDATA)))
+    assert plan.count("Exchange hashpartitioning(l_orderkey") == 1
+    assert plan.count("Sort [l_orderkey") == 1
+
+
+def test_silver_computes_its_source_once(spark):
+    source = warehouse.micro(ClinicalViews(spark, TESTDATA)).limit(50)
+    seen = Observation("micro-source")
+    folder = warehouse.silver(
+        spark, "hosp_microbiologyevents", source.observe(seen, F.count(F.lit(1)).alias("n")), "charttime", copies=2
+    )
+    bronze = spark.read.parquet(folder.removesuffix("silver") + "bronze")
+    assert seen.get["n"] == 50 and bronze.count() == 100
+    assert spark.read.parquet(folder).count() == bronze.select("microevent_id").dropna().distinct().count()

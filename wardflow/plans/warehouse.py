@@ -57,16 +57,17 @@ def admissions(v: Views) -> DataFrame:
 
 
 def micro(v: Views) -> DataFrame:
-    """One microbiology event per order and line number, given twice; seventh lines have no id.
+    """One microbiology event per order and line number; seventh lines have no id.
 
     Of several lines with one number the earliest is the event, so that it is known which copy
-    a stream keeps.
+    a stream keeps.  Lines are dealt by order: one shuffle and one sort serve both that choice and
+    the join.
     """
     line = F.col("l_linenumber")
     order = [F.col(c) for c in ("l_shipdate", "l_suppkey", "l_quantity", "l_extendedprice")]
-    lines = dedup(v.table("lineitem"), ["l_orderkey", "l_linenumber"], order)
+    lines = dedup(v.table("lineitem").repartition("l_orderkey"), ["l_orderkey", "l_linenumber"], order)
     lines = lines.join(v.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    rows = _as_source(
+    return _as_source(
         lines,
         "microbiologyevents",
         {
@@ -90,7 +91,6 @@ def micro(v: Views) -> DataFrame:
             "interpretation": F.col("l_returnflag"),
         },
     )
-    return rows.unionByName(rows)
 
 
 def chart(v: Views) -> DataFrame:
@@ -148,12 +148,18 @@ def load_dim(spark: SparkSession, table: str, sources: dict[str, DataFrame]) ->
     return spark.read.parquet(f"{root}/wh/{table}"), report
 
 
-def silver(spark: SparkSession, name: str, source: DataFrame, time: str) -> str:
-    """Run a source through the registered bronze-to-silver stream; the silver folder."""
+def silver(spark: SparkSession, name: str, source: DataFrame, time: str, copies: int = 1) -> str:
+    """Run a source, given ``copies`` times, through the registered bronze-to-silver stream; the silver folder.
+
+    The source is computed once: its copies and its span of time are read from bronze.
+    """
     root = work_path(spark, f"{name}-silver")
-    write_table(source, f"{root}/bronze")
+    write_table(source, f"{root}/bronze", compression="zstd")
+    landed = spark.read.parquet(f"{root}/bronze")
+    for _ in range(1, copies):
+        write_table(landed, f"{root}/bronze", compression="zstd")
     stamp = F.col(time).try_cast("timestamp").cast("date")
-    lo, hi = source.agg(F.min(stamp), F.max(stamp)).first()
+    lo, hi = landed.agg(F.min(stamp), F.max(stamp)).first()
     # The rows are in no order, so a copy may be as late as all that they span.
     horizon = (time, f"{(hi - lo).days + 1 if lo else 1} days")
     query = jobs.bronze_to_silver(
@@ -247,8 +253,8 @@ def load_fact_chartevents(spark: SparkSession, path: str) -> DataFrame:
 
 @register_query("stream_micro_silver")
 def stream_micro_silver(spark: SparkSession, path: str) -> DataFrame:
-    """Microbiology events through the registered stream: one row per id, none without."""
-    folder = silver(spark, "hosp_microbiologyevents", micro(Views(spark, path)), "charttime")
+    """Microbiology events, given twice, through the registered stream: one row per id, none without."""
+    folder = silver(spark, "hosp_microbiologyevents", micro(Views(spark, path)), "charttime", copies=2)
     kept = ("microevent_id", "subject_id", "hadm_id", "charttime", "org_name", "dilution_value")
     rows = spark.read.parquet(folder).select(*kept)
     return rows.withColumn("charttime", F.col("charttime").cast("timestamp_ntz"))
@@ -257,7 +263,7 @@ def stream_micro_silver(spark: SparkSession, path: str) -> DataFrame:
 @register_query("load_fact_micro")
 def load_fact_micro(spark: SparkSession, path: str) -> DataFrame:
     """The microbiology fact of 21 columns."""
-    folder = silver(spark, "hosp_microbiologyevents", micro(Views(spark, path)), "charttime")
+    folder = silver(spark, "hosp_microbiologyevents", micro(Views(spark, path)), "charttime", copies=2)
     return load_fact(spark, "hosp_microbiologyevents", folder)
 
 
