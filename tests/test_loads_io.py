@@ -296,6 +296,14 @@ def test_stream_dedup_horizon_on_registered_spec(spark, tmp_path):
     assert spark.table("horizon_out").count() == 21
 
 
+def test_stream_dedup_moves_the_time_of_micro_events_once(spark, tmp_path):
+    spec = FACTS["hosp_microbiologyevents"]
+    spark.createDataFrame([], spec.source_ddl).write.parquet(str(tmp_path / "in"))
+    stream = readers.read_stream(spark, str(tmp_path / "in"), spec.source_ddl)
+    plan = spec.clean(stream, horizon=HORIZON)._jdf.queryExecution().analyzed().toString()
+    assert "DeduplicateWithinWatermark" in plan and "_event_time" not in plan
+
+
 def test_micro_stream(spark, tmp_path):
     spec = FACTS["hosp_microbiologyevents"]
     names = column_names(spec.source_ddl)

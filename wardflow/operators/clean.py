@@ -74,6 +74,13 @@ def clean_micro_events(
     horizon: tuple[str, str] | None = None,
     stamp: Column | None = None,
 ) -> DataFrame:
-    """Silver microbiology events: one row per event id, ``charttime`` as a timestamp."""
-    unique = _unique(require_all(df, MICRO_KEYS), MICRO_KEYS, order_by, spread, horizon)
-    return _stamped(unique.withColumn("charttime", parse_timestamp(df, "charttime")), stamp)
+    """Silver microbiology events: one row per event id, ``charttime`` as a timestamp.
+
+    A stream is typed before its dedup, which then moves the time once and not as text; a batch
+    after it, as ``order_by`` is on the columns as they arrive.
+    """
+    rows = require_all(df, MICRO_KEYS)
+    if df.isStreaming:
+        rows = rows.withColumn("charttime", parse_timestamp(rows, "charttime"))
+    unique = _unique(rows, MICRO_KEYS, order_by, spread, horizon)
+    return _stamped(unique.withColumn("charttime", parse_timestamp(unique, "charttime")), stamp)

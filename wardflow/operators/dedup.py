@@ -47,8 +47,10 @@ def dedup_stream(
     """
     if horizon is not None:
         column, delay = horizon
-        time = F.col(column)
-        if dict(df.dtypes)[column] == "string":
+        time, kind = F.col(column), dict(df.dtypes)[column]
+        if kind == "timestamp":
+            return df.withWatermark(column, delay).dropDuplicatesWithinWatermark(list(keys))
+        if kind == "string":
             time = F.try_to_timestamp(time)
         # A copy of the column carries the watermark, so its own type stays as it is.
         timed = df.withColumn("_event_time", time).withWatermark("_event_time", delay)
