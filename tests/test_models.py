@@ -102,3 +102,18 @@ def test_more_rounds_lower_the_loss(spark):
 def test_class_limits(spark):
     df = spark.createDataFrame([(8.0,), (7.0,), (3.0,), (2.9,), (None,)], "los DOUBLE")
     assert [r[0] for r in df.select(stay_class_of(F.col("los"))).collect()] == [0, 1, 1, 2, None]
+
+
+def test_equal_rows_are_boosted_as_one(spark, monkeypatch):
+    once = [(float(i % 7), float(i % 5), i % 3) for i in range(105)]
+    sizes, write = [], boosting.materialise
+    monkeypatch.setattr(boosting, "materialise", lambda df, label: sizes.append(write(df, label).count()) or write(df, label))
+    scores = []
+    for data in (once, once * 6):
+        df = spark.createDataFrame(data, "a DOUBLE, b DOUBLE, y INT")
+        model = boosting.train_boosted(df, ["a", "b"], "y", 3, rounds=2, depth=2)
+        query = spark.createDataFrame([(i, float(i % 7), float(i % 5)) for i in range(35)], "id INT, a DOUBLE, b DOUBLE")
+        scored = feat.class_probabilities(model, query, ["a", "b"], ["id"], 3).orderBy("id").collect()
+        scores.append([x for r in scored for x in r[2:]])
+    assert sizes == [105] * 4
+    assert scores[0] == pytest.approx(scores[1], abs=1e-9)

@@ -4,6 +4,7 @@ Every round fits one tree per class to the Newton step of the softmax loss: a tr
 gradient over curvature and whose row weight is the curvature has the optimal step as the weighted
 mean of each leaf, and its weighted variance gain is the gain of the loss.  Margins are written
 after each round, so a round reads one small table and its plan does not grow with the rounds.
+Rows of equal features and class have equal steps in every round: they are one row with their number.
 The result is an ordinary pipeline of Spark's own stages and can be stored and loaded as one.
 """
 
@@ -73,8 +74,13 @@ def train_boosted(
     spark = features.sparkSession
     margin = [f"_margin{k}" for k in range(classes)]
     assembler = VectorAssembler(inputCols=list(names), outputCol="_features")
-    rows = align_features(features.filter(F.col(label).isNotNull()), names, keep=[label])
-    rows = assembler.transform(rows).select("_features", F.col(label).cast("int").alias("_class"))
+    rows = features.filter(F.col(label).isNotNull()).withColumn("_class", F.col(label).cast("int"))
+    rows = align_features(rows, names, keep=["_class"])
+    if min_rows > 1:  # Spark counts the rows of a leaf, not their weights
+        rows = rows.withColumn("_rows", F.lit(1.0))
+    else:
+        rows = rows.groupBy("_class", *names).agg(F.count(F.lit(1)).cast("double").alias("_rows"))
+    rows = assembler.transform(rows).select("_features", "_class", "_rows")
     rows = materialise(rows.withColumns({m: F.lit(0.0) for m in margin}), "boost")
     trees, columns = [], [[] for _ in range(classes)]
     for number in range(rounds):
@@ -88,7 +94,8 @@ def train_boosted(
                 featuresCol="_features", labelCol="_step", weightCol="_weight", predictionCol=column,
                 maxDepth=depth, maxBins=bins, minInstancesPerNode=min_rows, seed=seed,
             )
-            step = rows.select("_features", weight.alias("_weight"), (gradient / weight).alias("_step"))
+            total = (F.col("_rows") * weight).alias("_weight")
+            step = rows.select("_features", total, (gradient / weight).alias("_step"))
             grown.append(learner.fit(step))
             columns[k].append(column)
         trees += grown
@@ -96,7 +103,7 @@ def train_boosted(
             for tree in grown:
                 rows = tree.transform(rows)
             moved = [F.col(m) + rate * F.col(f"_tree_{number}_{k}") for k, m in enumerate(margin)]
-            rows = rows.select("_features", "_class", *[c.alias(m) for c, m in zip(moved, margin, strict=True)])
+            rows = rows.select("_features", "_class", "_rows", *[c.alias(m) for c, m in zip(moved, margin, strict=True)])
             rows = materialise(rows, "boost")
     joined = VectorAssembler(inputCols=[f"_p{k}" for k in range(classes)], outputCol="_probability")
     model = PipelineModel([assembler, *trees, _softmax_stage(columns, rate), joined])
