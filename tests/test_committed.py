@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wardflow.plans.catalog import EVENT_SPEC, MESSAGE_DDL
+from wardflow.sinks import committed
 from wardflow.sinks.committed import CommittedTable
 from wardflow.sinks.streams import for_each_batch, write_stream
 from wardflow.sources.readers import read_stream
@@ -145,6 +146,21 @@ def test_exact_dedup_has_bounded_state(spark, tmp_path):
     assert max(states) <= 80  # of 200 messages, those of the last two runs at most
 
 
+def test_exact_stream_compares_the_rows_of_a_batch_once(spark, tmp_path, monkeypatch):
+    """The state has left one row per key, so the table does not group the batch again."""
+    grouped, dedup = [], committed.dedup
+    monkeypatch.setattr(committed, "dedup", lambda *given: grouped.append(1) or dedup(*given))
+    silver = jobs.exact_silver_table(EVENT_SPEC, str(tmp_path / "silver"))
+    for _ in range(2):
+        messages_of(spark, [*range(20), *range(20)], 5).repartition(3).write.mode("append").parquet(str(tmp_path / "bronze"))
+        query = jobs.bronze_to_silver_exact(
+            spark, EVENT_SPEC, str(tmp_path / "bronze"), silver, str(tmp_path / "ck"), "s",
+            recent="0 seconds", max_files=1000, available_now=True,
+        )
+        jobs.drain([query])
+    assert not grouped and silver.read(spark).count() == 20
+
+
 def test_counters_of_each_batch(spark, tmp_path):
     src = str(tmp_path / "src")
     rows = [[("a", "é", True), ("b", "xyz", False)], [("c", None, True), ("d", "12", None)]]

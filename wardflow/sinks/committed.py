@@ -137,23 +137,27 @@ class CommittedTable:
         keys: Sequence[str],
         batch: str,
         order_by: Sequence[Column] | None = None,
+        unique: bool = False,
     ) -> bool:
         """Add the rows whose key the table lacks, one per key; False if the batch is in the table.
 
+        ``unique`` tells that no two rows share a key, so that they need not be compared again.
         NULLs in keys count as equal.  Only partitions that the batch has rows in are looked at, so
         equal keys must have equal partition columns.  Their stored key hashes are read first: rows
         without a match there are new, and only the others meet the stored keys themselves.
         """
         spark = rows.sparkSession
         name = f"{self.path}/staging-{uuid.uuid4().hex}"
-        once = dedup(rows, keys, order_by).withColumn(KEY_HASH, F.xxhash64(*keys))
-        once.write.parquet(name)
+        once = rows if unique else dedup(rows, keys, order_by)
+        once.withColumn(KEY_HASH, F.xxhash64(*keys)).write.parquet(name)
         try:
             staged = spark.read.parquet(name)
             places = staged.select(*[F.col(c).cast("string") for c in self.partition_by]).distinct()
             places = [tuple(r) for r in places.collect()] if self.partition_by else []
 
             def fresh(now: Version) -> DataFrame:
+                if not now.folders:
+                    return staged
                 stored = self._rows(spark, now.folders)
                 for i, column in enumerate(self.partition_by):
                     stored = stored.filter(F.col(column).isin(sorted({p[i] for p in places})))

@@ -113,8 +113,10 @@ def bronze_to_silver_exact(
         *column_names(spec.source_ddl), "processed_timestamp", month.alias("month")
     )
 
+    # Rows of one batch arrive at one time, so the state passes one row per key, however short
+    # ``recent`` is.
     def add(batch: DataFrame, batch_id: int) -> None:
-        silver.append_new(batch, spec.keys, f"{name}-{batch_id}")
+        silver.append_new(batch, spec.keys, f"{name}-{batch_id}", unique=True)
 
     with scoped_conf(spark, STATE_STORE_CONF):
         return for_each_batch(cleaned, add, checkpoint, every, available_now)
