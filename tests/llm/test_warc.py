@@ -4,6 +4,7 @@ import io
 
 from pyspark.sql import functions as F
 from wardflow.llm import warc
+from wardflow.session import scoped_conf
 
 
 def pages(spark, rows):
@@ -34,6 +35,22 @@ def test_edges(spark):
     assert warc.archive_round_trip(pages(spark, rows)).filter("refers_to = 1 and page_id is null").count() == 1
 
 
+def test_payloads_are_not_shuffled_for_few_copies(spark, plan_of):
+    """Nor are archives read twice; many copies are joined by a shuffle, with the same result."""
+    same = "q" * 200
+    df = pages(spark, [(i, "u", same if i % 3 == 0 else f"{i:03d}" * 50) for i in range(30)])
+    assert "Exchange hashpartitioning" not in plan_of(warc.as_records(df))
+    got = warc.archive_round_trip(df)
+    assert plan_of(got).count("BatchScan") == 1
+    with scoped_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        records = warc.as_records(df)
+        assert "Exchange hashpartitioning" in plan_of(records)
+        many = warc.archive_round_trip(df).collect()
+    few = got.collect()
+    assert sorted(map(tuple, few)) == sorted(map(tuple, many)) and len(few) == 30
+    assert {r["page_id"]: r["refers_to"] for r in few} == {i: 0 if i and i % 3 == 0 else None for i in range(30)}
+
+
 def test_pushdown_and_skipping(spark, tmp_path):
     warc.register(spark)
     rows = [(i, f"http://h/{i}", "x" * (50 + i)) for i in range(40)]

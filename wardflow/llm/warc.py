@@ -38,7 +38,7 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import StructType
 
-from ..session import work_path
+from ..session import materialise, work_path
 from .common import pick
 
 SCHEMA = (
@@ -416,8 +416,9 @@ def as_records(
 
     A null payload is empty.  Rows that share the smallest id all answer; a null id is larger than
     any other, and if all ids of a payload are null, all answer.  Only digests are grouped; a
-    payload that a large share of the rows holds is one row there, and adaptive execution splits
-    its rows in the join back.
+    payload that a large share of the rows holds is one row there.  The digests that occur again
+    are stored first, so their size is known to the join back: while few, they are broadcast and no
+    payload is shuffled or sorted; else adaptive execution splits the rows of a frequent one.
     """
     pages = pick(df, id=id_col, url=url_col, html=html_col).select(
         F.col("id").cast("long").alias("id"),
@@ -434,6 +435,7 @@ def as_records(
         .filter("n > 1 and first is not null")
         .select("payload_digest", "first")
     )
+    first = materialise(first, "warc-first")
     revisit = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
     urn = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
     return pages.join(first, "payload_digest", "left").select(
@@ -453,7 +455,7 @@ def _page_of(urn: str):
 
 
 def archive_round_trip(df: DataFrame, **columns: str) -> DataFrame:
-    """Write a record per page to archives in the shared folder and read them back.
+    """Write a record per page to archives in the shared folder and read them back, each once.
 
     ``payload_bytes`` and ``payload_digest`` of responses are computed from the payload read back,
     those of revisits, which carry none, are the header fields of their record.
@@ -462,25 +464,15 @@ def archive_round_trip(df: DataFrame, **columns: str) -> DataFrame:
     register(spark)
     path = work_path(spark, "warc")
     as_records(df, **columns).write.format("warc").mode("append").save(path)
-    full = spark.read.format("warc").load(path).filter(F.col("record_type") == "response")
-    no_payload = StructType.fromDDL(SCHEMA.rpartition(", ")[0])
-    bare = spark.read.format("warc").schema(no_payload).load(path)
-    bare = bare.filter(F.col("record_type") == "revisit")
-    own = [_page_of("record_id").alias("page_id")]
-    responses = full.select(
-        *own,
-        F.octet_length("payload").cast("long").alias("payload_bytes"),
-        F.sha2("payload", 256).alias("payload_digest"),
+    archived = spark.read.format("warc").load(path)
+    archived = archived.filter(F.col("record_type").isin("response", "revisit"))
+    revisit = F.col("record_type") == "revisit"
+    length = F.octet_length("payload").cast("long")
+    return archived.select(
+        _page_of("record_id").alias("page_id"),
+        F.when(revisit, F.col("payload_length")).otherwise(length).alias("payload_bytes"),
+        F.when(revisit, F.col("payload_digest")).otherwise(F.sha2("payload", 256)).alias("payload_digest"),
         "record_type",
-        F.lit(None).cast("long").alias("refers_to"),
+        F.when(revisit, _page_of("refers_to")).alias("refers_to"),
         "target_uri",
     )
-    revisits = bare.select(
-        *own,
-        F.col("payload_length").alias("payload_bytes"),
-        "payload_digest",
-        "record_type",
-        _page_of("refers_to").alias("refers_to"),
-        "target_uri",
-    )
-    return responses.unionByName(revisits)
