@@ -100,3 +100,12 @@ def test_silver_computes_its_source_once(spark):
     bronze = spark.read.parquet(folder.removesuffix("silver") + "bronze")
     assert seen.get["n"] == 50 and bronze.count() == 100
     assert spark.read.parquet(folder).count() == bronze.select("microevent_id").dropna().distinct().count()
+
+
+def test_typed_tables_counts_no_views_of_the_session(spark):
+    spark.range(1).createOrReplaceTempView("view_of_the_session")
+    try:
+        left = entry.queries()["typed_tables"](spark, TESTDATA).select("tables_left").distinct().collect()
+    finally:
+        spark.catalog.dropTempView("view_of_the_session")
+    assert [r["tables_left"] for r in left] == [0]

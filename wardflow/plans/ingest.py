@@ -274,7 +274,8 @@ def typed_tables(spark: SparkSession, path: str) -> DataFrame:
     rows.write.insertInto(f"{database}.fact_icustays")
     kept = materialise(spark.table(f"{database}.fact_icustays"), "typed")
     drop_tables(spark, [f"{database}.fact_icustays"])
-    left = spark.catalog.listTables(database)
+    # The list also has the session's views, whatever the database.
+    left = [t for t in spark.catalog.listTables(database) if not t.isTemporary]
     spark.sql(f"DROP DATABASE {database}")
     return kept.withColumn("tables_left", F.lit(len(left)))
 
