@@ -18,3 +18,11 @@ def test_query_equals_sql(spark, name):
 def test_every_operator_has_one_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
     assert numbers == list(range(1, 14))
+
+
+def test_whole_records_cross_in_small_batches(spark):
+    rows = {}
+    for name in ("op5_warc", "op6_html_text"):
+        QUERIES[name](spark, TESTDATA)
+        rows[name] = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    assert rows == {"op5_warc": 256, "op6_html_text": 2048}

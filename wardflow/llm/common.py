@@ -16,9 +16,9 @@ U64 = np.uint64
 BATCH_ROWS = 2048
 
 
-def small_batches(spark: SparkSession) -> None:
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Bound the memory of Arrow batches of whole texts; for jobs to call, not for operators."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -71,6 +71,7 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives and read back."""
+    small_batches(spark, 256)  # whole records with their payloads
     return warc.archive_round_trip(table(spark, sf_dir, "pages"))
 
 
