@@ -10,6 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scoped_conf
 from . import fill_middle, html_text, mixing, packing, permutation_index, quality, secrets
 from . import setsketch, spelling, suffix_dedup, tokens, warc, winnowing
 from .common import pick, small_batches, table
@@ -71,8 +72,10 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives and read back."""
-    small_batches(spark, 256)  # whole records with their payloads
-    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+    # Whole pages: as few at a time to Python, and from Parquet while the archives are written.
+    small_batches(spark, 256)
+    with scoped_conf(spark, {"spark.sql.parquet.columnarReaderBatchSize": "512"}):
+        return warc.archive_round_trip(table(spark, sf_dir, "pages"))
 
 
 @_query
